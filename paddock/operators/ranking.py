@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paddock.operators.skew import HOT_ROWS, by_heat
+from paddock.session import durable
 
 # Value ranges a huge group is cut into.
 SHARDS = 128
@@ -33,7 +34,7 @@ def totals_before(
     rows picked by hash, so the cuts are the same on every recomputation; the
     ranges are summed in parallel and each starts from the total of those before.
     """
-    keys = list(keys)
+    df, keys = durable(df), list(keys)
     rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     step = F.greatest(F.lit(1), F.floor(F.col("_rows") / shards))
     cuts = (

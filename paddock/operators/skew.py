@@ -19,17 +19,19 @@ HOT_KEYS = 10_000
 BROADCAST_ROWS = 10_000
 
 
-def hot_groups(source: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys of the largest groups, at most HOT_KEYS rows (so safe to broadcast)."""
-    size = F.count(F.lit(1)).alias("_rows")
-    return (
-        source.groupBy(*keys)
-        .agg(size)
-        .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys)
-    )
+def hot_groups(source: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys of the largest groups (at most HOT_KEYS rows, so safe to broadcast), None if no group is huge.
+
+    Counts rows per group, which combines map-side; only the largest count
+    comes back to the driver. The keys are stored so that every branch of a
+    plan splits along the same ones.
+    """
+    counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    largest = counts.agg(F.max("_rows")).first()[0]
+    if largest is None or largest <= hot_rows:
+        return None
+    huge = counts.where(F.col("_rows") > hot_rows)
+    return durable(huge.orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS).select(*keys))
 
 
 def by_heat(
@@ -42,10 +44,13 @@ def by_heat(
 ) -> DataFrame:
     """Run `cold` on ordinary groups and `hot` on the few huge ones, then union.
 
-    `sizes` is any narrow table with the same groups (default: `df`), used only
-    to find the huge ones. With none, AQE drops the hot branch before running it.
+    Measures first: with no huge group the plan is just `cold(df)`. `sizes` is any
+    narrow table whose groups are at least as large (default: `df`). Which groups
+    count as huge never changes the result, only how it is computed.
     """
     heat = hot_groups(df if sizes is None else sizes, keys, hot_rows)
+    if heat is None:
+        return cold(df)
     ordinary = df.join(F.broadcast(heat), list(keys), "left_anti")
     huge = df.join(F.broadcast(heat), list(keys), "left_semi")
     return cold(ordinary).unionByName(hot(huge, heat))

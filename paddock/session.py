@@ -32,6 +32,7 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         .appName("paddock")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     for name, value in RUNTIME.items():
