@@ -79,9 +79,34 @@ def first_text(first: Column, second: Column) -> Column:
     return F.coalesce(F.nullif(first, F.lit("")), second)
 
 
+def truthy(text: Column) -> Column:
+    """Whether a JSON leaf read as text stands for a set flag."""
+    return F.coalesce(~F.lower(text).isin("", "false", "0", "0.0", "[]", "{}"), F.lit(False))
+
+
+def flag(text: Column) -> Column:
+    return text.try_cast("boolean")
+
+
 def subject(runners: Column) -> Column:
     """The first runner flagged as the horse the record is about; null if none."""
-    return F.get(F.filter(runners, lambda r: F.coalesce(r["itsHim"], F.lit(False))), F.lit(0))
+    return F.get(F.filter(runners, lambda r: truthy(r["itsHim"])), F.lit(0))
+
+
+def unreadable(text: Column, value: Column) -> Column:
+    """A leaf that is there but did not parse."""
+    return text.isNotNull() & value.isNull()
+
+
+def outside_small(text: Column) -> Column:
+    """A leaf that does not fit a 16-bit integer."""
+    value = whole(text)
+    return unreadable(text, value) | F.coalesce(~value.between(-32768, 32767), F.lit(False))
+
+
+def outside_int(text: Column) -> Column:
+    """A leaf that does not fit a 32-bit integer."""
+    return unreadable(text, small(text))
 
 
 def place_part(place: Column, part: str) -> Column:

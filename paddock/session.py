@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,9 +43,8 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
     return spark
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Store a result in the shared checkpoint folder, so a lost executor cannot undo it."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder the cluster names; a temporary one only in local mode."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -53,4 +53,17 @@ def durable(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
             folder = tempfile.mkdtemp(prefix="paddock-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Store a result in the shared folder, so a lost executor cannot undo or change it."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write a result as Parquet into the shared folder, for readers that want few of its columns."""
+    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
