@@ -19,7 +19,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value: object) -> str:
-    if value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and math.isnan(value)):
         return "null"
     if isinstance(value, bool):
         return str(value)
