@@ -9,14 +9,13 @@ DATE_CODE = "ddMMyyyy"
 
 
 def number(text: Column) -> Column:
-    """A finite double, null where the text is not one."""
-    value = text.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    """A double, null where the text is not one or is NaN."""
+    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
 
 
 def whole(text: Column) -> Column:
     """A 64-bit integer read through double, so "12" and "12.0" both give 12."""
-    return F.round(number(text)).try_cast("bigint")
+    return F.floor(number(text) + 0.5)
 
 
 def small(text: Column) -> Column:
@@ -98,14 +97,18 @@ def unreadable(text: Column, value: Column) -> Column:
     return text.isNotNull() & value.isNull()
 
 
+def not_small(text: Column) -> Column:
+    """A leaf that is missing or does not fit a 16-bit integer."""
+    return whole(text).try_cast("smallint").isNull()
+
+
 def outside_small(text: Column) -> Column:
-    """A leaf that does not fit a 16-bit integer."""
-    value = whole(text)
-    return unreadable(text, value) | F.coalesce(~value.between(-32768, 32767), F.lit(False))
+    """A leaf that is there but does not fit a 16-bit integer."""
+    return text.isNotNull() & not_small(text)
 
 
 def outside_int(text: Column) -> Column:
-    """A leaf that does not fit a 32-bit integer."""
+    """A leaf that is there but does not fit a 32-bit integer."""
     return unreadable(text, small(text))
 
 

@@ -107,8 +107,7 @@ def _either(*tests: Column) -> Column:
 def _race_fails(c: Column) -> Column:
     trot = codes.is_trot(c["discipline"])
     return trot & _either(
-        p.whole(c["numOrdre"]).isNull(),
-        p.outside_small(c["numOrdre"]),
+        p.not_small(c["numOrdre"]),
         p.outside_small(c["distance"]),
         p.outside_small(c["nombreDeclaresPartants"]),
         p.outside_int(c["dureeCourse"]),
@@ -122,8 +121,7 @@ def _race_fails(c: Column) -> Column:
 
 def _meeting_fails(m: Column) -> Column:
     return _either(
-        p.whole(m["numOfficiel"]).isNull(),
-        p.outside_small(m["numOfficiel"]),
+        p.not_small(m["numOfficiel"]),
         _too_long("race_meeting", "meeting_type", p.cut(m["nature"], 50)),
         p.unreadable(m["meteo"]["temperature"], p.number(m["meteo"]["temperature"])),
         _too_long("race_meeting", "weather_wind", m["meteo"]["directionVent"]),
@@ -134,9 +132,9 @@ def _meeting_fails(m: Column) -> Column:
 def _runner_fails(r: Column) -> Column:
     named = F.coalesce(r["nom"], F.lit("")) != ""
     return named & _either(
-        p.whole(r["numPmu"]).isNull(),
+        p.not_small(r["numPmu"]),
         p.overflows(r["nom"], 100),
-        *[p.outside_small(r[name]) for name in ("numPmu", "age", "nombreCourses", "ordreArrivee")],
+        *[p.outside_small(r[name]) for name in ("age", "nombreCourses", "ordreArrivee")],
         p.outside_int(r["tempsObtenu"]),
         *[
             p.unreadable(r[name]["rapport"], p.number(r[name]["rapport"]))
@@ -225,8 +223,12 @@ def judged(landing: DataFrame, feed: str) -> DataFrame:
 
 
 def _each(df: DataFrame, array: str, item: str, position: str) -> DataFrame:
-    """One row per array element with its position."""
-    return df.select("*", F.posexplode(array).alias(position, item))
+    """One row per array element with its position.
+
+    The outer form keeps the optimizer from adding a size check below, which
+    would judge every document a second time.
+    """
+    return df.select("*", F.posexplode_outer(array).alias(position, item)).where(F.col(position).isNotNull())
 
 
 def parse_programme(docs: DataFrame) -> dict[str, DataFrame]:
