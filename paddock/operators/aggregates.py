@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paddock.operators.ranking import totals_before
+from paddock.operators.skew import HOT_ROWS
 
 DEFAULT_SPEED = 1.20
 
@@ -56,7 +57,7 @@ def log_loss(df: DataFrame, p: str, y: str) -> DataFrame:
     return df.agg(F.avg(loss).alias("log_loss"))
 
 
-def roc_auc(df: DataFrame, p: str, y: str) -> DataFrame:
+def roc_auc(df: DataFrame, p: str, y: str, whole_rows: int = HOT_ROWS) -> DataFrame:
     """Exact area under the ROC curve, as one row; a single class gives 0.5.
 
     Scores are collapsed to distinct values, whose running count of negatives is
@@ -68,7 +69,7 @@ def roc_auc(df: DataFrame, p: str, y: str) -> DataFrame:
         .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
         .withColumn("everything", F.lit(0))
     )
-    placed = totals_before(scores, ["everything"], "score", {"neg": "below"})
+    placed = totals_before(scores, ["everything"], "score", {"neg": "below"}, whole_rows)
     wins = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
     return placed.agg(F.coalesce(F.try_divide(wins, pairs), F.lit(0.5)).alias("roc_auc"))

@@ -25,17 +25,28 @@ def rising(value: Column) -> list[Column]:
 
 
 def totals_before(
-    df: DataFrame, keys: Sequence[str], order: str, sums: dict[str, str], shards: int = SHARDS
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    sums: dict[str, str],
+    whole_rows: int = HOT_ROWS,
+    shards: int = SHARDS,
 ) -> DataFrame:
     """For each row, totals over the rows of its key that sort before it.
 
     `df` has one row per (keys, order) and few keys (at most HOT_KEYS); `sums`
-    maps a value column to its output column. Each key is cut into ranges at
-    rows picked by hash, so the cuts are the same on every recomputation; the
-    ranges are summed in parallel and each starts from the total of those before.
+    maps a value column to its output column. If no key has more than
+    `whole_rows` rows, one window per key will do. Otherwise each key is cut into
+    ranges at rows picked by hash, so the cuts are the same on every
+    recomputation; the ranges are summed in parallel and each starts from the
+    total of those before.
     """
     df, keys = durable(df), list(keys)
     rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    if (rows.agg(F.max("_rows")).first()[0] or 0) <= whole_rows:
+        ahead = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        sofar = {out: F.coalesce(F.sum(v).over(ahead), F.lit(0)) for v, out in sums.items()}
+        return df.withColumns(sofar)
     step = F.greatest(F.lit(1), F.floor(F.col("_rows") / shards))
     cuts = (
         df.select(*keys, order)
@@ -72,7 +83,9 @@ def totals_before(
     return joined.select(*df.columns, *sums.values())
 
 
-def spread_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
+def spread_rank(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, whole_rows: int = HOT_ROWS
+) -> DataFrame:
     """Competition rank (ties share the smallest) without a window over the whole group.
 
     Equal rows are collapsed first, so one value that fills the group is cheap.
@@ -80,7 +93,7 @@ def spread_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out
     keys = list(keys)
     keyed = df.withColumn("_order", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
     counts = keyed.groupBy(*keys, "_order").agg(F.count(F.lit(1)).alias("_n"))
-    ranks = totals_before(counts, keys, "_order", {"_n": "_before"})
+    ranks = totals_before(counts, keys, "_order", {"_n": "_before"}, whole_rows)
     ranks = ranks.select(*keys, "_order", (F.col("_before") + 1).alias(out))
     return keyed.join(ranks, [*keys, "_order"]).drop("_order")
 
@@ -104,15 +117,16 @@ def group_rank(
         df,
         keys,
         cold=lambda rows: rows.withColumn(out, position),
-        hot=lambda rows, _: spread_rank(rows, keys, order, out),
+        hot=lambda rows, _: spread_rank(rows, keys, order, out, hot_rows),
         sizes=sizes,
         hot_rows=hot_rows,
     )
 
 
-def number_all(df: DataFrame, order: str, out: str, start: Column | int = 0) -> DataFrame:
+def number_all(
+    df: DataFrame, order: str, out: str, start: int = 0, whole_rows: int = HOT_ROWS
+) -> DataFrame:
     """Number distinct rows start+1, start+2, ... by `order`, without a one-task sort."""
     one = df.withColumn("_all", F.lit(0)).withColumn("_one", F.lit(1))
-    numbered = totals_before(one, ["_all"], order, {"_one": "_before"})
-    begin = F.lit(start) if isinstance(start, int) else start
-    return numbered.withColumn(out, begin + F.col("_before") + 1).drop("_all", "_one", "_before")
+    numbered = totals_before(one, ["_all"], order, {"_one": "_before"}, whole_rows)
+    return numbered.withColumn(out, F.col("_before") + start + 1).drop("_all", "_one", "_before")

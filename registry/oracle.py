@@ -38,7 +38,16 @@ VIEWS["new_races"] = """
 VIEWS["located"] = """
     SELECT o_orderkey AS l_orderkey, CAST(o_orderdate AS DATE) AS d, CAST(o_custkey % 5 + 1 AS INTEGER) AS n,
       o_orderkey % 30000 AS race_number FROM orders"""
+VIEWS["scored"] = """
+    SELECT p, CAST(sum(y) AS DOUBLE) AS won, CAST(count(*) AS DOUBLE) AS n FROM (
+      SELECT (horse_id * 7 + pmu_number * 13) % 100 / 200.0::DOUBLE AS p, CASE WHEN finish_rank = 1 THEN 1 ELSE 0 END AS y
+      FROM race_participant WHERE finish_rank IS NOT NULL) GROUP BY p"""
+VIEWS["sums"] = "SELECT *, sum(won) OVER (ORDER BY p) AS wins, sum(n) OVER (ORDER BY p) AS seen FROM scored"
+VIEWS["filled"] = """
+    SELECT race_id, program_number, horse_name, coalesce(racetrack_code, 'MISSING') AS racetrack_code,
+      coalesce(jockey_name, 'MISSING') AS jockey_name FROM features"""
 _NEEDED = {
+    "scored": ["race_participant"],
     "runner_docs": ["lines"],
     "past_docs": ["lines"],
     "bet_docs": ["lines"],
@@ -443,6 +452,40 @@ ORACLE: dict[str, str] = {
             WHERE nth = 1 OR bet_type IS NULL OR combination IS NULL""",
         "bet_docs", "located", "new_races",
     ).replace("\nWITH payouts AS", ", payouts AS", 1),
+    "ordinal_encode": _sql(
+        """SELECT race_id, program_number, f.horse_name, f.racetrack_code, f.jockey_name,
+             coalesce(h.code, -1)::DOUBLE AS horse_name_code, coalesce(r.code, -1)::DOUBLE AS racetrack_code_code,
+             coalesce(j.code, -1)::DOUBLE AS jockey_name_code
+           FROM filled f
+           LEFT JOIN (SELECT horse_name, row_number() OVER (ORDER BY horse_name) - 1 AS code FROM
+             (SELECT DISTINCT horse_name FROM filled WHERE race_id % 2 = 0)) h USING (horse_name)
+           LEFT JOIN (SELECT racetrack_code, row_number() OVER (ORDER BY racetrack_code) - 1 AS code FROM
+             (SELECT DISTINCT racetrack_code FROM filled WHERE race_id % 2 = 0)) r USING (racetrack_code)
+           LEFT JOIN (SELECT jockey_name, row_number() OVER (ORDER BY jockey_name) - 1 AS code FROM
+             (SELECT DISTINCT jockey_name FROM filled WHERE race_id % 2 = 0)) j USING (jockey_name)""",
+        "features", "filled",
+    ),
+    # The isotonic fit at a point is the largest, over starts up to it, of the smallest mean over ends from it on.
+    "isotonic_calibration": _sql(
+        f"""SELECT round(p, 6) AS p, round(max(lowest), 6) AS calibrated FROM (
+              SELECT i.p, j.p AS start, min((k.wins - j.wins + j.won) / (k.seen - j.seen + j.n)) AS lowest
+              FROM sums i JOIN sums j ON j.p <= i.p JOIN sums k ON k.p >= i.p GROUP BY i.p, j.p)
+            GROUP BY p""",
+        "scored", "sums",
+    ),
+    # Rules that the derived tables can break; all others hold by construction.
+    "warehouse_violations": _sql(
+        """SELECT "table", rule, columns, rows FROM (
+             SELECT 'horse_race_history' AS "table", 'unique' AS rule, 'horse_id,race_date,discipline,distance_m' AS columns,
+               count(*) AS rows FROM (SELECT 1 FROM horse_race_history GROUP BY horse_id, race_date, discipline, distance_m
+               HAVING count(*) > 1)
+             UNION ALL SELECT 'race_participant', 'foreign', 'trainer_id', count(*) FROM race_participant
+               WHERE trainer_id NOT IN (SELECT actor_id FROM racing_actor)
+             UNION ALL SELECT 'race', 'range', 'discipline,race_category,track_type,terrain_label,race_status,'
+               || 'race_status_category,race_number,distance_m,declared_runners_count', count(*) FROM race WHERE race_number > 32767)
+           WHERE rows > 0""",
+        "horse_race_history", "race_participant", "racing_actor", "race",
+    ),
     "check_unique": f"SELECT {_SLOTS}, count(*) AS occurrences FROM lineitem GROUP BY {_SLOTS} HAVING count(*) > 1",
     "check_fk": _sql(
         """SELECT participant_id, trainer_id FROM race_participant

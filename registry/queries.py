@@ -8,10 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddock.functions import codes, parsing
+from paddock.functions.features import filled
+from paddock.ml import training
+from paddock.ml.encoding import OrdinalEncoder
 from paddock.ml.features import FeatureEngineer
 from paddock.operators import aggregates, checks, filters, joins, loading, scope, windows
 from paddock.operators.filters import is_winner
@@ -575,3 +579,50 @@ def check_range(spark: SparkSession, folder: str) -> DataFrame:
 def warehouse_violations(spark: SparkSession, folder: str) -> DataFrame:
     """Every declared rule that the tables break, with the number of rows."""
     return checks.violations(derived_tables(spark, folder))
+
+
+# Model -----------------------------------------------------------------------
+
+
+@query
+def ordinal_encode(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes learned on even races, applied to all; names unseen there give -1."""
+    rows = cards.daily_features(derived_tables(spark, folder)).select(
+        "race_id", "program_number", "horse_name", "racetrack_code", "jockey_name"
+    )
+    rows = rows.withColumns({c: filled(F.col(c)) for c in ("racetrack_code", "jockey_name")})
+    encoder = OrdinalEncoder(inputCols=["horse_name", "racetrack_code", "jockey_name"])
+    return encoder.fit(rows.where("race_id % 2 = 0")).transform(rows)
+
+
+@query
+def isotonic_calibration(spark: SparkSession, folder: str) -> DataFrame:
+    """Calibrated value of each distinct stand-in probability."""
+    scores = _scored_labels(derived_tables(spark, folder))
+    vectors = scores.select(array_to_vector(F.array(1 - F.col("p"), "p")).alias("probability"), F.col("y").alias("is_winner"))
+    model = training.calibrate(vectors)
+    calibrated = model.transform(vectors.distinct())
+    return calibrated.select(
+        F.round(vector_to_array("probability")[1], 6).alias("p"), F.round("win_probability", 6).alias("calibrated")
+    ).distinct()
+
+
+QUICK = training.TrainParams(rounds=10, depth=4, step=0.1, bins=32)
+
+
+@query
+def train_and_score(spark: SparkSession, folder: str) -> DataFrame:
+    """A model trained on all labelled runners, then the predicted ranking of every race."""
+    tables = derived_tables(spark, folder)
+    trained = training.train(tables, QUICK)
+    scored = training.score(cards.daily_features(tables), trained.model, race_sizes(spark, folder))
+    return decisions.predict_race(scored, race_sizes(spark, folder))
+
+
+@query
+def prediction_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions of a trained model as rows of the prediction table."""
+    tables = derived_tables(spark, folder)
+    trained = training.train(tables, QUICK)
+    scored = training.score(cards.daily_features(tables), trained.model, race_sizes(spark, folder))
+    return training.predictions(scored, tables, "quick").drop("created_at")
