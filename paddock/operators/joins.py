@@ -50,7 +50,7 @@ def with_history(
     defaults: dict[str, float],
     keys: Sequence[str] = ("horse_id",),
     sizes: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Left join per-horse stats, then fill the columns named in `defaults`."""
     joined = lookup_join(df, stats, keys, sizes, hot_rows)
@@ -109,13 +109,16 @@ def stats_as_of(history: DataFrame, starts: DataFrame, counted: str = "*") -> Da
     )
 
 
-def join_predictions(predictions: DataFrame, runners: DataFrame) -> DataFrame:
-    """Add driver and odds to predictions; a race with no runners listed shows driver N/A."""
+def join_predictions(predictions: DataFrame, runners: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+    """Add driver and odds to predictions; a race with no runners listed shows driver N/A.
+
+    `listed` is any narrow table with the races that have runners (default: `runners`).
+    """
     extra = [name for name in ("driver_name", "odds") if name in runners.columns]
-    listed = runners.select("race_id").distinct().withColumn("_listed", F.lit(True))
     joined = predictions.join(runners.select("race_id", "program_number", *extra), ["race_id", "program_number"], "left")
-    joined = lookup_join(joined, listed, ["race_id"], sizes=predictions.select("race_id"))
-    if "driver_name" in extra:
-        missing = F.when(F.col("_listed").isNull(), F.lit("N/A"))
-        joined = joined.withColumn("driver_name", F.coalesce("driver_name", missing))
-    return joined.drop("_listed")
+    if "driver_name" not in extra:
+        return joined
+    races = (runners if listed is None else listed).select("race_id").distinct().withColumn("_listed", F.lit(True))
+    flagged = lookup_join(joined, races, ["race_id"], sizes=predictions.select("race_id") if listed is None else listed)
+    missing = F.when(F.col("_listed").isNull(), F.lit("N/A"))
+    return flagged.withColumn("driver_name", F.coalesce("driver_name", missing)).drop("_listed")

@@ -61,14 +61,17 @@ def lookup_join(
     right: DataFrame,
     keys: Sequence[str],
     sizes: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Left join to a side that is unique per key, with the hot keys of `left` broadcast.
 
     Use it where `right` comes straight from an aggregate: AQE only splits hot
-    partitions of joins whose two inputs are plain exchanges.
+    partitions of joins whose two inputs are plain exchanges. `hot_rows=None`
+    says that no key is hot, for callers that know.
     """
     keys = list(keys)
+    if hot_rows is None:
+        return left.join(right, keys, "left")
 
     def hot(rows: DataFrame, heat: DataFrame) -> DataFrame:
         few = right.join(F.broadcast(heat), keys, "left_semi")

@@ -7,7 +7,7 @@ global sort would shuffle all of it for no consumer.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from paddock.operators.joins import (
     with_actors,
     with_history,
 )
-from paddock.operators.skew import HOT_ROWS
+from paddock.operators.skew import HOT_ROWS, hot_groups
 from paddock.sources.warehouse import Tables
 
 FEATURE_COLUMNS = [
@@ -76,8 +76,38 @@ def participants_by_race(tables: Tables, races: Sequence[int] | None = None) ->
     return listed if races is None else listed.orderBy("race_id", "program_number")
 
 
+def _attach_history(
+    runners: DataFrame,
+    races: DataFrame,
+    stats_of: Callable[[DataFrame | None], DataFrame],
+    defaults: dict[str, float],
+    as_of: bool,
+    sizes: DataFrame,
+    hot_rows: int,
+) -> DataFrame:
+    """Runners with their horse's record, over all its history or only before each start.
+
+    `stats_of(starts)` gives the stats, per horse where starts is None. `sizes`
+    finds the horses with very many starts. A (horse, day) is no larger than its
+    horse, so days are only counted where some horse is that large.
+    """
+    if not as_of:
+        return with_history(runners, stats_of(None), defaults, sizes=sizes, hot_rows=hot_rows)
+    dated = runners.join(races.select("race_id", "program_date"), "race_id")
+    starts = dated.select("horse_id", "program_date")
+    limit = None if hot_groups(sizes, ["horse_id"], hot_rows) is None else hot_rows
+    joined = with_history(dated, stats_of(starts), defaults, ["horse_id", "program_date"], starts, limit)
+    return joined.drop("program_date")
+
+
 def _model_inputs(
-    tables: Tables, races: DataFrame, runners: DataFrame, scoped: bool, as_of: bool, hot_rows: int
+    tables: Tables,
+    races: DataFrame,
+    runners: DataFrame,
+    scoped: bool,
+    as_of: bool,
+    sizes: DataFrame | None,
+    hot_rows: int,
 ) -> DataFrame:
     """Star rows with the served history record of each runner's horse.
 
@@ -86,46 +116,56 @@ def _model_inputs(
     every horse anyway, so it aggregates the history directly.
     """
     history = tables["horse_race_history"]
-    if as_of:
-        days = races.select("race_id", "program_date")
-        starts = runners.select("race_id", "horse_id").join(days, "race_id")
-        stats = stats_as_of(history, starts)
-        dated = runners.join(days, "race_id")
-        keys = ["horse_id", "program_date"]
-        runners = with_history(dated, stats, SERVING_DEFAULTS, keys, starts, hot_rows)
-        races = races.drop("program_date")
-    else:
-        stats = serving_stats(history_for(history, runners) if scoped else history)
-        runners = with_history(
-            runners, stats, SERVING_DEFAULTS, sizes=runners.select("horse_id"), hot_rows=hot_rows
-        )
-    wide = star(tables, races, runners)
-    return wide.withColumnRenamed("pmu_number", "program_number").select(*FEATURE_COLUMNS)
+
+    def stats_of(starts: DataFrame | None) -> DataFrame:
+        if starts is not None:
+            return stats_as_of(history, starts)
+        return serving_stats(history_for(history, runners) if scoped else history)
+
+    counted = runners.select("horse_id") if sizes is None else sizes
+    known = _attach_history(runners, races, stats_of, SERVING_DEFAULTS, as_of, counted, hot_rows)
+    return star(tables, races, known).withColumnRenamed("pmu_number", "program_number").select(*FEATURE_COLUMNS)
 
 
 def race_features(
-    tables: Tables, races: Sequence[int] | None = None, as_of: bool = False, hot_rows: int = HOT_ROWS
+    tables: Tables,
+    races: Sequence[int] | None = None,
+    as_of: bool = False,
+    sizes: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Raw model inputs of each runner of the given races."""
+    """Raw model inputs of each runner of the given races.
+
+    `sizes` is any narrow table in which each horse is at least as frequent as
+    among the runners (default: the runners).
+    """
     runners = filter_race(tables["race_participant"], races)
     context = filter_race(race_context(tables), races)
-    inputs = _model_inputs(tables, context, runners, races is not None, as_of, hot_rows).drop("race_number")
+    inputs = _model_inputs(tables, context, runners, races is not None, as_of, sizes, hot_rows).drop("race_number")
     return inputs if races is None else inputs.orderBy("race_id", "program_number")
 
 
 def daily_features(
-    tables: Tables, dates: Sequence[str] | None = None, as_of: bool = False, hot_rows: int = HOT_ROWS
+    tables: Tables,
+    dates: Sequence[str] | None = None,
+    as_of: bool = False,
+    sizes: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Raw model inputs of every runner of the given days, in one plan."""
     runners, context = tables["race_participant"], race_context(tables, dates)
     if dates is not None:
         runners = runners.join(context.select("race_id"), "race_id", "left_semi")
-    inputs = _model_inputs(tables, context, runners, dates is not None, as_of, hot_rows)
+    inputs = _model_inputs(tables, context, runners, dates is not None, as_of, sizes, hot_rows)
     return inputs if dates is None else inputs.orderBy("race_id", "program_number")
 
 
 def training_set(
-    tables: Tables, as_of: bool = False, ordered: bool = False, hot_rows: int = HOT_ROWS
+    tables: Tables,
+    as_of: bool = False,
+    ordered: bool = False,
+    sizes: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Labelled runners with the lifetime record of their horse.
 
@@ -135,19 +175,15 @@ def training_set(
     runners = labelled(tables["race_participant"])
     races = race_context(tables)
     history = tables["horse_race_history"]
-    if as_of:
-        days = races.select("race_id", "program_date")
-        starts = runners.select("race_id", "horse_id").join(days, "race_id")
-        stats = stats_as_of(history, starts, counted="finish_place").withColumn(
-            "hist_avg_speed",
-            F.when(F.col("hist_races").isNotNull(), F.coalesce("hist_avg_speed", F.lit(DEFAULT_SPEED))),
-        )
-        dated = runners.join(days, "race_id")
-        runners = with_history(dated, stats, TRAINING_DEFAULTS, ["horse_id", "program_date"], starts, hot_rows)
-        races = races.drop("program_date")
-    else:
-        runners = with_history(
-            runners, lifetime_stats(history), TRAINING_DEFAULTS, sizes=runners.select("horse_id"), hot_rows=hot_rows
-        )
-    rows = star(tables, races, runners).withColumn("is_winner", is_winner()).select(*TRAINING_COLUMNS)
+
+    def stats_of(starts: DataFrame | None) -> DataFrame:
+        if starts is None:
+            return lifetime_stats(history)
+        known = F.col("hist_races").isNotNull()
+        speed = F.when(known, F.coalesce("hist_avg_speed", F.lit(DEFAULT_SPEED)))
+        return stats_as_of(history, starts, counted="finish_place").withColumn("hist_avg_speed", speed)
+
+    counted = runners.select("horse_id") if sizes is None else sizes
+    known = _attach_history(runners, races, stats_of, TRAINING_DEFAULTS, as_of, counted, hot_rows)
+    rows = star(tables, races, known).withColumn("is_winner", is_winner()).select(*TRAINING_COLUMNS)
     return rows.orderBy("program_date") if ordered else rows

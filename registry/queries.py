@@ -20,7 +20,7 @@ from paddock.ml.features import FeatureEngineer
 from paddock.operators import aggregates, checks, filters, joins, loading, scope, windows
 from paddock.operators.filters import is_winner
 from paddock.plans import cards, decisions, loads
-from paddock.session import tune
+from paddock.session import staged, tune
 from paddock.sources import derived_feeds as feeds
 from paddock.sources.derived import derived_tables, runner_lines, source, stand_in_probability
 from paddock.sources.feeds import parse_feed
@@ -65,6 +65,11 @@ def race_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return source(spark, folder, "lineitem").select(F.col("l_orderkey").alias("race_id"))
 
 
+def horse_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items per part bound the starts per horse from above."""
+    return source(spark, folder, "lineitem").select(F.col("l_partkey").alias("horse_id"))
+
+
 # Composite queries -----------------------------------------------------------
 
 
@@ -80,12 +85,12 @@ def participants_by_race(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def race_features(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(cards.race_features(derived_tables(spark, folder)), "hist_avg_speed", "hist_earnings")
+    return rounded(cards.race_features(derived_tables(spark, folder), sizes=horse_sizes(spark, folder)), "hist_avg_speed", "hist_earnings")
 
 
 @query
 def daily_features(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(cards.daily_features(derived_tables(spark, folder)), "hist_avg_speed", "hist_earnings")
+    return rounded(cards.daily_features(derived_tables(spark, folder), sizes=horse_sizes(spark, folder)), "hist_avg_speed", "hist_earnings")
 
 
 TRAINING_SUMS = ("hist_avg_rank", "hist_avg_speed", "hist_best_speed", "hist_earnings")
@@ -93,18 +98,18 @@ TRAINING_SUMS = ("hist_avg_rank", "hist_avg_speed", "hist_best_speed", "hist_ear
 
 @query
 def training_set(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(cards.training_set(derived_tables(spark, folder)), *TRAINING_SUMS)
+    return rounded(cards.training_set(derived_tables(spark, folder), sizes=horse_sizes(spark, folder)), *TRAINING_SUMS)
 
 
 @query
 def training_set_as_of(spark: SparkSession, folder: str) -> DataFrame:
-    rows = cards.training_set(derived_tables(spark, folder), as_of=True)
+    rows = cards.training_set(derived_tables(spark, folder), as_of=True, sizes=horse_sizes(spark, folder))
     return rounded(rows, *TRAINING_SUMS).select("participant_id", "hist_races", *TRAINING_SUMS)
 
 
 @query
 def history_as_of(spark: SparkSession, folder: str) -> DataFrame:
-    rows = cards.daily_features(derived_tables(spark, folder), as_of=True)
+    rows = cards.daily_features(derived_tables(spark, folder), as_of=True, sizes=horse_sizes(spark, folder))
     return rounded(rows, "hist_avg_speed", "hist_earnings").select(
         "race_id", "program_number", "hist_races", "hist_avg_speed", "hist_earnings"
     )
@@ -228,7 +233,8 @@ ENGINEERED = ("weather_temperature", "reference_odds", "winnings_per_race", "rel
 
 @query
 def engineered_features(spark: SparkSession, folder: str) -> DataFrame:
-    raw = cards.daily_features(derived_tables(spark, folder))
+    # Read three times: for the learned means, the means per track and the features.
+    raw = staged(cards.daily_features(derived_tables(spark, folder), sizes=horse_sizes(spark, folder)))
     model = FeatureEngineer().fit(raw).with_sizes(race_sizes(spark, folder))
     return rounded(model.transform(raw), *ENGINEERED)
 
@@ -587,10 +593,16 @@ def warehouse_violations(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def ordinal_encode(spark: SparkSession, folder: str) -> DataFrame:
     """Codes learned on even races, applied to all; names unseen there give -1."""
-    rows = cards.daily_features(derived_tables(spark, folder)).select(
-        "race_id", "program_number", "horse_name", "racetrack_code", "jockey_name"
+    tables = derived_tables(spark, folder)
+    wide = joins.star(tables, joins.race_context(tables), tables["race_participant"])
+    rows = staged(
+        wide.select(
+            "race_id",
+            F.col("pmu_number").alias("program_number"),
+            "horse_name",
+            *[filled(F.col(c)).alias(c) for c in ("racetrack_code", "jockey_name")],
+        )
     )
-    rows = rows.withColumns({c: filled(F.col(c)) for c in ("racetrack_code", "jockey_name")})
     encoder = OrdinalEncoder(inputCols=["horse_name", "racetrack_code", "jockey_name"])
     return encoder.fit(rows.where("race_id % 2 = 0")).transform(rows)
 
@@ -615,7 +627,7 @@ def train_and_score(spark: SparkSession, folder: str) -> DataFrame:
     """A model trained on all labelled runners, then the predicted ranking of every race."""
     tables = derived_tables(spark, folder)
     trained = training.train(tables, QUICK)
-    scored = training.score(cards.daily_features(tables), trained.model, race_sizes(spark, folder))
+    scored = training.score(cards.daily_features(tables, sizes=horse_sizes(spark, folder)), trained.model, race_sizes(spark, folder))
     return decisions.predict_race(scored, race_sizes(spark, folder))
 
 
@@ -624,5 +636,5 @@ def prediction_store(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions of a trained model as rows of the prediction table."""
     tables = derived_tables(spark, folder)
     trained = training.train(tables, QUICK)
-    scored = training.score(cards.daily_features(tables), trained.model, race_sizes(spark, folder))
+    scored = training.score(cards.daily_features(tables, sizes=horse_sizes(spark, folder)), trained.model, race_sizes(spark, folder))
     return training.predictions(scored, tables, "quick").drop("created_at")
