@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paddock.schemas import SMALL_MAX, SMALL_MIN, TABLES
+from paddock.schemas import SMALL_MAX, SMALL_MIN, TABLES, Table
 from paddock.sources.warehouse import Tables
 
 
@@ -33,36 +34,51 @@ def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.unpivot([], list(columns), "column_name", "nulls").where("nulls > 0")
 
 
+def out_of_range(widths: dict[str, int], small: Sequence[str]) -> Column:
+    """Whether a row has a text too long or a number beyond 16 bits."""
+    tests = [F.length(column) > width for column, width in widths.items()]
+    tests += [~F.col(column).between(SMALL_MIN, SMALL_MAX) for column in small]
+    return reduce(lambda a, b: a | b, [F.coalesce(test, F.lit(False)) for test in tests], F.lit(False))
+
+
 def check_range(df: DataFrame, widths: dict[str, int] | None = None, small: Sequence[str] = ()) -> DataFrame:
     """Rows with a text too long or a number beyond 16 bits."""
-    bad = F.lit(False)
-    for column, width in (widths or {}).items():
-        bad = bad | F.coalesce(F.length(column) > width, F.lit(False))
-    for column in small:
-        bad = bad | F.coalesce(~F.col(column).between(SMALL_MIN, SMALL_MAX), F.lit(False))
-    return df.where(bad)
+    return df.where(out_of_range(widths or {}, small))
+
+
+def _row_rules(df: DataFrame, table: Table) -> dict[tuple[str, str], Column]:
+    """The rules of a table that one row can break, by (rule, columns)."""
+    rules = {("not null", c): F.col(c).isNull() for c in table.required}
+    if table.widths or table.small:
+        columns = ",".join([*table.widths, *table.small])
+        rules["range", columns] = out_of_range(table.widths, table.small)
+    return rules
 
 
 def violations(tables: Tables) -> DataFrame:
-    """Number of violations of every declared rule that has any: table, rule, columns, rows."""
+    """Number of violations of every declared rule that has any: table, rule, columns, rows.
+
+    All rules on single rows of a table are counted in one scan of it.
+    """
     found: list[DataFrame] = []
 
-    def add(table: str, rule: str, columns: Sequence[str], bad: DataFrame) -> None:
-        label = F.lit(",".join(columns))
-        counted = bad.agg(F.count(F.lit(1)).alias("rows"))
-        found.append(counted.select(F.lit(table).alias("table"), F.lit(rule).alias("rule"), label.alias("columns"), "rows"))
+    def labelled(counts: DataFrame, table: str, rule: Column, columns: Column) -> None:
+        found.append(counts.select(F.lit(table).alias("table"), rule.alias("rule"), columns.alias("columns"), "rows"))
 
     for name, table in TABLES.items():
         df = tables[name]
+        total = F.count(F.lit(1)).alias("rows")
         if table.key:
-            add(name, "unique", table.key, check_unique(df, table.key))
+            repeated = check_unique(df, table.key).agg(total)
+            labelled(repeated, name, F.lit("unique"), F.lit(",".join(table.key)))
         for fk, (parent, pk) in table.foreign.items():
-            add(name, "foreign", [fk], check_fk(df, fk, tables[parent], pk))
-        for column in table.required:
-            add(name, "not null", [column], df.where(F.col(column).isNull()))
-        if table.widths or table.small:
-            add(name, "range", [*table.widths, *table.small], check_range(df, table.widths, table.small))
-    result = found[0]
-    for more in found[1:]:
-        result = result.unionByName(more)
-    return result.where("rows > 0")
+            labelled(check_fk(df, fk, tables[parent], pk).agg(total), name, F.lit("foreign"), F.lit(fk))
+        rules = _row_rules(df, table)
+        if rules:
+            counts = [
+                F.struct(F.lit(rule).alias("rule"), F.lit(columns).alias("columns"), F.count_if(bad).alias("rows"))
+                for (rule, columns), bad in rules.items()
+            ]
+            per_rule = df.agg(F.array(*counts).alias("rules")).select(F.inline("rules"))
+            labelled(per_rule, name, F.col("rule"), F.col("columns"))
+    return reduce(DataFrame.unionByName, found).where("rows > 0")

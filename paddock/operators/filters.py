@@ -45,21 +45,14 @@ def temporal_split(
     df: DataFrame, date_col: str = "program_date", test_days: int = 60, val_days: int = 30
 ) -> DataFrame:
     """Mark rows as train, val or test by their distance from the latest day."""
-    last = df.agg(F.max(date_col).alias("_last"))
+    last = df.agg(F.max(date_col)).scalar()
     day = F.col(date_col)
     part = (
-        F.when(day <= F.date_sub("_last", test_days + val_days), "train")
-        .when(day <= F.date_sub("_last", test_days), "val")
+        F.when(day <= F.date_sub(last, test_days + val_days), "train")
+        .when(day <= F.date_sub(last, test_days), "val")
         .when(day.isNotNull(), "test")
     )
-    # One aggregate row, so the broadcast is bounded.
-    one = F.lit(1)
-    return (
-        df.withColumn("_one", one)
-        .join(F.broadcast(last.withColumn("_one", one)), "_one")
-        .withColumn("split", part)
-        .drop("_one", "_last")
-    )
+    return df.withColumn("split", part)
 
 
 def value_mask(

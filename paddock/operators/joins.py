@@ -33,10 +33,14 @@ def star(tables: Tables, races: DataFrame, runners: DataFrame) -> DataFrame:
 
     `races` is race_context and `runners` rows of race_participant, both scoped
     by the caller. A runner's own sex gives way to the horse's.
+
+    The horse comes first, so that runners just joined to per-horse stats are not
+    shuffled again; the race comes last, so that its columns travel once and
+    per-race windows above find the rows already together.
     """
     shoeing = tables["lookup_shoeing"].select("shoeing_id", F.col("code").alias("shoeing_status"))
-    base = runners.drop("sex").join(races, "race_id").join(tables["horse"], "horse_id")
-    return with_actors(base.join(shoeing, "shoeing_id", "left"), tables, driver="jockey_name")
+    base = runners.drop("sex").join(tables["horse"], "horse_id").join(shoeing, "shoeing_id", "left")
+    return with_actors(base, tables, driver="jockey_name").join(races, "race_id")
 
 
 def history_for(history: DataFrame, runners: DataFrame) -> DataFrame:

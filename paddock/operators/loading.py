@@ -24,6 +24,7 @@ def load_once(
     order_by: Sequence[str],
     mode: str = "ignore",
     nullable_keys: bool = False,
+    prune_by: str | None = None,
 ) -> DataFrame:
     """Rows to store for a batch whose natural key is `keys`.
 
@@ -32,16 +33,27 @@ def load_once(
     such rows pass untouched, without any shuffle.
     update: the whole new state of the table; per column the latest non-null
     value of the batch wins over the stored one.
+
+    `prune_by` names a key column whose range in the batch is used to skip the
+    rest of the target; a daily load then reads only the stored files that can
+    hold its keys. It costs one pass over the batch.
     """
     keys = list(keys)
     if mode == "update":
         return _merged(batch, target, keys, order_by)
     keyed = batch.where(_has_key(keys)) if nullable_keys else batch
     first = top_k(keyed, keys, [F.col(c) for c in order_by], 1)
-    new = first.join(target.select(*keys), keys, "left_anti").select(*batch.columns)
+    stored = target if prune_by is None else _within(target, batch, prune_by)
+    new = first.join(stored.select(*keys), keys, "left_anti").select(*batch.columns)
     return new.unionByName(batch.where(~_has_key(keys))) if nullable_keys else new
 
 
+def _within(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """Target rows in the batch's range of a column, as literals that reach the file statistics."""
+    low, high = batch.agg(F.min(column), F.max(column)).first()
+    return target.where(F.lit(False)) if low is None else target.where(F.col(column).between(low, high))
+
+
 def _merged(batch: DataFrame, target: DataFrame, keys: list[str], order_by: Sequence[str]) -> DataFrame:
     """Target and batch reduced to one row per key; rows with a null key are kept as they are."""
     values = [c for c in target.columns if c not in keys and c in batch.columns]

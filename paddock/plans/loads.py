@@ -64,13 +64,13 @@ def load_program(landing: DataFrame, tables: Tables) -> Load:
     parsed = parse_feed(landing, "programme", keep=staged)
     rows: dict[str, DataFrame] = {}
 
-    days = load_once(parsed["days"], tables["daily_program"], ["program_date"], ["seq"])
+    days = load_once(parsed["days"], tables["daily_program"], ["program_date"], ["seq"], prune_by="program_date")
     start = top_id(tables["daily_program"], "program_id")
     rows["daily_program"] = _shaped(number_new(days, ["program_date"], "program_id", start), "daily_program")
     programs = _after(tables, rows, "daily_program")
 
     meetings = parsed["meetings"].join(programs, "program_date")
-    new = load_once(meetings, tables["race_meeting"], ["program_id", "meeting_number"], POSITION)
+    new = load_once(meetings, tables["race_meeting"], ["program_id", "meeting_number"], POSITION, prune_by="program_id")
     start = top_id(tables["race_meeting"], "meeting_id")
     numbered = number_new(new, ["program_id", "meeting_number"], "meeting_id", start)
     rows["race_meeting"] = _shaped(numbered, "race_meeting")
@@ -78,7 +78,7 @@ def load_program(landing: DataFrame, tables: Tables) -> Load:
 
     keys = ["program_date", "meeting_number"]
     races = parsed["races"].join(parents.select("meeting_id", *keys), keys)
-    new = load_once(races, tables["race"], ["meeting_id", "race_number"], [*POSITION, "j"])
+    new = load_once(races, tables["race"], ["meeting_id", "race_number"], [*POSITION, "j"], prune_by="meeting_id")
     start = top_id(tables["race"], "race_id")
     rows["race"] = _shaped(number_new(new, ["meeting_id", "race_number"], "race_id", start), "race")
     return Load(rows, parsed["rejects"], load_audit(parsed["documents"]))
@@ -130,7 +130,7 @@ def load_participants(
     facts = resolve_keys(facts, people, "driver_name", "actor_id", "actor_name", "driver_jockey_id")
     facts = resolve_keys(facts, _after(tables, rows, "lookup_shoeing"), "shoeing_code", "shoeing_id", "code")
     facts = resolve_keys(facts, _after(tables, rows, "lookup_incident"), "incident_code", "incident_id", "code")
-    new = load_once(facts, tables["race_participant"], ["race_id", "pmu_number"], POSITION)
+    new = load_once(facts, tables["race_participant"], ["race_id", "pmu_number"], POSITION, prune_by="race_id")
     start = top_id(tables["race_participant"], "participant_id")
     rows["race_participant"] = _shaped(number_stored(new, "participant_id", start), "race_participant")
     return Load(rows, parsed["rejects"], load_audit(parsed["documents"]))
@@ -143,7 +143,7 @@ def load_performances(landing: DataFrame, tables: Tables, dates: Sequence[str] |
     rows = {"horse": _members(tables, "horse", "horse_name", parsed["horses"], POSITION)}
     past = resolve_keys(parsed["history"], _after(tables, rows, "horse"), "horse_name", "horse_id")
     key = TABLES["horse_race_history"].key
-    new = load_once(past, tables["horse_race_history"], key, [*POSITION, "j"], nullable_keys=True)
+    new = load_once(past, tables["horse_race_history"], key, [*POSITION, "j"], nullable_keys=True, prune_by="race_date")
     start = top_id(tables["horse_race_history"], "history_id")
     rows["horse_race_history"] = _shaped(number_stored(new, "history_id", start), "horse_race_history")
     return Load(rows, parsed["rejects"], load_audit(parsed["documents"]))
@@ -156,7 +156,7 @@ def load_reports(landing: DataFrame, tables: Tables, dates: Sequence[str] | None
     parsed = parse_feed(_documents_of(landing, "reports", races), "reports", keep=staged)
     rows: dict[str, DataFrame] = {}
     bets = _with_race_id(parsed["bets"], races)
-    new = load_once(bets, tables["race_bet"], ["race_id", "bet_type"], POSITION, nullable_keys=True)
+    new = load_once(bets, tables["race_bet"], ["race_id", "bet_type"], POSITION, nullable_keys=True, prune_by="race_id")
     numbered = number_stored(new, "bet_id", top_id(tables["race_bet"], "bet_id"))
     rows["race_bet"] = _shaped(numbered, "race_bet")
 
@@ -167,7 +167,7 @@ def load_reports(landing: DataFrame, tables: Tables, dates: Sequence[str] | None
     fresh = numbered.where("bet_type is null").select("race_id", "seq", "i", "bet_id")
     untyped = payouts.where("bet_type is null").join(fresh, ["race_id", "seq", "i"])
     reports = typed.unionByName(untyped)
-    new = load_once(reports, tables["bet_report"], ["bet_id", "combination"], [*POSITION, "j"], nullable_keys=True)
+    new = load_once(reports, tables["bet_report"], ["bet_id", "combination"], [*POSITION, "j"], nullable_keys=True, prune_by="bet_id")
     start = top_id(tables["bet_report"], "report_id")
     rows["bet_report"] = _shaped(number_stored(new, "report_id", start), "bet_report")
     return Load(rows, parsed["rejects"], load_audit(parsed["documents"]))

@@ -56,7 +56,7 @@ def given_scores(tables: Tables) -> DataFrame:
     )
     races = joins.race_context(tables).select("race_id", "race_number", "program_date")
     names = tables["horse"].select("horse_id", "horse_name")
-    scored = runners.join(races, "race_id").join(names, "horse_id")
+    scored = runners.join(names, "horse_id").join(races, "race_id")
     return scored.withColumn("win_probability", stand_in_probability())
 
 
@@ -244,6 +244,7 @@ def temporal_split_counts(spark: SparkSession, folder: str) -> DataFrame:
     tables = derived_tables(spark, folder)
     runners = filters.labelled(tables["race_participant"]).select("race_id")
     dated = runners.join(joins.race_context(tables).select("race_id", "program_date"), "race_id")
+    dated = staged(dated.select("program_date"))  # read for the latest day, then for the split
     return aggregates.split_sizes(filters.temporal_split(dated))
 
 
