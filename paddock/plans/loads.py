@@ -20,7 +20,7 @@ from paddock.schemas import TABLES
 from paddock.session import staged
 from paddock.sources.feeds import parse_feed
 from paddock.sources.landing import write_dead_letters
-from paddock.sources.warehouse import Tables, append, create_warehouse
+from paddock.sources.warehouse import Tables, append, create_warehouse, open_warehouse
 
 POSITION = ["seq", "i"]
 STAGES = ("programme", "participants", "performances", "reports")
@@ -194,6 +194,7 @@ def run_stages(
 
     Returns the audit of each stage, or the error it failed with.
     """
+    create_warehouse(spark, root)
     scoped = landing if dates is None else landing.where(F.col("date_code").isin(*dates))
     jobs: dict[str, Callable[[Tables], Load]] = {
         "programme": lambda tables: load_program(scoped, tables),
@@ -206,7 +207,7 @@ def run_stages(
         if stage not in stages:
             continue
         try:
-            load = jobs[stage](create_warehouse(spark, root))
+            load = jobs[stage](open_warehouse(spark, root))
             commit(load, root, dead_letters)
             outcome[stage] = load.audit
         except Exception as error:  # noqa: BLE001 - reported to the caller per stage

@@ -34,6 +34,8 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Recording the call site of every column costs more driver time than planning.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     for name, value in RUNTIME.items():

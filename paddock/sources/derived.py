@@ -37,96 +37,81 @@ def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SOURCES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _pick(index: Column, *values: str) -> Column:
-    """The value at a zero-based position."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+PROGRAM_ID = f"cast(datediff(to_date(o_orderdate), date'{FIRST_DAY}') as bigint)"
+MEETING_ID = f"{PROGRAM_ID} * 10 + o_custkey % 5 + 1"
+RUNNER_ID = "l_orderkey * 100 + l_linenumber"
+BET_ID = "l_orderkey * 10 + case l_returnflag when 'A' then 1 when 'N' then 2 else 3 end"
 
 
-def _order_day() -> Column:
-    return F.to_date("o_orderdate")
-
-
-def _program_id() -> Column:
-    return F.datediff(_order_day(), F.lit(FIRST_DAY).cast("date")).cast("bigint")
-
-
-def _meeting_id() -> Column:
-    return _program_id() * 10 + F.col("o_custkey") % 5 + 1
+def _pick(index: str, *values: str) -> str:
+    """SQL for the value at a zero-based position."""
+    options = ", ".join(f"'{value}'" for value in values)
+    return f"element_at(array({options}), cast({index} + 1 as int))"
 
 
 def daily_program(orders: DataFrame) -> DataFrame:
-    return orders.select(_program_id().alias("program_id"), _order_day().alias("program_date")).distinct()
+    return orders.selectExpr(f"{PROGRAM_ID} as program_id", "to_date(o_orderdate) as program_date").distinct()
 
 
 def race_meeting(orders: DataFrame, nation: DataFrame) -> DataFrame:
-    ids = orders.select(
-        _meeting_id().alias("meeting_id"),
-        _program_id().alias("program_id"),
-        (F.col("o_custkey") % 5 + 1).cast("int").alias("meeting_number"),
+    ids = orders.selectExpr(
+        f"{MEETING_ID} as meeting_id",
+        f"{PROGRAM_ID} as program_id",
+        "cast(o_custkey % 5 + 1 as int) as meeting_number",
     ).distinct()
-    m = F.col("meeting_id")
-    tracks = nation.select(
-        F.col("n_nationkey").cast("bigint").alias("_track"), F.substring("n_name", 1, 10).alias("_code")
-    )
-    return ids.join(tracks, m % 25 == F.col("_track"), "left").select(
+    tracks = nation.selectExpr("cast(n_nationkey as bigint) as _track", "substring(n_name, 1, 10) as _code")
+    return ids.join(tracks, F.expr("meeting_id % 25 = _track"), "left").selectExpr(
         "meeting_id",
         "program_id",
         "meeting_number",
-        F.lit("TROT").alias("meeting_type"),
-        F.when(m % 50 != 3, F.col("_code")).alias("racetrack_code"),
-        F.when(m % 4 != 0, (m % 37).cast("double") - 5 + 0.5).alias("weather_temperature"),
-        F.when(m % 6 != 0, _pick(m % 4, "N", "S", "E", "O")).alias("weather_wind"),
+        "'TROT' as meeting_type",
+        "case when meeting_id % 50 <> 3 then _code end as racetrack_code",
+        "case when meeting_id % 4 <> 0 then cast(meeting_id % 37 as double) - 5 + 0.5D end as weather_temperature",
+        f"case when meeting_id % 6 <> 0 then {_pick('meeting_id % 4', 'N', 'S', 'E', 'O')} end as weather_wind",
     )
 
 
 def race(orders: DataFrame) -> DataFrame:
-    o = F.col("o_orderkey")
-    level = F.substring("o_orderpriority", 1, 1)
-    status = F.col("o_orderstatus")
-    return orders.select(
-        o.alias("race_id"),
-        _meeting_id().alias("meeting_id"),
-        o.alias("race_number"),
-        F.when(level.isin("1", "2"), "ATTELE").when(level == "3", "MONTE").when(level == "4", "PLAT").alias("discipline"),
-        F.col("o_orderpriority").alias("race_category"),
-        F.when(o % 13 != 0, (o % 20) * 100 + 1600).cast("int").alias("distance_m"),
-        F.when(o % 5 != 4, _pick(o % 5, "S", "P", "H", "C")).alias("track_type"),
-        F.when(o % 7 != 6, _pick(o % 3, "BON", "SOUPLE", "LOURD")).alias("terrain_label"),
-        F.when(o % 3 == 0, F.lit(2.5) + (o % 9) * 0.25).alias("penetrometer"),
-        F.when(o % 11 != 0, F.col("o_custkey") % 12 + 4).cast("int").alias("declared_runners_count"),
-        F.col("o_orderpriority").alias("conditions_text"),
-        F.when(status == "F", "FIN").when(status == "O", "FUT").otherwise("LIVE").alias("race_status"),
-        F.when(status == "F", o % 120 + 120).cast("int").alias("race_duration_s"),
-        status.alias("race_status_category"),
+    return orders.selectExpr(
+        "o_orderkey as race_id",
+        f"{MEETING_ID} as meeting_id",
+        "o_orderkey as race_number",
+        "case substring(o_orderpriority, 1, 1) when '1' then 'ATTELE' when '2' then 'ATTELE' "
+        "when '3' then 'MONTE' when '4' then 'PLAT' end as discipline",
+        "o_orderpriority as race_category",
+        "cast(case when o_orderkey % 13 <> 0 then o_orderkey % 20 * 100 + 1600 end as int) as distance_m",
+        f"case when o_orderkey % 5 <> 4 then {_pick('o_orderkey % 5', 'S', 'P', 'H', 'C')} end as track_type",
+        f"case when o_orderkey % 7 <> 6 then {_pick('o_orderkey % 3', 'BON', 'SOUPLE', 'LOURD')} end as terrain_label",
+        "case when o_orderkey % 3 = 0 then 2.5D + o_orderkey % 9 * 0.25D end as penetrometer",
+        "cast(case when o_orderkey % 11 <> 0 then o_custkey % 12 + 4 end as int) as declared_runners_count",
+        "o_orderpriority as conditions_text",
+        "case o_orderstatus when 'F' then 'FIN' when 'O' then 'FUT' else 'LIVE' end as race_status",
+        "cast(case when o_orderstatus = 'F' then o_orderkey % 120 + 120 end as int) as race_duration_s",
+        "o_orderstatus as race_status_category",
     )
 
 
 def horse(part: DataFrame) -> DataFrame:
-    size = F.col("p_size")
-    return part.select(
-        F.col("p_partkey").alias("horse_id"),
-        F.concat("p_name", F.lit("#"), F.col("p_partkey").cast("string")).alias("horse_name"),
-        F.when(size % 11 != 0, _pick(size % 3, "M", "F", "H")).alias("sex"),
-        F.when(size % 7 != 0, size % 12 + 1985).cast("int").alias("birth_year"),
+    return part.selectExpr(
+        "p_partkey as horse_id",
+        "concat(p_name, '#', p_partkey) as horse_name",
+        f"case when p_size % 11 <> 0 then {_pick('p_size % 3', 'M', 'F', 'H')} end as sex",
+        "case when p_size % 7 <> 0 then p_size % 12 + 1985 end as birth_year",
     )
 
 
 def racing_actor(supplier: DataFrame) -> DataFrame:
-    return supplier.select(F.col("s_suppkey").alias("actor_id"), F.col("s_name").alias("actor_name"))
+    return supplier.selectExpr("s_suppkey as actor_id", "s_name as actor_name")
 
 
 def lookup_shoeing(region: DataFrame) -> DataFrame:
-    key = F.col("r_regionkey")
-    return region.select(
-        (key + 1).cast("bigint").alias("shoeing_id"), _pick(key, "D4", "DP", "DA", "PA", "P4").alias("code")
-    )
+    code = _pick("r_regionkey", "D4", "DP", "DA", "PA", "P4")
+    return region.selectExpr("cast(r_regionkey + 1 as bigint) as shoeing_id", f"{code} as code")
 
 
 def lookup_incident(region: DataFrame) -> DataFrame:
-    key = F.col("r_regionkey")
-    return region.select(
-        (key + 1).cast("bigint").alias("incident_id"), _pick(key, "DAI", "DPG", "NP", "ARR", "T").alias("code")
-    )
+    code = _pick("r_regionkey", "DAI", "DPG", "NP", "ARR", "T")
+    return region.selectExpr("cast(r_regionkey + 1 as bigint) as incident_id", f"{code} as code")
 
 
 def runner_lines(lineitem: DataFrame) -> DataFrame:
@@ -135,80 +120,67 @@ def runner_lines(lineitem: DataFrame) -> DataFrame:
     return lineitem.withColumn("_slot", F.row_number().over(slot)).where("_slot = 1").drop("_slot")
 
 
-def _runner_id() -> Column:
-    return F.col("l_orderkey") * 100 + F.col("l_linenumber")
-
-
 def race_participant(lines: DataFrame) -> DataFrame:
-    q = F.col("l_quantity").cast("int")
-    part, number = F.col("l_partkey"), F.col("l_linenumber")
-    return lines.select(
-        _runner_id().alias("participant_id"),
-        F.col("l_orderkey").alias("race_id"),
-        part.alias("horse_id"),
-        number.alias("pmu_number"),
-        F.when(q % 9 != 0, q % 8 + 2).cast("int").alias("age"),
-        F.when(part % 6 != 5, _pick(part % 3, "M", "F", "H")).alias("sex"),
-        (F.col("l_suppkey") + 1).alias("trainer_id"),
-        F.when(number != 7, F.col("l_suppkey")).alias("driver_jockey_id"),
-        F.when(part % 8 != 7, part % 5 + 1).alias("shoeing_id"),
-        F.when(F.col("l_returnflag") == "R", part % 5 + 1).alias("incident_id"),
-        (q % 12).alias("career_races_count"),
-        F.when(F.col("l_discount") != 0, F.col("l_extendedprice")).alias("career_winnings"),
-        F.when(F.col("l_tax") != 0, F.col("l_quantity") * 0.5 + 1).alias("reference_odds"),
-        F.when(q % 10 != 0, F.col("l_quantity") * 0.25 + 1).alias("live_odds"),
-        F.concat("l_returnflag", "l_linestatus").alias("raw_performance_string"),
-        F.when(
-            F.col("l_returnflag") != "R", F.greatest(F.lit(1), F.floor(q / 8) + part % 3)
-        ).cast("int").alias("finish_rank"),
-        F.when(F.col("l_returnflag") != "R", q + 60).alias("time_achieved_s"),
-        (F.col("l_tax") + 1.1).alias("reduction_km"),
-        F.when(number % 2 == 0, "CONFIANT").alias("trainer_advice"),
+    return lines.selectExpr("*", "cast(l_quantity as int) as q").selectExpr(
+        f"{RUNNER_ID} as participant_id",
+        "l_orderkey as race_id",
+        "l_partkey as horse_id",
+        "l_linenumber as pmu_number",
+        "case when q % 9 <> 0 then q % 8 + 2 end as age",
+        f"case when l_partkey % 6 <> 5 then {_pick('l_partkey % 3', 'M', 'F', 'H')} end as sex",
+        "l_suppkey + 1 as trainer_id",
+        "case when l_linenumber <> 7 then l_suppkey end as driver_jockey_id",
+        "case when l_partkey % 8 <> 7 then l_partkey % 5 + 1 end as shoeing_id",
+        "case when l_returnflag = 'R' then l_partkey % 5 + 1 end as incident_id",
+        "q % 12 as career_races_count",
+        "case when l_discount <> 0 then l_extendedprice end as career_winnings",
+        "case when l_tax <> 0 then l_quantity * 0.5D + 1 end as reference_odds",
+        "case when q % 10 <> 0 then l_quantity * 0.25D + 1 end as live_odds",
+        "concat(l_returnflag, l_linestatus) as raw_performance_string",
+        "cast(case when l_returnflag <> 'R' then greatest(1, q div 8 + l_partkey % 3) end as int) as finish_rank",
+        "case when l_returnflag <> 'R' then q + 60 end as time_achieved_s",
+        "l_tax + 1.1D as reduction_km",
+        "case when l_linenumber % 2 = 0 then 'CONFIANT' end as trainer_advice",
     )
 
 
 def horse_race_history(lineitem: DataFrame) -> DataFrame:
-    kept = F.col("l_returnflag") != "R"
-    return lineitem.where("l_partkey % 10 <> 0").select(
-        _runner_id().alias("history_id"),
-        F.col("l_partkey").alias("horse_id"),
-        F.to_date("l_shipdate").alias("race_date"),
-        F.when(F.col("l_linestatus") == "F", "ATTELE").otherwise("MONTE").alias("discipline"),
-        F.col("l_extendedprice").alias("prize_money"),
-        (F.col("l_suppkey") % 15 * 100 + 1600).cast("int").alias("distance_m"),
-        (F.col("l_quantity") + 60).cast("int").alias("first_place_time_s"),
-        F.when(F.col("l_returnflag") != "A", F.col("l_linenumber")).alias("finish_place"),
-        F.col("l_returnflag").alias("finish_status"),
-        F.lit(60.0).alias("jockey_weight"),
-        F.col("l_linenumber").alias("draw_number"),
-        F.when(kept, F.col("l_tax") + 1.1).alias("reduction_km"),
-        F.lit(2700).alias("distance_traveled_m"),
+    return lineitem.where("l_partkey % 10 <> 0").selectExpr(
+        f"{RUNNER_ID} as history_id",
+        "l_partkey as horse_id",
+        "to_date(l_shipdate) as race_date",
+        "if(l_linestatus = 'F', 'ATTELE', 'MONTE') as discipline",
+        "l_extendedprice as prize_money",
+        "cast(l_suppkey % 15 * 100 + 1600 as int) as distance_m",
+        "cast(l_quantity + 60 as int) as first_place_time_s",
+        "case when l_returnflag <> 'A' then l_linenumber end as finish_place",
+        "l_returnflag as finish_status",
+        "60.0D as jockey_weight",
+        "l_linenumber as draw_number",
+        "case when l_returnflag <> 'R' then l_tax + 1.1D end as reduction_km",
+        "2700 as distance_traveled_m",
     )
 
 
 def race_bet(lineitem: DataFrame) -> DataFrame:
-    flag = F.col("l_returnflag")
-    code = F.when(flag == "A", 1).when(flag == "N", 2).otherwise(3)
-    return lineitem.select(
-        (F.col("l_orderkey") * 10 + code).alias("bet_id"),
-        F.col("l_orderkey").alias("race_id"),
-        F.when(flag == "A", "SG").when(flag == "N", "SP").otherwise("TRIO").alias("bet_type"),
-        F.lit("MUTUEL").alias("bet_family"),
-        F.lit(1.5).alias("base_stake"),
-        (flag == "R").alias("is_refunded"),
+    return lineitem.selectExpr(
+        f"{BET_ID} as bet_id",
+        "l_orderkey as race_id",
+        "case l_returnflag when 'A' then 'SG' when 'N' then 'SP' else 'TRIO' end as bet_type",
+        "'MUTUEL' as bet_family",
+        "1.5D as base_stake",
+        "l_returnflag = 'R' as is_refunded",
     ).distinct()
 
 
 def bet_report(lines: DataFrame) -> DataFrame:
-    flag = F.col("l_returnflag")
-    code = F.when(flag == "A", 1).when(flag == "N", 2).otherwise(3)
-    return lines.select(
-        _runner_id().alias("report_id"),
-        (F.col("l_orderkey") * 10 + code).alias("bet_id"),
-        F.col("l_linenumber").cast("string").alias("combination"),
-        (F.col("l_extendedprice") / 100).alias("dividend"),
-        (F.col("l_extendedprice") / 200).alias("dividend_per_1e"),
-        F.col("l_quantity").alias("winners_count"),
+    return lines.selectExpr(
+        f"{RUNNER_ID} as report_id",
+        f"{BET_ID} as bet_id",
+        "cast(l_linenumber as string) as combination",
+        "l_extendedprice / 100 as dividend",
+        "l_extendedprice / 200 as dividend_per_1e",
+        "l_quantity as winners_count",
     )
 
 
