@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from paddock.operators.filters import top_k
 from paddock.operators.ranking import number_all
 from paddock.session import durable
+from paddock.sources.warehouse import YEARS
 
 
 def _has_key(keys: Sequence[str]) -> Column:
@@ -49,9 +50,14 @@ def load_once(
 
 
 def _within(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """Target rows in the batch's range of a column, as literals that reach the file statistics."""
+    """Target rows in the batch's range of a column, as literals that reach folders and file statistics."""
     low, high = batch.agg(F.min(column), F.max(column)).first()
-    return target.where(F.lit(False)) if low is None else target.where(F.col(column).between(low, high))
+    if low is None:
+        return target.where(F.lit(False))
+    for year, day in YEARS.values():
+        if day == column and year in target.columns:
+            target = target.where(F.col(year).between(low.year, high.year))
+    return target.where(F.col(column).between(low, high))
 
 
 def _merged(batch: DataFrame, target: DataFrame, keys: list[str], order_by: Sequence[str]) -> DataFrame:

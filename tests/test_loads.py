@@ -9,7 +9,7 @@ from paddock.operators import checks, loading, scope
 from paddock.plans.loads import run_stages
 from paddock.sources.feeds import parse_feed
 from paddock.sources.landing import LANDING, read_documents, read_landing, write_landing
-from paddock.sources.warehouse import open_warehouse
+from paddock.sources.warehouse import append, create_warehouse, empty_warehouse, open_warehouse
 
 DAY = "01012024"
 PROGRAMME = {
@@ -193,6 +193,34 @@ def test_loading_twice_adds_nothing(spark):
     assert loading.load_once(batch, first, ["k"], ["seq"]).count() == 0
 
 
+@pytest.mark.parametrize("prune_by", ["k", None])
+def test_pruning_by_the_range_of_the_batch_changes_nothing(spark, prune_by):
+    target = spark.range(100).selectExpr("id as k", "0 as seq")
+    batch = spark.createDataFrame([(98, 1), (99, 1), (100, 2), (100, 1), (None, 1)], "k bigint, seq int")
+    got = loading.load_once(batch, target, ["k"], ["seq"], nullable_keys=True, prune_by=prune_by)
+    assert rows(got) == [(100, 1), (None, 1)]
+    nothing = loading.load_once(batch.where("k is null"), target, ["k"], ["seq"], nullable_keys=True, prune_by=prune_by)
+    assert rows(nothing) == [(None, 1)]
+
+
+def test_history_is_laid_out_by_year(spark, tmp_path):
+    columns = ("history_id", "horse_id", "race_date", "discipline", "distance_m")
+    history = empty_warehouse(spark)["horse_race_history"]
+    new = spark.createDataFrame(
+        [(1, 7, dt.date(2023, 5, 1), "ATTELE", 2100), (2, 7, dt.date(2024, 5, 1), "ATTELE", 2100), (3, 7, None, "MONTE", 1)],
+        "history_id bigint, horse_id bigint, race_date date, discipline string, distance_m int",
+    )
+    create_warehouse(spark, str(tmp_path))
+    append(history.unionByName(new, allowMissingColumns=True), str(tmp_path), "horse_race_history")
+    stored = open_warehouse(spark, str(tmp_path))["horse_race_history"]
+    assert rows(stored, *columns) == rows(new)
+    again = loading.load_once(
+        new.where("history_id = 2"), stored, columns[1:], ["history_id"], nullable_keys=True, prune_by="race_date"
+    )
+    assert again.count() == 0
+    assert "race_year#" in again._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_split_rejects(spark):
     ok, bad = loading.split_rejects(spark.createDataFrame([(1,), (None,), (5,)], "v int"), F.col("v") < 3)
     assert (rows(ok), rows(bad)) == ([(1,)], [(5,), (None,)])
