@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paddock.operators.aggregates import DEFAULT_SPEED, lifetime_stats, serving_stats
-from paddock.operators.filters import filter_date, filter_race, is_winner, labelled
+from paddock.operators.filters import filter_race, is_winner, labelled
 from paddock.operators.joins import (
     SERVING_DEFAULTS,
     TRAINING_DEFAULTS,
