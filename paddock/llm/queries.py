@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, sharding, token_output
+from . import chunk_dedup, exact_dedup, jaccard_join, packing, sharding, token_output
 from .common import shared_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +29,10 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(spark, path)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "shards")
     sharding.write_shards(table(spark, sf_dir, "documents"), path, shards=16)
@@ -51,11 +55,24 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = chunk_dedup.drop_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.when(F.col("spans").isNull(), 0).otherwise(F.size("spans")).cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_output": op3_token_output,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_sharding": op5_sharding,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
+    "op10_chunk_dedup": op10_chunk_dedup,
 }
 
 ORACLE: dict[str, str] = {
