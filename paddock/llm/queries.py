@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_dedup, exact_dedup, jaccard_join, packing, sharding, token_output
+from . import chunk_dedup, decontaminate, exact_dedup, jaccard_join, packing, sharding, token_output, toxicity
 from .common import shared_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +23,11 @@ def new_folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "tokens")
     token_output.write_tokens(table(spark, sf_dir, "documents"), path, TOKENIZER)
@@ -47,6 +52,22 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
+    """Learnt from all labels but those held out."""
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.fit(table(spark, sf_dir, "documents"), labels.where(~toxicity.held_out(F.col("doc_id"))))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_duplicates(table(spark, sf_dir, "documents")).drop("chain")
 
@@ -67,9 +88,11 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_token_output": op3_token_output,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_sharding": op5_sharding,
+    "op7_toxicity": op7_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
     "op10_chunk_dedup": op10_chunk_dedup,
