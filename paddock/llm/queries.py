@@ -9,7 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_dedup, decontaminate, exact_dedup, jaccard_join, packing, sharding, token_output, toxicity
+from . import (
+    chunk_dedup,
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    jaccard_join,
+    packing,
+    sharding,
+    token_output,
+    toxicity,
+)
 from .common import shared_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -52,6 +62,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
     """Learnt from all labels but those held out."""
     labels = table(spark, sf_dir, "labels")
@@ -92,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_output": op3_token_output,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_sharding": op5_sharding,
+    "op6_html_extract": op6_html_extract,
     "op7_toxicity": op7_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
