@@ -319,3 +319,22 @@ def near_duplicates(
         "set_id",
         "text_hash",
     )
+
+
+def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs, with all columns, whose id is the least of their class.
+
+    Rows without words all stay. Of rows that repeat with the least id, one stays.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    same_id = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    keep = found.where(same_id).groupBy("doc_id", "text_hash", "set_id", "n_links").agg(F.first("class_id").alias("_class"))
+    names = {"doc_id": "_id", "text_hash": "_hash", "set_id": "_set", "n_links": "_links"}
+    # Where ids repeat, one class may have its least id more than once; the least text hash stays.
+    keep = keep.withColumnsRenamed(names)
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[id_col].cast("long").alias("_own"), F.xxhash64(text).alias("_own_hash"))
+    kept = row.join(keep, row._own.eqNullSafe(keep._id) & (row._own_hash == keep._hash))
+    alone = kept.where("_links = 0 OR _set IS NULL").select("_row")
+    once = kept.where("_links > 0 AND _set IS NOT NULL").groupBy("_id", "_hash").agg(F.first("_row").alias("_row")).select("_row")
+    return alone.unionByName(once).select("_row.*")
