@@ -249,7 +249,7 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row for each row of docs: doc_id, class_id, n_links, set_id, text_hash.
+    """One row for each row of docs: doc_id, class_id, n_links, class_key, text_hash.
 
     Words are lower-cased and stand between white space. n_links counts the other rows whose
     set of `words`-word shingles has a Jaccard similarity of `similarity` or more, copies
@@ -309,32 +309,37 @@ def near_duplicates(
     )
     roots = named.groupBy("root").agg(F.min("least_id").alias("class_id"))
     answers = named.join(roots, "root").join(links, "set_id", "left").select(
-        "set_id", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+        "set_id", F.col("root").alias("class_key"), "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
     result = sets.select("doc_id", "text_hash", "set_id").join(answers, "set_id", "left")
     return result.select(
         "doc_id",
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        "set_id",
+        "class_key",
         "text_hash",
     )
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs, with all columns, whose id is the least of their class.
+    """One row of each class, with all columns: the one with the least id (null last), then text hash.
 
-    Rows without words all stay. Of rows that repeat with the least id, one stays.
+    Rows without words all stay, but rows equal in id and text count once.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    same_id = F.col("doc_id").eqNullSafe(F.col("class_id"))
-    keep = found.where(same_id).groupBy("doc_id", "text_hash", "set_id", "n_links").agg(F.first("class_id").alias("_class"))
-    names = {"doc_id": "_id", "text_hash": "_hash", "set_id": "_set", "n_links": "_links"}
-    # Where ids repeat, one class may have its least id more than once; the least text hash stays.
-    keep = keep.withColumnsRenamed(names)
+    # A row without words is its own class.
+    key = F.coalesce("class_key", F.concat(F.lit("none:"), F.coalesce("doc_id", F.lit(-1)).cast("string")).cast("binary"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    keep = found.groupBy(key.alias("_key")).agg(F.min(order).alias("least"), F.count("*").alias("_rows"))
+    keep = keep.select("_key", "_rows", F.col("least.doc_id").alias("_id"), F.col("least.text_hash").alias("_hash"))
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[id_col].cast("long").alias("_own"), F.xxhash64(text).alias("_own_hash"))
+    row = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+        docs[id_col].cast("long").alias("_own"),
+        F.xxhash64(text).alias("_own_hash"),
+    )
     kept = row.join(keep, row._own.eqNullSafe(keep._id) & (row._own_hash == keep._hash))
-    alone = kept.where("_links = 0 OR _set IS NULL").select("_row")
-    once = kept.where("_links > 0 AND _set IS NOT NULL").groupBy("_id", "_hash").agg(F.first("_row").alias("_row")).select("_row")
+    # Only in a class of several rows can the row that stays repeat.
+    alone = kept.where("_rows = 1").select("_row")
+    once = kept.where("_rows > 1").groupBy("_key").agg(F.first("_row").alias("_row")).select("_row")
     return alone.unionByName(once).select("_row.*")

@@ -17,6 +17,7 @@ from . import (
     jaccard_join,
     packing,
     sharding,
+    suffix_dedup,
     token_output,
     toxicity,
 )
@@ -33,6 +34,17 @@ def new_folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        F.when(F.col("kept").isNull(), 0).otherwise(F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("text_hash")
@@ -103,6 +115,7 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_token_output": op3_token_output,
     "op4_jaccard_join": op4_jaccard_join,
