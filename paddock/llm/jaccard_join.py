@@ -26,7 +26,7 @@ from .components import components
 
 LEVELS = 2
 SETS = (
-    "doc_id long, text_hash long, set_id binary, sketch array<long>, "
+    "doc_id long, text_hash long, set_id binary, sketch array<int>, "
     "paths array<struct<path: bigint, next: array<bigint>>>"
 )
 COLUMNS = 4096  # distinct shingles that are compared at once
@@ -100,7 +100,7 @@ def sketch_sets(docs: DataFrame, *, words: int, similarity: float, runs: int, sk
                     batch.column("text_hash"),
                     pa.array(ids, pa.binary()),
                     # One value more than the sketch's length tells that the set goes on.
-                    pa.array([(s[: sketch + 1] >> np.uint64(1)).astype(np.int64) for s in found], pa.list_(pa.int64())),
+                    pa.array([np.unique(s[: sketch + 1] >> np.uint64(33)).astype(np.int32) for s in found], pa.list_(pa.int32())),
                     pa.array([chosen_paths(s, seeds, similarity) if len(s) else [] for s in found], kind),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", "set_id", "sketch", "paths"])
@@ -158,7 +158,7 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 def sketch_similar(sketches: list[np.ndarray], length: int, least: float) -> np.ndarray:
     """Which pairs have an estimated similarity of at least `least`."""
-    most = np.iinfo(np.int64).max
+    most = np.iinfo(np.int32).max
     ends = np.array([s[length - 1] if len(s) > length else most for s in sketches])
     cut = [s[:length] for s in sketches]
     both = common_counts(cut).astype(float)
@@ -270,17 +270,21 @@ def near_duplicates(
         .groupBy("set_id")
         .agg(F.count("*").alias("copies"), F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"))
     )
-    reps = sets.join(
-        classes.select("set_id", "rep"),
-        (sets.set_id == classes.set_id) & F.struct(sets.doc_id, sets.text_hash).eqNullSafe(F.col("rep")),
-    ).select(sets.set_id, "sketch", "paths").dropDuplicates(["set_id"])
-    first = staged(reps.select("set_id", "sketch", F.explode("paths").alias("p")).select("set_id", "sketch", "p.*"))
-
-    sizes = first.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-    sized = first.join(sizes, "path")
-    small = sized.where(F.col("n") <= bucket_rows).select(F.col("path").alias("bucket"), "set_id", "sketch")
-    large = sized.where(F.col("n") > bucket_rows).select(F.explode("next").alias("bucket"), "set_id", "sketch")
-    buckets = _blocked(small.union(large), "bucket", bucket_rows)
+
+    # Narrow rows first: a path is of use where two different sets have it, which the least and the
+    # greatest of their hashes tell without a list of them.
+    paths = sets.select("set_id", F.explode("paths.path").alias("path"))
+    own = F.xxhash64("set_id")
+    shared = paths.groupBy("path").agg(F.min(own).alias("a"), F.max(own).alias("b")).where("a <> b").select("path")
+    first = staged(paths.join(shared, "path").distinct())
+    sizes = first.groupBy("path").agg(F.count("*").alias("n"))
+    large = sizes.where(F.col("n") > bucket_rows).select("path")
+    small = first.join(large, "path", "left_anti").select(F.col("path").alias("bucket"), "set_id")
+    onward = sets.select("set_id", F.explode("paths").alias("p")).select("set_id", "p.*").join(large, "path")
+    onward = onward.select(F.explode("next").alias("bucket"), "set_id").distinct()
+    wanted_sketches = sets.join(first.select("set_id").distinct(), "set_id", "left_semi")
+    sketches = wanted_sketches.groupBy("set_id").agg(F.first("sketch").alias("sketch"))
+    buckets = _blocked(small.union(onward), "bucket", bucket_rows).join(sketches, "set_id")
     sorted_buckets = buckets.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "set_id")
     maybe = sorted_buckets.select("bucket", "low", "high", "set_id", "sketch").mapInArrow(
         _bucket_edges(sketch, similarity - slack), "a binary, b binary"
@@ -311,14 +315,16 @@ def near_duplicates(
     answers = named.join(roots, "root").join(links, "set_id", "left").select(
         "set_id", F.col("root").alias("class_key"), "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
     )
-    result = sets.select("doc_id", "text_hash", "set_id").join(answers, "set_id", "left")
-    return result.select(
+    result = sets.where("set_id IS NOT NULL").select("doc_id", "text_hash", "set_id").join(answers, "set_id")
+    wordless = sets.where("set_id IS NULL").select(
         "doc_id",
-        F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        "class_key",
+        F.col("doc_id").alias("class_id"),
+        F.lit(0).cast("long").alias("n_links"),
+        F.lit(None).cast("binary").alias("class_key"),
         "text_hash",
     )
+    linked = result.select("doc_id", "class_id", F.col("n_links").cast("long").alias("n_links"), "class_key", "text_hash")
+    return linked.unionByName(wordless)
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -328,7 +334,8 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     # A row without words is its own class.
-    key = F.coalesce("class_key", F.concat(F.lit("none:"), F.coalesce("doc_id", F.lit(-1)).cast("string")).cast("binary"))
+    alone = F.concat_ws(":", F.lit("alone"), F.col("doc_id").cast("string"), F.col("text_hash").cast("string"))
+    key = F.coalesce("class_key", alone.cast("binary"))
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
     keep = found.groupBy(key.alias("_key")).agg(F.min(order).alias("least"), F.count("*").alias("_rows"))
     keep = keep.select("_key", "_rows", F.col("least.doc_id").alias("_id"), F.col("least.text_hash").alias("_hash"))
@@ -340,6 +347,6 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     )
     kept = row.join(keep, row._own.eqNullSafe(keep._id) & (row._own_hash == keep._hash))
     # Only in a class of several rows can the row that stays repeat.
-    alone = kept.where("_rows = 1").select("_row")
+    single = kept.where("_rows = 1").select("_row")
     once = kept.where("_rows > 1").groupBy("_key").agg(F.first("_row").alias("_row")).select("_row")
-    return alone.unionByName(once).select("_row.*")
+    return single.unionByName(once).select("_row.*")
