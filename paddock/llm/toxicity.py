@@ -47,12 +47,11 @@ def _places(text: str, words: dict[str, int]) -> list[int]:
     return [words[w] for w in words.keys() & WORD.findall(text.lower())]
 
 
-def _counterfactuals(text: str, groups: tuple[tuple[str, ...], ...], most: int) -> list[str]:
-    """Copies in which each identity term is replaced by the next ones of its list, in turn."""
+def _counterfactuals(text: str, groups: tuple[tuple[str, ...], ...]) -> list[str]:
+    """Copies in which each identity term is replaced by each other one of its list, in turn."""
     follows = {term: (group, i) for group in groups for i, term in enumerate(group)}
     low = text.lower()
-    if not any(w in follows for w in WORD.findall(low)):
-        return []
+    longest = max((len(follows[w][0]) for w in WORD.findall(low) if w in follows), default=0)
 
     def swapped(step: int):
         def swap(match: re.Match) -> str:
@@ -61,17 +60,17 @@ def _counterfactuals(text: str, groups: tuple[tuple[str, ...], ...], most: int)
 
         return WORD.sub(swap, low)
 
-    return [swapped(step) for step in range(1, most + 1)]
+    return [swapped(step) for step in range(1, longest)]
 
 
-def _train(texts, labels, shares, words, groups, *, l2, swap_penalty, swaps, rounds) -> ToxicityModel:
+def _train(texts, labels, shares, words, groups, *, l2, swap_penalty, rounds) -> ToxicityModel:
     """Full-batch gradient descent with per-weight step sizes (Adam); the loss is convex.
 
     shares: how many training texts each given one of a label stands for.
     """
     y = np.array(labels, float)
     rows = [np.array(_places(t, words), np.int64) for t in texts]
-    pairs = [(i, np.array(_places(c, words), np.int64)) for i, t in enumerate(texts) for c in _counterfactuals(t, groups, swaps)]
+    pairs = [(i, np.array(_places(c, words), np.int64)) for i, t in enumerate(texts) for c in _counterfactuals(t, groups)]
     at, cols = np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate([*rows, np.empty(0, np.int64)])
     n, size = len(rows), len(words)
     # Each pair is a row of differences between the sentence's features and its copy's.
@@ -116,7 +115,6 @@ def fit(
     groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS,
     l2: float = 1e-5,
     swap_penalty: float = 1.0,
-    swaps: int = 2,
     rounds: int = 400,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -167,7 +165,7 @@ def fit(
     sample.sort()
     texts, marks = zip(*sample, strict=True)
     shares = {1: max(1.0, n1 / training_rows), 0: max(1.0, n0 / training_rows)}
-    return _train(texts, marks, shares, words, groups, l2=l2, swap_penalty=swap_penalty, swaps=swaps, rounds=rounds)
+    return _train(texts, marks, shares, words, groups, l2=l2, swap_penalty=swap_penalty, rounds=rounds)
 
 
 def score(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
