@@ -51,7 +51,11 @@ def split_sizes(df: DataFrame) -> DataFrame:
 
 
 def log_loss(df: DataFrame, p: str, y: str) -> DataFrame:
-    """Mean negative log likelihood of binary labels, as one row."""
+    """Mean negative log likelihood of binary labels, as one row.
+
+    Rows whose probability is null or NaN, or whose label is null, are left out.
+    """
+    df = df.where(F.nanvl(F.col(p).cast("double"), F.lit(None)).isNotNull() & F.col(y).isNotNull())
     safe = F.least(F.greatest(F.col(p), F.lit(EPSILON)), F.lit(1.0 - EPSILON))
     loss = F.when(F.col(y) == 1, -F.log(safe)).otherwise(-F.log(F.lit(1.0) - safe))
     return df.agg(F.avg(loss).alias("log_loss"))

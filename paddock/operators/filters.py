@@ -58,8 +58,10 @@ def temporal_split(
 def value_mask(
     df: DataFrame, min_edge: float = MIN_EDGE, lo: float = MIN_ODDS, hi: float = MAX_ODDS
 ) -> DataFrame:
-    """Runners whose edge and odds are in range, limits included; missing values never pass."""
-    return df.where((F.col("edge") >= min_edge) & F.col("reference_odds").between(lo, hi))
+    """Runners whose edge and odds are in range, limits included; null and NaN never pass."""
+    # NaN counts as greater than any number, so it is turned into null first.
+    edge, odds = (F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in ("edge", "reference_odds"))
+    return df.where((edge >= min_edge) & odds.between(lo, hi))
 
 
 def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:

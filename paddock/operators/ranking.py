@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paddock.operators.skew import HOT_ROWS, by_heat
+from paddock.operators.skew import HOT_ROWS, by_heat, keyed_join
 from paddock.session import durable
 
-# Value ranges a huge group is cut into.
-SHARDS = 128
+# A range of fewer rows costs more to start than to sum.
+LEAST_RANGE = 1_000
 
 
 def falling(value: Column) -> list[Column]:
@@ -25,58 +27,41 @@ def rising(value: Column) -> list[Column]:
 
 
 def totals_before(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    sums: dict[str, str],
-    whole_rows: int = HOT_ROWS,
-    shards: int = SHARDS,
+    df: DataFrame, keys: Sequence[str], order: str, sums: dict[str, str], whole_rows: int = HOT_ROWS
 ) -> DataFrame:
     """For each row, totals over the rows of its key that sort before it.
 
-    `df` has one row per (keys, order) and few keys (at most HOT_KEYS); `sums`
-    maps a value column to its output column. If no key has more than
-    `whole_rows` rows, one window per key will do. Otherwise each key is cut into
-    ranges at rows picked by hash, so the cuts are the same on every
-    recomputation; the ranges are summed in parallel and each starts from the
-    total of those before.
+    `df` has one row per (keys, order); `sums` maps a value column to its output
+    column. If no key has more than `whole_rows` rows, one window per key will do.
+    Otherwise all rows are sorted into ranges of about that many; the ranges are
+    stored, summed in parallel, and each starts from the total of its key's rows
+    in the ranges before. Their number grows with the rows, so no task does.
     """
-    df, keys = durable(df), list(keys)
-    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    if (rows.agg(F.max("_rows")).first()[0] or 0) <= whole_rows:
+    df, keys, zero = durable(df), list(keys), F.lit(0)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    largest, rows = sizes.agg(F.max("_rows"), F.sum("_rows")).first()
+    if (largest or 0) <= whole_rows:
         ahead = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        sofar = {out: F.coalesce(F.sum(v).over(ahead), F.lit(0)) for v, out in sums.items()}
+        sofar = {out: F.coalesce(F.sum(v).over(ahead), zero) for v, out in sums.items()}
         return df.withColumns(sofar)
-    step = F.greatest(F.lit(1), F.floor(F.col("_rows") / shards))
-    cuts = (
-        df.select(*keys, order)
-        .join(F.broadcast(rows), keys)
-        .where(F.pmod(F.xxhash64(order), step) == 0)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(order)).alias("_cuts"))
-    )
-    shard = F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
-    placed = (
-        df.join(F.broadcast(cuts), keys, "left")
-        .withColumn("_shard", F.when(F.col("_cuts").isNull(), 0).otherwise(shard))
-        .drop("_cuts")
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
+    count = max(2, -(-rows // max(whole_rows, LEAST_RANGE)))
+    ranges = df.repartitionByRange(count, *keys, order)
+    placed = durable(ranges.withColumn("_range", F.spark_partition_id()))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     heads = (
-        placed.groupBy(*keys, "_shard")
+        placed.groupBy(*keys, "_range")
         .agg(*[F.sum(value).alias(f"_in_{value}") for value in sums])
         .select(
             *keys,
-            "_shard",
+            "_range",
             *[F.sum(f"_in_{value}").over(earlier).alias(f"_head_{value}") for value in sums],
         )
     )
     inside = (
-        Window.partitionBy(*keys, "_shard").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
     run = placed.select("*", *[F.sum(v).over(inside).alias(f"_run_{v}") for v in sums])
-    joined = run.join(heads, [*keys, "_shard"])
-    zero = F.lit(0)
+    joined = keyed_join(run, durable(heads), [*keys, "_range"], "inner")
     for value, out in sums.items():
         total = F.coalesce(f"_head_{value}", zero) + F.coalesce(f"_run_{value}", zero)
         joined = joined.withColumn(out, total)
@@ -95,7 +80,10 @@ def spread_rank(
     counts = keyed.groupBy(*keys, "_order").agg(F.count(F.lit(1)).alias("_n"))
     ranks = totals_before(counts, keys, "_order", {"_n": "_before"}, whole_rows)
     ranks = ranks.select(*keys, "_order", (F.col("_before") + 1).alias(out))
-    return keyed.join(ranks, [*keys, "_order"]).drop("_order")
+    ranks = ranks.withColumnsRenamed({k: f"_right_{k}" for k in [*keys, "_order"]})
+    same = [keyed[k].eqNullSafe(ranks[f"_right_{k}"]) for k in [*keys, "_order"]]
+    joined = keyed.join(ranks, reduce(and_, same))
+    return joined.drop("_order", *[f"_right_{k}" for k in [*keys, "_order"]])
 
 
 def group_rank(

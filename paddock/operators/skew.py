@@ -3,24 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paddock.session import durable
 
-# A group above HOT_ROWS gets the split treatment. Only the HOT_KEYS largest
-# groups do, which bounds every broadcast of per-hot-group data; any group
-# beyond them is smaller than all of those and runs in the ordinary plan.
+# A group above HOT_ROWS gets the split treatment, however many such groups there
+# are. The number only chooses a plan: results are equal, up to the last bit of sums.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
 
-# Largest lookup side that is broadcast once its row count has been measured.
+# Largest lookup side that is broadcast once its row count has been measured; a
+# larger one is joined by shuffle, with the same result.
 BROADCAST_ROWS = 10_000
 
 
+def keyed_join(left: DataFrame, stored: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join to a stored table in which null keys match null keys, broadcast if it is small."""
+    right = stored.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(and_, [left[k].eqNullSafe(right[f"_right_{k}"]) for k in keys])
+    small = stored.count() <= BROADCAST_ROWS
+    joined = left.join(F.broadcast(right) if small else right, same, how)
+    return joined.drop(*[f"_right_{k}" for k in keys])
+
+
 def hot_groups(source: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys of the largest groups (at most HOT_KEYS rows, so safe to broadcast), None if no group is huge.
+    """Keys of all groups above hot_rows, a null key among them, None if no group is huge.
 
     Counts rows per group, which combines map-side; only the largest count
     comes back to the driver. The keys are stored so that every branch of a
@@ -30,8 +40,7 @@ def hot_groups(source: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS)
     largest = counts.agg(F.max("_rows")).first()[0]
     if largest is None or largest <= hot_rows:
         return None
-    huge = counts.where(F.col("_rows") > hot_rows)
-    return durable(huge.orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS).select(*keys))
+    return durable(counts.where(F.col("_rows") > hot_rows).select(*keys))
 
 
 def by_heat(
@@ -51,8 +60,8 @@ def by_heat(
     heat = hot_groups(df if sizes is None else sizes, keys, hot_rows)
     if heat is None:
         return cold(df)
-    ordinary = df.join(F.broadcast(heat), list(keys), "left_anti")
-    huge = df.join(F.broadcast(heat), list(keys), "left_semi")
+    ordinary = keyed_join(df, heat, keys, "left_anti")
+    huge = keyed_join(df, heat, keys, "left_semi")
     return cold(ordinary).unionByName(hot(huge, heat))
 
 
@@ -63,7 +72,7 @@ def lookup_join(
     sizes: DataFrame | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Left join to a side that is unique per key, with the hot keys of `left` broadcast.
+    """Left join to a side that is unique per key, with the hot keys of `left` broadcast if few.
 
     Use it where `right` comes straight from an aggregate: AQE only splits hot
     partitions of joins whose two inputs are plain exchanges. `hot_rows=None`
@@ -74,8 +83,7 @@ def lookup_join(
         return left.join(right, keys, "left")
 
     def hot(rows: DataFrame, heat: DataFrame) -> DataFrame:
-        few = right.join(F.broadcast(heat), keys, "left_semi")
-        return rows.join(F.broadcast(few), keys, "left")
+        return sized_join(rows, keyed_join(right, heat, keys, "left_semi"), keys)
 
     return by_heat(left, keys, lambda rows: rows.join(right, keys, "left"), hot, sizes, hot_rows)
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from paddock.operators.filters import top_k
 from paddock.operators.ranking import falling, group_rank, rising
-from paddock.operators.skew import HOT_ROWS, by_heat, sized_join
+from paddock.operators.skew import HOT_ROWS, by_heat, keyed_join, sized_join
+from paddock.session import durable
 
 
 def with_group_mean(
@@ -18,7 +19,7 @@ def with_group_mean(
     """Add the mean of each column over the row's group; `cols` maps column to output.
 
     Ordinary groups use a window, huge ones a pre-aggregated mean that is
-    broadcast (one row per huge group).
+    stored (one row per huge group) and joined back.
     """
     window = Window.partitionBy(key)
 
@@ -27,7 +28,7 @@ def with_group_mean(
 
     def hot(rows: DataFrame, _: DataFrame) -> DataFrame:
         means = rows.groupBy(key).agg(*[F.avg(c).alias(out) for c, out in cols.items()])
-        return rows.join(F.broadcast(means), key)
+        return keyed_join(rows, durable(means), [key], "inner")
 
     return by_heat(df, [key], cold, hot, sizes, hot_rows)
 

@@ -60,12 +60,13 @@ VIEWS: dict[str, str] = {
           CASE WHEN l_linenumber % 2 = 0 THEN 'CONFIANT' END AS trainer_advice
         FROM (SELECT *, CAST(l_quantity AS INTEGER) AS q FROM lines)""",
     "horse_race_history": """
-        SELECT l_partkey AS horse_id, CAST(l_shipdate AS DATE) AS race_date,
+        SELECT l_partkey + CASE WHEN l_partkey % 10 = 0 THEN 1 ELSE 0 END AS horse_id,
+          CAST(l_shipdate AS DATE) AS race_date,
           CASE WHEN l_linestatus = 'F' THEN 'ATTELE' ELSE 'MONTE' END AS discipline,
           l_extendedprice AS prize_money, CAST(l_suppkey % 15 * 100 + 1600 AS INTEGER) AS distance_m,
           CASE WHEN l_returnflag <> 'A' THEN l_linenumber END AS finish_place, l_returnflag AS finish_status,
           CASE WHEN l_returnflag <> 'R' THEN l_tax + 1.1 END AS reduction_km
-        FROM lineitem WHERE l_partkey % 10 <> 0""",
+        FROM lineitem""",
     "race_bet": """
         SELECT DISTINCT l_orderkey * 10 + CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS bet_id,
           l_orderkey AS race_id,

@@ -14,20 +14,19 @@ def scored(spark, *runners):
 
 
 def test_value_pick_keeps_the_underrated_runner(spark):
-    df = scored(spark, ("Fav", 1.1, 0.8), ("SniperTarget", 10.0, 0.2), ("Loser", 8.0, 0.05))
+    df = scored(spark, ("Fav", 1.1, 0.8), ("Underrated", 10.0, 0.2), ("Loser", 8.0, 0.05))
     bet = decisions.value_bets(df).collect()
-    assert [b["horse_name"] for b in bet] == ["SniperTarget"]
+    assert [b["horse_name"] for b in bet] == ["Underrated"]
     assert bet[0]["edge"] == pytest.approx(0.1)
     assert bet[0]["strategy"] == "Sniper"
 
 
 def test_value_pick_ignores_short_long_and_missing_odds(spark):
     df = scored(
-        spark, ("Sniper Choice", 10.0, 0.20), ("Low Odds Fav", 2.0, 0.60), ("Longshot", 50.0, 0.05),
+        spark, ("Fair Price", 10.0, 0.20), ("Short Price", 2.0, 0.60), ("Outsider", 50.0, 0.05),
         ("No odds", None, 0.9), ("NaN", float("nan"), 0.9), ("No score", 10.0, None), ("NaN score", 10.0, float("nan")),
     )
-    df = df.withColumn("win_probability", F.nanvl("win_probability", F.lit(None)))
-    assert [b["horse_name"] for b in decisions.value_bets(df).collect()] == ["Sniper Choice"]
+    assert [b["horse_name"] for b in decisions.value_bets(df).collect()] == ["Fair Price"]
 
 
 def test_value_limits_are_inclusive(spark):
@@ -44,9 +43,9 @@ def test_empty_day_has_no_picks(spark):
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 1])
 def test_predicted_rank(spark, hot_rows):
-    df = scored(spark, ("B", 10.0, 0.2), ("A", 5.0, 0.8), ("C", 5.0, 0.2), ("D", 5.0, None))
+    df = scored(spark, ("B", 10.0, 0.2), ("A", 5.0, 0.8), ("C", 5.0, 0.2), ("D", 5.0, None), ("E", 5.0, float("nan")))
     got = decisions.predict_race(df, hot_rows=hot_rows).collect()
-    assert {r["horse_name"]: r["predicted_rank"] for r in got} == {"A": 1, "B": 2, "C": 3, "D": 4}
+    assert {r["horse_name"]: r["predicted_rank"] for r in got} == {"A": 1, "B": 2, "C": 3, "D": 4, "E": 5}
 
 
 def test_analysis_falls_back_where_no_runner_is_listed(spark):

@@ -106,3 +106,19 @@ def test_history_defaults(spark):
     assert rows(served, "horse_id", "hist_races", "hist_avg_speed", "hist_earnings") == [(1, 1, 1.2, 0.0), (2, 0, 1.2, 0.0)]
     trained = with_history(runners, aggregates.lifetime_stats(history), {"hist_earnings": 0.0, "hist_races": 0})
     assert rows(trained, "horse_id", "hist_races", "hist_avg_speed") == [(1, 0, 1.2), (2, 0, None)]
+
+
+def test_all_hot_keys_are_split_and_a_null_key_too(spark, monkeypatch):
+    monkeypatch.setattr("paddock.operators.skew.BROADCAST_ROWS", 3)  # more hot keys than are broadcast
+    key = F.when(F.col("id") % 8 > 0, F.col("id") % 8)
+    df = spark.range(160).select(key.alias("k"), (F.col("id") * 7 % 160).alias("v"))
+    assert hot_groups(df, ["k"], 5).count() == 8
+    ranked = lambda hot_rows: rows(ranking.group_rank(df, ["k"], [F.col("v")], "rank", hot_rows=hot_rows))
+    assert ranked(5) == ranked(1_000_000)
+    means = lambda hot_rows: rows(windows.with_group_mean(df, {"v": "mean"}, "k", hot_rows=hot_rows))
+    assert means(5) == means(1_000_000)
+
+
+def test_missing_scores_are_left_out_of_the_log_loss(spark):
+    df = spark.createDataFrame([(0.5, 1), (None, 1), (float("nan"), 0), (0.5, None)], "p double, y int")
+    assert abs(aggregates.log_loss(df, "p", "y").first()[0] - 0.6931471805599453) < 1e-12
