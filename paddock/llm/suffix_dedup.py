@@ -379,7 +379,8 @@ def remove_repeats(
     """
     keyed = document_keys(docs, id_col, text_col)
     anchors = staged(keyed.mapInArrow(_anchor_rows(length, gram), ANCHORS))
-    often = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # Stored, so that the join's two sides are plain exchanges and Spark can split a hot gram.
+    often = staged(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
     places = anchors.join(often, "gram").groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("place", "gram")).alias("at"))
     places = places.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     # The texts that may lose something stay at hand; all others are finished here.
@@ -395,6 +396,7 @@ def remove_repeats(
         )
     )
     drop_staged(anchors)
+    drop_staged(often)
     reach = length - gram
     maybe = sorted_out.where("text IS NOT NULL").select("doc_id", "text_hash", "text", "at")
     context = maybe.mapInArrow(_context_rows(reach, length), CONTEXTS)
