@@ -275,8 +275,10 @@ def near_duplicates(
     # greatest of their hashes tell without a list of them.
     paths = sets.select("set_id", F.explode("paths.path").alias("path"))
     own = F.xxhash64("set_id")
-    shared = paths.groupBy("path").agg(F.min(own).alias("a"), F.max(own).alias("b")).where("a <> b").select("path")
+    # Stored, so that the join's two sides are plain exchanges and Spark can split a hot path.
+    shared = staged(paths.groupBy("path").agg(F.min(own).alias("a"), F.max(own).alias("b")).where("a <> b").select("path"))
     first = staged(paths.join(shared, "path").distinct())
+    drop_staged(shared)
     sizes = first.groupBy("path").agg(F.count("*").alias("n"))
     large = sizes.where(F.col("n") > bucket_rows).select("path")
     small = first.join(large, "path", "left_anti").select(F.col("path").alias("bucket"), "set_id")
