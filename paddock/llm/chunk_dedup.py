@@ -162,11 +162,14 @@ def find_repeats(
     # min() over a struct is combined in the map tasks, so a chunk that stands in a third of all
     # documents sends one row for each task; only chunks seen twice are looked up again.
     place = F.struct("doc_id", "text_hash", "start")
+    # Stored, so that the join's two sides are plain exchanges and Spark can split a hot chunk.
     firsts = found.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    again = found.join(firsts.select("digest", "first"), "digest").where(~place.eqNullSafe(F.col("first")))
+    firsts = staged(firsts.select("digest", "first"))
+    again = found.join(firsts, "digest").where(~place.eqNullSafe(F.col("first")))
     own = again.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "length")).alias("parts"))
     result = staged(own.mapInArrow(_merge(least_run), f"doc_id long, text_hash long, spans {SPANS}"))
     drop_staged(found)
+    drop_staged(firsts)
     return result
 
 
