@@ -302,7 +302,7 @@ def _split_large(rows: DataFrame, length: int, gram: int, largest: int) -> tuple
     group = ["gram", "low", "high", "core"]
     right = F.octet_length("context") - F.col("left")
     while True:
-        sizes = rows.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > largest)
+        sizes = staged(rows.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > largest))
         if sizes.isEmpty():
             return (rows if done is None else done.unionByName(rows)), answers
         sized = staged(rows.join(sizes, group, "left"))
@@ -314,7 +314,7 @@ def _split_large(rows: DataFrame, length: int, gram: int, largest: int) -> tuple
         whole = (span_from == F.col("high")) & (span_to == length - F.col("low"))
         large = staged(large.withColumns({"_span": F.when(whole, span), "_id": F.xxhash64("left", "c1", "c2")}))
         same = large.where("_span IS NOT NULL").groupBy(*group, "_span").agg(F.count("*").alias("_same"), F.min("_id").alias("_keep"))
-        marked = staged(large.join(same, [*group, "_span"], "left"))
+        marked = staged(large.join(staged(same), [*group, "_span"], "left"))
         alike = marked.where("_same > 1")
         answers.append(alike.where("asks").select("gram", "left", "c1", "c2", (-F.col("high")).alias("from"), (length - F.col("low")).alias("to")))
         kept = marked.where("_same IS NULL OR _same = 1 OR _id = _keep").where("low < high")
@@ -421,7 +421,8 @@ def remove_repeats(
     )
     equal = classes.where("n > 1").select(*one, (-F.col("left")).alias("from"), F.col("right").alias("to"))
     mixed = classes.groupBy("gram").agg(F.count("*").alias("k"), F.max(F.expr("n = 1")).alias("single")).where("k > 1 AND single")
-    asked = classes.join(mixed.select("gram"), "gram").select(*one, "n", "rep.*")
+    mixed = staged(mixed.select("gram"))  # stored for the same reason as `often`
+    asked = classes.join(mixed, "gram").select(*one, "n", "rep.*")
     # Fetch the contexts of one member of each class that has others beside it.
     asked_at = asked.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("place", "gram")).alias("at"))
     asked_at = asked_at.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
