@@ -181,13 +181,17 @@ def _roots(linked: np.ndarray) -> np.ndarray:
     return root
 
 
-def _blocked(df: DataFrame, key: str, block_rows: int) -> DataFrame:
+def _sizes(df: DataFrame, key: str) -> DataFrame:
+    """Rows per group of two rows or more. Stored, so that Spark can split a hot group where it is joined."""
+    return staged(df.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1"))
+
+
+def _blocked(df: DataFrame, sizes: DataFrame, key: str, block_rows: int) -> DataFrame:
     """Deal groups of more than block_rows rows to pairs of blocks, so any two rows meet once.
 
     Adds `block` and the pair (`low`, `high`); each row of a group of b blocks stands in b pairs.
     Groups of one row are left out.
     """
-    sizes = df.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
     sized = df.join(sizes, key).withColumn("_blocks", F.ceil(F.col("_n") / block_rows).cast("int"))
     block = F.pmod(F.xxhash64("set_id"), F.col("_blocks")).cast("int")
     others = F.sequence(F.lit(0), F.col("_blocks") - 1)
@@ -280,19 +284,22 @@ def near_duplicates(
     first = staged(paths.join(shared, "path").distinct())
     drop_staged(shared)
     sizes = first.groupBy("path").agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") > bucket_rows).select("path")
+    large = staged(sizes.where(F.col("n") > bucket_rows).select("path"))
     small = first.join(large, "path", "left_anti").select(F.col("path").alias("bucket"), "set_id")
     onward = sets.select("set_id", F.explode("paths").alias("p")).select("set_id", "p.*").join(large, "path")
     onward = onward.select(F.explode("next").alias("bucket"), "set_id").distinct()
     wanted_sketches = sets.join(first.select("set_id").distinct(), "set_id", "left_semi")
     sketches = wanted_sketches.groupBy("set_id").agg(F.first("sketch").alias("sketch"))
-    buckets = _blocked(small.union(onward), "bucket", bucket_rows).join(sketches, "set_id")
+    in_buckets = small.union(onward)
+    bucket_sizes = _sizes(in_buckets, "bucket")
+    buckets = _blocked(in_buckets, bucket_sizes, "bucket", bucket_rows).join(sketches, "set_id")
     sorted_buckets = buckets.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "set_id")
     maybe = sorted_buckets.select("bucket", "low", "high", "set_id", "sketch").mapInArrow(
         _bucket_edges(sketch, similarity - slack), "a binary, b binary"
     )
     found = staged(components(maybe))
     drop_staged(first)
+    drop_staged(bucket_sizes)
 
     # Whole sets decide. Only one text of each set in a component is fetched.
     wanted = found.join(classes, found.node == classes.set_id).select(
@@ -301,7 +308,8 @@ def near_duplicates(
     keyed = document_keys(docs, id_col, text_col)
     fetched = keyed.join(wanted, keyed.doc_id.eqNullSafe(wanted._id) & (keyed.text_hash == wanted._hash))
     members = fetched.select("set_id", "root", "copies", "text").dropDuplicates(["set_id"])
-    dealt = _blocked(members, "root", bucket_rows // 2)
+    # Every set found has one member, so the narrow table tells the sizes.
+    dealt = _blocked(members, _sizes(found, "root"), "root", bucket_rows // 2)
     verified = staged(
         dealt.repartition("root", "low", "high")
         .sortWithinPartitions("root", "low", "high", "set_id")
