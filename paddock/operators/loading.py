@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from paddock.operators.filters import top_k
 from paddock.operators.ranking import number_all
+from paddock.schemas import TABLES
 from paddock.session import durable
-from paddock.sources.warehouse import YEARS
+from paddock.sources.warehouse import LAYOUTS
 
 
 def _has_key(keys: Sequence[str]) -> Column:
@@ -54,30 +55,61 @@ def _within(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
     low, high = batch.agg(F.min(column), F.max(column)).first()
     if low is None:
         return target.where(F.lit(False))
-    for year, day in YEARS.values():
-        if day == column and year in target.columns:
-            target = target.where(F.col(year).between(low.year, high.year))
+    for layout in LAYOUTS.values():
+        if layout.column == column:
+            target = layout.between(target, F.lit(low), F.lit(high))
     return target.where(F.col(column).between(low, high))
 
 
+def latest_known(batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """One row per key with the last non-null value of each column; rows with a null key stay as they are.
+
+    The reduction runs in the map tasks first, so a key that repeats a lot costs one row per task.
+    """
+    at = F.struct(*[F.col(c) for c in order_by])
+    values = [c for c in batch.columns if c not in keys]
+    last = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(c) for c in values]
+    reduced = batch.where(_has_key(keys)).groupBy(*keys).agg(*last)
+    return reduced.unionByName(batch.where(~_has_key(keys))).select(*batch.columns)
+
+
+def refreshed(target: DataFrame, latest: DataFrame, keys: Sequence[str], fixed: Sequence[str] = ()) -> DataFrame:
+    """Target rows with the known values of `latest`, which has one row per key; `fixed` columns keep theirs."""
+    values = [c for c in target.columns if c in latest.columns and c not in keys and c not in fixed]
+    news = latest.where(_has_key(keys)).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in values])
+    joined = target.join(news, list(keys), "left")
+    return joined.select(*[F.coalesce(f"_new_{c}", c).alias(c) if c in values else F.col(c) for c in target.columns])
+
+
+def updated(target: DataFrame, latest: DataFrame, name: str, prune_by: str | None = None) -> DataFrame | None:
+    """The stored rows to write again so that a table holds the values of `latest`; None where it does already.
+
+    These are all rows of the folders with a value that changes, or the whole of a table without folders.
+    """
+    table, layout = TABLES[name], LAYOUTS.get(name)
+    keys, near = list(table.key), target if prune_by is None else _within(target, latest, prune_by)
+    known = latest.where(_has_key(keys))
+    values = [c for c in target.columns if c in latest.columns and c not in keys and c != table.id]
+    news = known.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in values])
+    differs = reduce(
+        lambda a, b: a | b, [F.coalesce(~F.col(f"_new_{c}").eqNullSafe(F.col(c)), F.lit(False)) & F.col(f"_new_{c}").isNotNull() for c in values]
+    )
+    changed = near.join(news, keys).where(differs)
+    if layout is None or layout.folder not in target.columns:
+        return None if changed.isEmpty() else refreshed(target, latest, keys, [table.id])
+    folders = [row[0] for row in changed.select(layout.folder).distinct().collect()]  # one row per folder
+    if not folders:
+        return None
+    inside = reduce(lambda a, b: a | b, [F.col(layout.folder).eqNullSafe(F.lit(f)) for f in folders])
+    return refreshed(target.where(inside), latest, keys, [table.id])
+
+
 def _merged(batch: DataFrame, target: DataFrame, keys: list[str], order_by: Sequence[str]) -> DataFrame:
-    """Target and batch reduced to one row per key; rows with a null key are kept as they are."""
-    values = [c for c in target.columns if c not in keys and c in batch.columns]
-    order = F.struct(F.lit(1).alias("from_batch"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)])
-    newer = batch.select(*keys, *values, order.alias("_order"))
-    blank = F.lit(None).cast(newer.schema["_order"].dataType)
-    rest = [c for c in target.columns if c not in keys and c not in values]
-    older = target.select(*keys, *values, *rest, blank.alias("_order"))
-    both = newer.unionByName(older, allowMissingColumns=True)
-
-    def latest(column: str) -> Column:
-        """Newest non-null; stored rows have a null order and sort first."""
-        rank = F.struct(F.col("_order").isNotNull().alias("new"), F.col("_order").alias("at"))
-        return F.max_by(F.col(column), F.when(F.col(column).isNotNull(), rank)).alias(column)
-
-    merged = both.where(_has_key(keys)).groupBy(*keys).agg(*[latest(c) for c in [*values, *rest]])
-    unkeyed = both.where(~_has_key(keys)).drop("_order")
-    return merged.unionByName(unkeyed).select(*target.columns)
+    """Target rows brought up to date, then the keys it lacks; rows with a null key are kept as they are."""
+    latest = latest_known(batch, keys, order_by)
+    new = latest.join(target.select(*keys), keys, "left_anti")
+    whole = refreshed(target, latest, keys).unionByName(new, allowMissingColumns=True)
+    return whole.select(*target.columns)
 
 
 def top_id(target: DataFrame, id_col: str) -> int:

@@ -9,18 +9,27 @@ executor is lost before they are written.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.operators.loading import load_audit, load_once, number_new, number_stored, resolve_keys, top_id
+from paddock.operators.loading import (
+    latest_known,
+    load_audit,
+    load_once,
+    number_new,
+    number_stored,
+    resolve_keys,
+    top_id,
+    updated,
+)
 from paddock.operators.scope import work_list
 from paddock.schemas import TABLES
 from paddock.session import staged
 from paddock.sources.feeds import parse_feed
 from paddock.sources.landing import write_dead_letters
-from paddock.sources.warehouse import Tables, append, create_warehouse, open_warehouse
+from paddock.sources.warehouse import Tables, append, create_warehouse, open_warehouse, replace
 
 POSITION = ["seq", "i"]
 STAGES = ("programme", "participants", "performances", "reports")
@@ -28,16 +37,18 @@ STAGES = ("programme", "participants", "performances", "reports")
 
 @dataclass
 class Load:
-    """New rows per table, rejected documents, and the audit by feed and status."""
+    """New rows per table, rejected documents, the audit by feed and status, and stored rows to write again."""
 
     rows: dict[str, DataFrame]
     rejects: DataFrame
     audit: DataFrame
+    updates: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def _after(tables: Tables, rows: dict[str, DataFrame], name: str) -> DataFrame:
     """A table as it will be once its new rows are appended."""
-    return tables[name].unionByName(rows[name]) if name in rows else tables[name]
+    stored = tables[name].select(*TABLES[name].columns)
+    return stored.unionByName(rows[name]) if name in rows else stored
 
 
 def _shaped(df: DataFrame, name: str) -> DataFrame:
@@ -51,16 +62,52 @@ def _shaped(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _members(tables: Tables, name: str, label: str, candidates: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """New members of a dimension, numbered by name; the first candidate of a name wins."""
+def _entries(
+    tables: Tables,
+    name: str,
+    batch: DataFrame,
+    order_by: Sequence[str],
+    updates: dict[str, DataFrame] | None,
+    nullable_keys: bool = False,
+    prune_by: str | None = None,
+) -> DataFrame:
+    """Rows of the batch that a table lacks, the first of each key.
+
+    Given `updates`, the latest known value of each column counts instead, and goes into the stored row of
+    that key as well: what is to be written again is put into `updates`.
+    """
+    if updates is not None:
+        batch = staged(latest_known(batch, TABLES[name].key, order_by))
+        again = updated(tables[name], batch, name, prune_by)
+        if again is not None:
+            updates[name] = again
+    return load_once(batch, tables[name], TABLES[name].key, order_by, nullable_keys=nullable_keys, prune_by=prune_by)
+
+
+def _members(
+    tables: Tables,
+    name: str,
+    label: str,
+    candidates: DataFrame,
+    order_by: Sequence[str],
+    updates: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """New members of a dimension, numbered by name; the first candidate of a name wins unless updating."""
     known = TABLES[name]
     named = candidates.where(F.coalesce(label, F.lit("")) != "")
-    new = load_once(named, tables[name], [label], order_by)
+    new = _entries(tables, name, named, order_by, updates)
     return _shaped(number_new(new, [label], known.id, top_id(tables[name], known.id)), name)
 
 
-def load_program(landing: DataFrame, tables: Tables) -> Load:
+def _updates(mode: str) -> dict[str, DataFrame] | None:
+    if mode not in ("ignore", "update"):
+        raise ValueError(f"unknown mode {mode}")
+    return {} if mode == "update" else None
+
+
+def load_program(landing: DataFrame, tables: Tables, mode: str = "ignore") -> Load:
     """Days, meetings and trot races of landed programmes."""
+    updates = _updates(mode)
     parsed = parse_feed(landing, "programme", keep=staged)
     rows: dict[str, DataFrame] = {}
 
@@ -70,7 +117,7 @@ def load_program(landing: DataFrame, tables: Tables) -> Load:
     programs = _after(tables, rows, "daily_program")
 
     meetings = parsed["meetings"].join(programs, "program_date")
-    new = load_once(meetings, tables["race_meeting"], ["program_id", "meeting_number"], POSITION, prune_by="program_id")
+    new = _entries(tables, "race_meeting", meetings, POSITION, updates, prune_by="program_id")
     start = top_id(tables["race_meeting"], "meeting_id")
     numbered = number_new(new, ["program_id", "meeting_number"], "meeting_id", start)
     rows["race_meeting"] = _shaped(numbered, "race_meeting")
@@ -78,10 +125,10 @@ def load_program(landing: DataFrame, tables: Tables) -> Load:
 
     keys = ["program_date", "meeting_number"]
     races = parsed["races"].join(parents.select("meeting_id", *keys), keys)
-    new = load_once(races, tables["race"], ["meeting_id", "race_number"], [*POSITION, "j"], prune_by="meeting_id")
+    new = _entries(tables, "race", races, [*POSITION, "j"], updates, prune_by="meeting_id")
     start = top_id(tables["race"], "race_id")
     rows["race"] = _shaped(number_new(new, ["meeting_id", "race_number"], "race_id", start), "race")
-    return Load(rows, parsed["rejects"], load_audit(parsed["documents"]))
+    return Load(rows, parsed["rejects"], load_audit(parsed["documents"]), updates or {})
 
 
 def _documents_of(landing: DataFrame, feed: str, races: DataFrame) -> DataFrame:
@@ -106,15 +153,16 @@ def _with_race_id(rows: DataFrame, races: DataFrame) -> DataFrame:
 
 
 def load_participants(
-    landing: DataFrame, tables: Tables, as_of_year: int, dates: Sequence[str] | None = None
+    landing: DataFrame, tables: Tables, as_of_year: int, dates: Sequence[str] | None = None, mode: str = "ignore"
 ) -> Load:
     """Runners of the listed races with their horses, people, shoeing and incidents."""
+    updates = _updates(mode)
     races = work_list(tables, dates)
     parsed = parse_feed(_documents_of(landing, "participants", races), "participants", as_of_year, keep=staged)
     runners = parsed["runners"]
     rows: dict[str, DataFrame] = {}
 
-    rows["horse"] = _members(tables, "horse", "horse_name", runners, POSITION)
+    rows["horse"] = _members(tables, "horse", "horse_name", runners, POSITION, updates)
     people = runners.select(
         F.explode(F.array("trainer_name", "driver_name")).alias("actor_name"), *POSITION
     )
@@ -130,33 +178,39 @@ def load_participants(
     facts = resolve_keys(facts, people, "driver_name", "actor_id", "actor_name", "driver_jockey_id")
     facts = resolve_keys(facts, _after(tables, rows, "lookup_shoeing"), "shoeing_code", "shoeing_id", "code")
     facts = resolve_keys(facts, _after(tables, rows, "lookup_incident"), "incident_code", "incident_id", "code")
-    new = load_once(facts, tables["race_participant"], ["race_id", "pmu_number"], POSITION, prune_by="race_id")
+    new = _entries(tables, "race_participant", facts, POSITION, updates, prune_by="race_id")
     start = top_id(tables["race_participant"], "participant_id")
     rows["race_participant"] = _shaped(number_stored(new, "participant_id", start), "race_participant")
-    return Load(rows, parsed["rejects"], load_audit(parsed["documents"]))
+    return Load(rows, parsed["rejects"], load_audit(parsed["documents"]), updates or {})
 
 
-def load_performances(landing: DataFrame, tables: Tables, dates: Sequence[str] | None = None) -> Load:
+def load_performances(
+    landing: DataFrame, tables: Tables, dates: Sequence[str] | None = None, mode: str = "ignore"
+) -> Load:
     """Past races of the horses in the listed races, of any discipline on the card."""
+    updates = _updates(mode)
     races = work_list(tables, dates, disciplines=None)
     parsed = parse_feed(_documents_of(landing, "performances", races), "performances", keep=staged)
     rows = {"horse": _members(tables, "horse", "horse_name", parsed["horses"], POSITION)}
     past = resolve_keys(parsed["history"], _after(tables, rows, "horse"), "horse_name", "horse_id")
-    key = TABLES["horse_race_history"].key
-    new = load_once(past, tables["horse_race_history"], key, [*POSITION, "j"], nullable_keys=True, prune_by="race_date")
+    order = [*POSITION, "j"]
+    new = _entries(tables, "horse_race_history", past, order, updates, nullable_keys=True, prune_by="race_date")
     start = top_id(tables["horse_race_history"], "history_id")
     rows["horse_race_history"] = _shaped(number_stored(new, "history_id", start), "horse_race_history")
-    return Load(rows, parsed["rejects"], load_audit(parsed["documents"]))
+    return Load(rows, parsed["rejects"], load_audit(parsed["documents"]), updates or {})
 
 
-def load_reports(landing: DataFrame, tables: Tables, dates: Sequence[str] | None = None) -> Load:
+def load_reports(
+    landing: DataFrame, tables: Tables, dates: Sequence[str] | None = None, mode: str = "ignore"
+) -> Load:
     """Bets and pay-outs of the listed races. A pay-out whose bet type is unknown has no parent and is dropped
     unless the bet row itself is new."""
+    updates = _updates(mode)
     races = work_list(tables, dates)
     parsed = parse_feed(_documents_of(landing, "reports", races), "reports", keep=staged)
     rows: dict[str, DataFrame] = {}
     bets = _with_race_id(parsed["bets"], races)
-    new = load_once(bets, tables["race_bet"], ["race_id", "bet_type"], POSITION, nullable_keys=True, prune_by="race_id")
+    new = _entries(tables, "race_bet", bets, POSITION, updates, nullable_keys=True, prune_by="race_id")
     numbered = number_stored(new, "bet_id", top_id(tables["race_bet"], "bet_id"))
     rows["race_bet"] = _shaped(numbered, "race_bet")
 
@@ -167,15 +221,20 @@ def load_reports(landing: DataFrame, tables: Tables, dates: Sequence[str] | None
     fresh = numbered.where("bet_type is null").select("race_id", "seq", "i", "bet_id")
     untyped = payouts.where("bet_type is null").join(fresh, ["race_id", "seq", "i"])
     reports = typed.unionByName(untyped)
-    new = load_once(reports, tables["bet_report"], ["bet_id", "combination"], [*POSITION, "j"], nullable_keys=True, prune_by="bet_id")
+    new = _entries(tables, "bet_report", reports, [*POSITION, "j"], updates, nullable_keys=True, prune_by="bet_id")
     start = top_id(tables["bet_report"], "report_id")
     rows["bet_report"] = _shaped(number_stored(new, "report_id", start), "bet_report")
-    return Load(rows, parsed["rejects"], load_audit(parsed["documents"]))
+    return Load(rows, parsed["rejects"], load_audit(parsed["documents"]), updates or {})
 
 
 def commit(load: Load, root: str, dead_letters: str) -> None:
-    """Append the new rows, parents first, and keep the rejected documents."""
+    """Write updated rows again, append the new ones, parents first, and keep the rejected documents.
+
+    Updates come first: they replace whole folders, which do not hold the new rows yet.
+    """
     for name in TABLES:
+        if name in load.updates:
+            replace(load.updates[name], root, name)
         if name in load.rows:
             append(load.rows[name], root, name)
     write_dead_letters(load.rejects, dead_letters)
@@ -189,18 +248,20 @@ def run_stages(
     as_of_year: int,
     dates: Sequence[str] | None = None,
     stages: Sequence[str] = STAGES,
+    mode: str = "ignore",
 ) -> dict[str, DataFrame | Exception]:
     """Run the chosen stages in order over all days in scope; a failed stage does not stop the next.
 
+    `mode="update"` also brings late values, such as results and final odds, into rows stored earlier.
     Returns the audit of each stage, or the error it failed with.
     """
     create_warehouse(spark, root)
     scoped = landing if dates is None else landing.where(F.col("date_code").isin(*dates))
     jobs: dict[str, Callable[[Tables], Load]] = {
-        "programme": lambda tables: load_program(scoped, tables),
-        "participants": lambda tables: load_participants(scoped, tables, as_of_year, dates),
-        "performances": lambda tables: load_performances(scoped, tables, dates),
-        "reports": lambda tables: load_reports(scoped, tables, dates),
+        "programme": lambda tables: load_program(scoped, tables, mode),
+        "participants": lambda tables: load_participants(scoped, tables, as_of_year, dates, mode),
+        "performances": lambda tables: load_performances(scoped, tables, dates, mode),
+        "reports": lambda tables: load_reports(scoped, tables, dates, mode),
     }
     outcome: dict[str, DataFrame | Exception] = {}
     for stage in STAGES:

@@ -59,11 +59,16 @@ def _landing(df: DataFrame, feed: str, key: Column, payload: Column) -> DataFram
     return landed
 
 
+def meeting_of(customer: str, order: str) -> Column:
+    """The meeting of an order. Race numbers fit 16 bits, so what exceeds RACE_NUMBERS counts on in the meeting."""
+    return F.col(customer) % 5 + 1 + 5 * F.floor(F.col(order) / RACE_NUMBERS)
+
+
 def programme_documents(orders: DataFrame) -> DataFrame:
     """A programme per order, with its one meeting and race."""
     o = F.col("o_orderkey")
     day = F.to_date("o_orderdate")
-    number = F.col("o_custkey") % 5 + 1
+    number = meeting_of("o_custkey", "o_orderkey")
     race = _object(
         numOrdre=_bare(o % RACE_NUMBERS),
         discipline=_quoted(_one_of(o % 5, "ATTELE", "attele", "MONTE", "PLAT", None)),
@@ -104,7 +109,7 @@ def located(lines: DataFrame, orders: DataFrame) -> DataFrame:
     races = orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         code_of_day(F.to_date("o_orderdate")).alias("date_code"),
-        (F.col("o_custkey") % 5 + 1).alias("meeting"),
+        meeting_of("o_custkey", "o_orderkey").alias("meeting"),
         (F.col("o_orderkey") % RACE_NUMBERS).alias("race"),
     )
     return lines.join(races, "l_orderkey")

@@ -9,7 +9,7 @@ _INPUTS = "* EXCLUDE (horse_id, participant_id, finish_rank, trainer_advice, win
 
 # Landed documents and what becomes of them.
 VIEWS["programmes"] = """
-    SELECT o_orderkey AS o, CAST(o_orderdate AS DATE) AS d, CAST(o_custkey % 5 + 1 AS INTEGER) AS n,
+    SELECT o_orderkey AS o, CAST(o_orderdate AS DATE) AS d, CAST(o_custkey % 5 + 1 + 5 * (o_orderkey // 30000) AS INTEGER) AS n,
       CASE WHEN o % 17 = 0 THEN 'SKIPPED' WHEN o % 19 = 0 THEN 'FAILED' WHEN o % 23 = 0 THEN 'FAILED'
         WHEN o % 29 = 0 AND o % 5 < 3 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
       o % 17 <> 0 AND o % 19 <> 0 AS sent
@@ -36,7 +36,7 @@ VIEWS["new_races"] = """
           dense_rank() OVER (ORDER BY d, n) AS meeting_id
         FROM programmes WHERE status = 'SUCCESS') WHERE o % 5 < 3) WHERE nth = 1"""
 VIEWS["located"] = """
-    SELECT o_orderkey AS l_orderkey, CAST(o_orderdate AS DATE) AS d, CAST(o_custkey % 5 + 1 AS INTEGER) AS n,
+    SELECT o_orderkey AS l_orderkey, CAST(o_orderdate AS DATE) AS d, CAST(o_custkey % 5 + 1 + 5 * (o_orderkey // 30000) AS INTEGER) AS n,
       o_orderkey % 30000 AS race_number FROM orders"""
 VIEWS["scored"] = """
     SELECT p, CAST(sum(y) AS DOUBLE) AS won, CAST(count(*) AS DOUBLE) AS n FROM (
@@ -106,6 +106,9 @@ _BETS = f"""
     FROM (SELECT *, row_number() OVER (PARTITION BY race_id ORDER BY win_probability DESC, program_number) AS nth
       FROM (SELECT *, {_ODDS} AS odds, win_probability - 1 / {_ODDS} AS edge FROM features)
       WHERE edge >= 0.05 AND odds BETWEEN 5 AND 20) WHERE nth = 1"""
+# Scores of which some are missing: null or NaN on the other side, neither of which is a pick.
+_PARTLY = """SELECT * REPLACE (CASE WHEN program_number % 3 <> 0 AND horse_id % 4 <> 0 THEN win_probability END
+    AS win_probability) FROM features"""
 _RANKED = """
     SELECT race_id, program_number, horse_name, win_probability, CAST(row_number() OVER (
       PARTITION BY race_id ORDER BY win_probability DESC, program_number) AS INTEGER) AS predicted_rank FROM features"""
@@ -195,6 +198,9 @@ ORACLE: dict[str, str] = {
     ),
     "predict_race": _sql(_RANKED, "features"),
     "value_bets": _sql(f"SELECT * REPLACE (round(edge, 6) AS edge) FROM ({_BETS})", "features"),
+    "value_bets_missing_scores": _sql(
+        f"SELECT * REPLACE (round(edge, 6) AS edge) FROM ({_BETS.replace('FROM features', f'FROM ({_PARTLY})')})", "features"
+    ),
     "value_bets_display": _sql(
         f"""SELECT 'C' || race_num AS "Race", '#' || program_number || ' ' || horse_name AS "Horse",
             printf('%.1f', odds) AS "Odds", printf('%.1f', win_probability * 100) || '%' AS "AI Prob",
@@ -357,7 +363,7 @@ ORACLE: dict[str, str] = {
         "programmes",
     ),
     "parse_meetings": _sql(
-        """SELECT d AS program_date, n AS meeting_number, 'TROT' AS meeting_type, 'TRACK_' || n || '_LO' AS racetrack_code,
+        """SELECT d AS program_date, n AS meeting_number, 'TROT' AS meeting_type, left('TRACK_' || n || '_LONG', 10) AS racetrack_code,
            CASE WHEN o % 2 = 0 THEN n + 0.5::DOUBLE END AS weather_temperature,
            CASE WHEN o % 2 = 0 THEN 'N' END AS weather_wind, o AS seq FROM programmes WHERE status = 'SUCCESS'""",
         "programmes",
@@ -502,6 +508,22 @@ ORACLE: dict[str, str] = {
            WHERE nulls > 0""",
         "race_participant",
     ),
+    "prediction_rows": _sql(
+        """SELECT participant_id, 'given' AS model_version, win_probability AS proba_winner,
+           CAST(NULL AS DOUBLE) AS proba_top3_place FROM features""",
+        "features",
+    ),
+    "score_without_model": _sql(
+        "SELECT race_id, program_number, horse_name, 0.0::DOUBLE AS win_probability FROM features", "features"
+    ),
+    "reload_participants_update": _sql(
+        """SELECT CAST(d AS VARCHAR) AS program_date, n AS meeting_number, race_number, CAST(number AS INTEGER) AS pmu_number,
+             (part * 1000 + number) / 100.0::DOUBLE AS career_winnings, (l_quantity + 1) * 0.5 + 1 AS reference_odds
+           FROM runner_docs JOIN located USING (l_orderkey)
+           SEMI JOIN (SELECT d, n, race_number FROM new_races WHERE o % 5 IN (0, 2)) USING (d, n, race_number)
+           WHERE status = 'SUCCESS' AND part % 20 <> 0""",
+        "runner_docs", "located", "new_races",
+    ),
     "check_range": """
         SELECT l_orderkey, l_linenumber, l_partkey * 20 AS distance_m, l_returnflag || l_suppkey AS code FROM lineitem
         WHERE l_partkey * 20 > 32767 OR length(l_returnflag || l_suppkey) > 2""",
@@ -519,3 +541,8 @@ _DATES["program_date"] = [
 for _column, _names in _DATES.items():
     for _name in _names:
         ORACLE[_name] = f"SELECT * REPLACE (CAST({_column} AS VARCHAR) AS {_column}) FROM (\n{ORACLE[_name]}\n)"
+
+# Scoped calls, on the last day that has races.
+_LAST_DAY = "(SELECT CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) FROM orders)"
+for _scoped, _whole in (("card_of_last_day", "races_by_date"), ("features_of_last_day", "daily_features")):
+    ORACLE[_scoped] = f"SELECT * FROM ({ORACLE[_whole]}) WHERE program_date = {_LAST_DAY}"

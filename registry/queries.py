@@ -126,11 +126,36 @@ def value_bets(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(decisions.value_bets(given_scores(derived_tables(spark, folder))), "edge")
 
 
+@query
+def value_bets_missing_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Some runners have no score, null or NaN; neither is ever picked."""
+    score = F.when(F.col("program_number") % 3 != 0, F.when(F.col("horse_id") % 4 == 0, float("nan")).otherwise(F.col("win_probability")))
+    scored = given_scores(derived_tables(spark, folder)).withColumn("win_probability", score)
+    return rounded(decisions.value_bets(scored), "edge")
+
+
 @query
 def value_bets_display(spark: SparkSession, folder: str) -> DataFrame:
     return decisions.value_bets_display(decisions.value_bets(given_scores(derived_tables(spark, folder))))
 
 
+def _last_day(tables: Tables) -> str:
+    return tables["daily_program"].agg(F.date_format(F.max("program_date"), "ddMMyyyy")).first()[0]
+
+
+@query
+def card_of_last_day(spark: SparkSession, folder: str) -> DataFrame:
+    tables = derived_tables(spark, folder)
+    return cards.races_by_date(tables, [_last_day(tables)])
+
+
+@query
+def features_of_last_day(spark: SparkSession, folder: str) -> DataFrame:
+    tables = derived_tables(spark, folder)
+    rows = cards.daily_features(tables, [_last_day(tables)], sizes=horse_sizes(spark, folder))
+    return rounded(rows, "hist_avg_speed", "hist_earnings")
+
+
 @query
 def meeting_list(spark: SparkSession, folder: str) -> DataFrame:
     return decisions.meeting_list(derived_tables(spark, folder))
@@ -530,6 +555,20 @@ def load_participants(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def reload_participants_update(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored runners after their documents arrive again with other odds, loaded in update mode."""
+    tables, lines = _with_program(spark, folder), _located(spark, folder)
+    stored = {**tables, **loads.load_participants(feeds.participants_documents(lines), tables, AS_OF_YEAR).rows}
+    stored = {name: staged(stored[name]) if name in ("horse", "race_participant") else df for name, df in stored.items()}
+    later = feeds.participants_documents(lines.withColumn("l_quantity", F.col("l_quantity") + 1))
+    again = loads.load_participants(later, stored, AS_OF_YEAR, mode="update").updates["race_participant"]
+    races = scope.work_list(tables).select("race_id", "program_date", "meeting_number", "race_number")
+    return again.join(races, "race_id").select(
+        "program_date", "meeting_number", "race_number", "pmu_number", "career_winnings", "reference_odds"
+    )
+
+
 @query
 def load_performances(spark: SparkSession, folder: str) -> DataFrame:
     """New history rows after loading programmes and performances."""
@@ -639,3 +678,19 @@ def prediction_store(spark: SparkSession, folder: str) -> DataFrame:
     trained = training.train(tables, QUICK)
     scored = training.score(cards.daily_features(tables, sizes=horse_sizes(spark, folder)), trained.model, race_sizes(spark, folder))
     return training.predictions(scored, tables, "quick").drop("created_at")
+
+
+@query
+def prediction_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The stand-in probabilities as rows of the prediction table, without the ids given to them."""
+    tables = derived_tables(spark, folder)
+    return training.predictions(given_scores(tables), tables, "given").select(
+        "participant_id", "model_version", "proba_winner", "proba_top3_place"
+    )
+
+
+@query
+def score_without_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Every runner has probability 0 where there is no model."""
+    rows = cards.daily_features(derived_tables(spark, folder), sizes=horse_sizes(spark, folder))
+    return training.score(rows, None, zero_fill=True).select("race_id", "program_number", "horse_name", "win_probability")

@@ -9,7 +9,7 @@ from paddock.operators import checks, loading, scope
 from paddock.plans.loads import run_stages
 from paddock.sources.feeds import parse_feed
 from paddock.sources.landing import LANDING, read_documents, read_landing, write_landing
-from paddock.sources.warehouse import append, create_warehouse, empty_warehouse, open_warehouse
+from paddock.sources.warehouse import append, create_warehouse, empty_warehouse, open_warehouse, replace
 
 DAY = "01012024"
 PROGRAMME = {
@@ -239,3 +239,54 @@ def test_stage_failure_does_not_stop_the_next(spark, tmp_path):
     broken = landed(spark, ("programme", None, None, 200, PROGRAMME)).drop("seq")
     out = run_stages(spark, broken, str(tmp_path / "w"), str(tmp_path / "d"), 2024, stages=("programme", "reports"))
     assert list(out) == ["programme", "reports"] and isinstance(out["programme"], Exception)
+
+
+def test_update_mode_brings_late_values(spark, tmp_path):
+    root, dead = str(tmp_path / "w"), str(tmp_path / "d")
+
+    def runners(*people):
+        return ("participants", 1, 1, 200, {"participants": list(people)})
+
+    programme = ("programme", None, None, 200, PROGRAMME)
+    before = landed(spark, programme, runners({"numPmu": 1, "nom": "Early"}, {"numPmu": 2, "nom": "Other", "sexe": "MALES"}))
+    late = landed(
+        spark, programme,
+        runners(
+            {"numPmu": 1, "nom": "Early", "age": 4, "sexe": "FEMELLES", "ordreArrivee": 2, "dernierRapportDirect": {"rapport": 7.5}},
+            {"numPmu": 5, "nom": "New", "ordreArrivee": 1},
+        ),
+    )
+
+    def run(landing, mode):
+        out = run_stages(spark, landing, root, dead, 2024, stages=("programme", "participants"), mode=mode)
+        assert not [e for e in out.values() if isinstance(e, Exception)]
+        tables = open_warehouse(spark, root)
+        assert checks.violations(tables).count() == 0
+        return (
+            rows(tables["race_participant"], "participant_id", "race_id", "pmu_number", "finish_rank", "live_odds"),
+            rows(tables["horse"], "horse_id", "horse_name", "sex", "birth_year"),
+        )
+
+    first = run(before, "ignore")
+    ids = {r[2]: r[0] for r in first[0]}
+    got = run(late, "update")
+    assert {r[2]: r[3:] for r in got[0]} == {1: (2, 7.5), 2: (None, None), 5: (1, None)}
+    assert {k: v for k, v in ((r[2], r[0]) for r in got[0]) if k in ids} == ids
+    assert got[1] == [(1, "Early", "F", 2020), (2, "Other", "M", None), (3, "New", None, None)]
+    assert run(late, "update") == got
+
+
+def test_update_replaces_only_folders_with_changes(spark, tmp_path):
+    create_warehouse(spark, str(tmp_path))
+    kind = "participant_id bigint, race_id bigint, horse_id bigint, pmu_number int, finish_rank int"
+    whole = empty_warehouse(spark)["race_participant"]
+    new = spark.createDataFrame([(1, 1, 1, 1, None), (2, 2, 1, 1, 4), (3, 5_000_000, 1, 1, None)], kind)
+    append(whole.unionByName(new, allowMissingColumns=True), str(tmp_path), "race_participant")
+    stored = open_warehouse(spark, str(tmp_path))["race_participant"]
+    latest = spark.createDataFrame([(1, 1, 3), (2, 1, None), (5_000_000, 1, None)], "race_id bigint, pmu_number int, finish_rank int")
+    again = loading.updated(stored, latest, "race_participant", prune_by="race_id")
+    assert rows(again, "participant_id", "finish_rank") == [(1, 3), (2, 4)]
+    replace(again, str(tmp_path), "race_participant")
+    stored = open_warehouse(spark, str(tmp_path))["race_participant"]
+    assert rows(stored, "participant_id", "finish_rank") == [(1, 3), (2, 4), (3, None)]
+    assert loading.updated(stored, latest, "race_participant") is None
