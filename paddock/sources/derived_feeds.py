@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 from paddock.functions.parsing import code_of_day
 from paddock.sources.landing import LANDING
 
-# Race numbers have to fit 16 bits, so large order keys wrap around.
+# Race and meeting numbers have to fit 16 bits, so large order keys wrap around: what exceeds RACE_NUMBERS
+# counts on in the meeting, what exceeds its MEETING_TURNS in the day, by more days than the orders span.
 RACE_NUMBERS = 30_000
+MEETING_TURNS = 6_553
+DAYS_PER_TURN = 2_500
 
 
 def _quoted(text: Column) -> Column:
@@ -59,15 +62,28 @@ def _landing(df: DataFrame, feed: str, key: Column, payload: Column) -> DataFram
     return landed
 
 
+def _turn(order: str) -> Column:
+    return F.floor(F.col(order) / RACE_NUMBERS)
+
+
 def meeting_of(customer: str, order: str) -> Column:
-    """The meeting of an order. Race numbers fit 16 bits, so what exceeds RACE_NUMBERS counts on in the meeting."""
-    return F.col(customer) % 5 + 1 + 5 * F.floor(F.col(order) / RACE_NUMBERS)
+    """The meeting of an order, which fits 16 bits."""
+    return F.col(customer) % 5 + 1 + 5 * (_turn(order) % MEETING_TURNS)
+
+
+def day_of(date: str, order: str) -> Column:
+    """The day of an order. Day, meeting and race number together name one order; what has no day up to 9999 is an error."""
+    day = F.to_date(date)
+    shift = F.floor(_turn(order) / MEETING_TURNS) * DAYS_PER_TURN
+    late = F.unix_date(day) + shift > F.unix_date(F.lit("9999-12-31").cast("date"))
+    beyond = F.raise_error(F.concat(F.lit("no day for order "), F.col(order).cast("string"))).cast("date")
+    return F.when(late, beyond).otherwise(F.date_add(day, shift.cast("int")))
 
 
 def programme_documents(orders: DataFrame) -> DataFrame:
     """A programme per order, with its one meeting and race."""
     o = F.col("o_orderkey")
-    day = F.to_date("o_orderdate")
+    day = day_of("o_orderdate", "o_orderkey")
     number = meeting_of("o_custkey", "o_orderkey")
     race = _object(
         numOrdre=_bare(o % RACE_NUMBERS),
@@ -108,7 +124,7 @@ def located(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """Lines with the day, meeting and race number their order has in programme_documents."""
     races = orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
-        code_of_day(F.to_date("o_orderdate")).alias("date_code"),
+        code_of_day(day_of("o_orderdate", "o_orderkey")).alias("date_code"),
         meeting_of("o_custkey", "o_orderkey").alias("meeting"),
         (F.col("o_orderkey") % RACE_NUMBERS).alias("race"),
     )
