@@ -341,6 +341,39 @@ def train(pages: list[tuple[list[Block], list[bool]]], *, l2: float = 3e-4, roun
     return ChainModel(weights, theta[size : size + 4].reshape(2, 2), theta[size + 4 :])
 
 
+def _marked(most_blocks: int):
+    """Keep the pages with a main block by their own markup among their first most_blocks blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages = batch.column("html").to_pylist()
+            yield batch.filter(pa.array([any(label_by_markup(blocks_of(p)[:most_blocks])) for p in pages], pa.bool_()))
+
+    return run
+
+
+def _training_pages(known: DataFrame, training_pages: int, most_blocks: int) -> list[str]:
+    """Different pages with a main block, those with the least hashes; without any, different pages as they come.
+
+    Copies are told by hash before whole pages are compared. Mostly the first few hashes are
+    enough; if not, all pages are looked through, of which only hashes move.
+    """
+    hashed = known.withColumn("hash", F.xxhash64("html"))
+    marked = lambda df: df.mapInArrow(_marked(most_blocks), df.schema)
+    pages = lambda df: [r["html"] for r in df.orderBy("hash", "html").limit(training_pages).collect()]
+    some = hashed.select("hash").distinct().orderBy("hash").limit(2 * training_pages)
+    first = [r["hash"] for r in some.collect()]
+    if not first:
+        return []
+    least = hashed.where(F.col("hash") <= max(first)).distinct()
+    found = pages(marked(least))
+    if len(found) < training_pages and len(first) == 2 * training_pages:
+        every = marked(hashed).select("hash").distinct().orderBy("hash").limit(training_pages)
+        with_main = [r["hash"] for r in every.collect()]
+        found = pages(marked(hashed.where(F.col("hash").isin(with_main)).distinct())) if with_main else []
+    return found or pages(least)
+
+
 def fit(
     pages: DataFrame,
     *,
@@ -351,14 +384,17 @@ def fit(
     seed: int = 6,
     html_col: str = "html",
 ) -> ChainModel:
-    """Fit on training_pages pages at most (the least hashes) of longest_page characters at most.
+    """Fit on training_pages different pages at most, those with the least hashes of all that have a main block.
 
     Each is labelled by its own markup, and given again `variants` times in other markup with
-    texts of other pages around it, cut to most_blocks blocks. Pages without a main block only
-    lend their texts. Without any page the model knows nothing and keeps nothing.
+    texts of other pages around it, cut to most_blocks blocks; of a longer page the first
+    longest_page characters count. If no page has a main block, all training pages are in other
+    markup, with the longer texts found as main text. Without any page the model knows nothing and
+    keeps nothing.
     """
-    known = pages.select(pages[html_col].cast("string").alias("html")).where(F.length("html").between(1, longest_page))
-    sample = [r["html"] for r in known.orderBy(F.xxhash64("html"), "html").limit(training_pages).collect()]
+    html_text = F.left(pages[html_col].cast("string"), F.lit(longest_page))
+    known = pages.select(html_text.alias("html")).where(F.length("html") > 0)
+    sample = _training_pages(known, training_pages, most_blocks)
     rng, labelled, other, prose = random.Random(seed), [], ["Menu", "Home", "Search", "Share this page", "Log in"], []
     for page in sample:
         blocks = blocks_of(page)[:most_blocks]
@@ -366,8 +402,12 @@ def fit(
         labelled.append((blocks, labels))
         other += [b.text for b, main in zip(blocks, labels, strict=True) if not main]
         prose += [b.text for b, main in zip(blocks, labels, strict=True) if main]
-    for blocks, labels in list(labelled):
-        main = [b.text for b, own in zip(blocks, labels, strict=True) if own]
+    mains = [[b.text for b, own in zip(blocks, labels, strict=True) if own] for blocks, labels in labelled]
+    if not prose and len(other) > 5:
+        texts = sorted(set(other[5:]), key=lambda t: (-len(t), t))
+        prose = texts[: max(1, len(texts) // 2)]
+        mains = [rng.choices(prose, k=rng.randint(2, 8)) for _ in range(training_pages)]
+    for main in mains:
         for _ in range(variants if main else 0):
             labelled.append(varied_page(main, other, prose or other, rng))
     return train([(b, x) for b, x in labelled if any(x)])
