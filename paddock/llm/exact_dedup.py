@@ -2,9 +2,9 @@
 
 The index is a Parquet table in the shared folder with one entry for each distinct text. A
 directory maps prefixes of the key hash to buckets: it doubles while any bucket is
-overfull, where only overfull buckets split. Each owner task holds a range of keys;
-it compares whole texts, byte by byte, as grouping keys, and numbers different texts of one
-hash as a chain.
+overfull, where only overfull buckets split. Each file holds a range of keys. Whole texts are
+compared, byte by byte, as grouping keys, and different texts of one hash are numbered as a
+chain. The directory describes the index; neither grouping nor lookup goes through it.
 """
 
 from __future__ import annotations
@@ -118,7 +118,7 @@ def find_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     hash_bits = options.get("hash_bits", 64)
     index = build_index(docs, id_col=id_col, text_col=text_col, **options)
     rows = _keyed(docs, id_col, text_col, hash_bits).select("doc_id", "key", "sha")
-    # Each owner looks its keys up; the digest tells the texts of one chain apart. The probing side
+    # Rows are joined on their key, not by way of the directory; the digest tells the texts of one chain apart. The probing side
     # may be skewed, the index has one row for each text, so the join can be split where it is hot.
     found = rows.join(index.entries, ["key", "sha"])
     return found.select(
