@@ -109,7 +109,6 @@ def fit(
     labels: DataFrame,
     *,
     training_rows: int = 20_000,
-    most_words: int = 2_000,
     least_texts: int = 5,
     least_strength: float = 20.0,
     groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS,
@@ -123,8 +122,7 @@ def fit(
 
     Words are counted over all of them; the weights are fitted on training_rows rows at most of
     each label, those with the least hash, which is what reaches the driver. A word needs
-    least_texts texts and a chi-square of least_strength; the most_words strongest have a
-    weight. Texts with contradicting labels count as both. Null labels and ids that match no
+    least_texts texts and a chi-square of least_strength; all such words have a weight. Texts with contradicting labels count as both. Null labels and ids that match no
     document are passed over. With no row of one label, the score is 0 (no toxic row) or 1.
     """
     marked = labels.select(labels["doc_id"].cast("long").alias("_id"), labels["toxic"].cast("int").alias("toxic"))
@@ -147,7 +145,7 @@ def fit(
     c, d, n = n1 - F.col("a"), n0 - F.col("b"), float(n1 + n0)
     chi = n * F.pow(F.col("a") * d - F.col("b") * c, 2) / ((F.col("a") + F.col("b")) * F.greatest(c + d, F.lit(1.0)) * n1 * n0)
     strong = counted.select("word", chi.alias("chi")).where(F.col("chi") >= least_strength)
-    chosen = [r["word"] for r in strong.orderBy(F.desc("chi"), "word").limit(most_words).collect()]
+    chosen = [r["word"] for r in strong.orderBy(F.desc("chi"), "word").collect()]
     chosen += [t for group in groups for t in group]
     words = {w: i for i, w in enumerate(dict.fromkeys(chosen))}
     sample = []
