@@ -11,14 +11,16 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import document_keys, gram_hashes, ragged
+from .common import document_keys, gram_hashes, ragged, shared_folder
 
 OTHER = re.compile(r"[\W_]+")
 SPACES = bytes(c if chr(c).isalnum() else 32 for c in range(128)) + bytes(range(128, 256))
@@ -209,7 +211,8 @@ def find_contamination(
     bytes [first_byte, last_byte) of the normalised document that the segments found cover.
     Items of fewer than q bytes are found as whole words only; empty items and texts match
     nothing; null counts as empty. Rows that repeat answer each for itself. The benchmark is a stated query set: every
-    block of it (block_chars bounds what a task holds) passes over all documents once. Other
+    block of it (block_chars bounds what a task holds) passes over all documents once. What
+    several blocks find is stored block by block while this runs; one block is lazy. Other
     columns are left out; either table may be empty.
     """
     keyed = document_keys(docs, id_col, text_col)
@@ -240,10 +243,18 @@ def find_contamination(
 
         return keyed.mapInArrow(scan, FOUND)
 
-    result = None
-    for items in _blocks(benchmark, item_col, item_text_col, block_chars):
-        result = passed(items) if result is None else result.unionByName(passed(items))
-    return docs.sparkSession.createDataFrame([], FOUND) if result is None else result
+    spark = docs.sparkSession
+    blocks = _blocks(benchmark, item_col, item_text_col, block_chars)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
+        return spark.createDataFrame([], FOUND)
+    if second is None:
+        return passed(first)
+    # What a block finds is stored before the block after the next is fetched, so neither the driver nor a plan holds all.
+    path = f"{shared_folder(spark)}/found-{uuid.uuid4().hex}"
+    for items in chain((first, second), blocks):
+        passed(items).write.mode("append").parquet(path)
+    return spark.read.schema(FOUND).parquet(path)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
