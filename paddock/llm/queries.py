@@ -11,17 +11,21 @@ from pyspark.sql import functions as F
 
 from . import (
     chunk_dedup,
+    conversation_repair,
     decontaminate,
     exact_dedup,
     html_extract,
     jaccard_join,
+    neighbours,
     packing,
     sharding,
+    spelling,
     suffix_dedup,
     token_output,
     toxicity,
 )
 from .common import shared_folder
+from .oracle import CONVERSATIONS, SPELLING
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -114,6 +118,20 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    turns = conversation_repair.damaged(given)
+    return conversation_repair.summaries(turns, conversation_repair.plan_repairs(turns, given.select("conv_id")))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -125,6 +143,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_packing": op9_packing,
     "op10_chunk_dedup": op10_chunk_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 ORACLE: dict[str, str] = {
@@ -137,4 +158,6 @@ ORACLE: dict[str, str] = {
                doc_id IS NOT DISTINCT FROM min(doc_id) OVER same AS kept, text_sha256
         FROM rows WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op11_conversation_repair": CONVERSATIONS,
+    "op12_spelling_variants": SPELLING,
 }
