@@ -38,6 +38,7 @@ WIDTH, SIDE = 1.5, 3
 SLOTS = 2 * SIDE + 1
 # Bits that a slot of that width tells about a normal projection, rounded down.
 BITS = 1.4
+ASKED = ["query_id", "query_hash", "vector", "bound"]
 RESULT = "query_id long, query_hash long, vec_id long, score double"
 
 
@@ -83,7 +84,7 @@ class Index:
         return self.slots(self.places(vectors)) @ powers
 
     def probes(self, vectors: np.ndarray, count: int) -> np.ndarray:
-        """The first `count` buckets of each query in each table (table, vector, probe), -1 where there are fewer."""
+        """The first `count` buckets of each query in each table (table, vector, probe)."""
         places = self.places(vectors, query=True)
         edges = (np.arange(SLOTS + 1) - SIDE).astype(float)[None, None, None, :] - self.offsets[:, None, :, None]
         deep = (edges * WIDTH - self.share * places[..., None]) / self.spread
@@ -229,7 +230,7 @@ def _calibrated(index: Index, sample: list, neighbours: list, kind: str, recall:
 
 
 def _compare(dim: int, kind: str, k: int, step: int = 256):
-    """Compares the members of a cell with the queries of a cell; gives each query's k best ids of it."""
+    """Compares the members of a cell with the queries of a cell; gives each query's k best ids of it, none under its bound."""
 
     def compare(key, members: pa.Table, queries: pa.Table) -> pa.Table:
         schema = pa.schema([("query_id", pa.int64()), ("query_hash", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -241,20 +242,19 @@ def _compare(dim: int, kind: str, k: int, step: int = 256):
         lengths = np.diff(starts)
         known = np.asarray(flat.is_valid()) if flat.null_count else np.ones(len(flat), bool)
         values = np.asarray(flat.fill_null(0)).astype(np.int64)
-        names, hashes = np.asarray(queries["query_id"]), np.asarray(queries["query_hash"])
+        names, hashes, bounds = (np.asarray(queries[name]) for name in ("query_id", "query_hash", "bound"))
         out = []
         for at in range(0, len(asked), step):
             some = asked[at : at + step]
-            keep = min(k + 1, len(rows))
-            # A few more than needed, as sums in another order may tell near ties apart otherwise.
-            spare = min(keep + 4, len(rows))
+            # The query's own vector, and a few more, as sums in another order may tell near ties apart otherwise.
+            spare = min(k + 5, len(rows))
             near = np.argpartition(-(some @ rows.T), spare - 1, axis=1)[:, :spare]
             scores = _scores(some[:, None, :], rows[near])
             query = np.repeat(np.arange(at, at + len(some)), spare)
             near, scores = near.ravel(), scores.ravel()
             places = ragged(starts[near], lengths[near])
             query, scores = np.repeat(query, lengths[near]), np.repeat(scores, lengths[near])
-            other = ~known[places] | (values[places] != names[query])
+            other = (~known[places] | (values[places] != names[query])) & (scores >= bounds[query])
             query, scores, places = query[other], scores[other], places[other]
             order = np.lexsort((values[places], ~known[places], -scores, query))
             query, scores, places = query[order], scores[order], places[order]
@@ -268,17 +268,17 @@ def _compare(dim: int, kind: str, k: int, step: int = 256):
     return compare
 
 
-def _probed(index: Index, kind: str, count: int):
+def _probed(index: Index, kind: str, start: int, stop: int):
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 64):
                 part = batch.slice(at, 64)
-                probes = index.probes(_matrix(part.column("vector"), index.dim, kind), count)
+                probes = index.probes(_matrix(part.column("vector"), index.dim, kind), stop)[:, :, start:]
                 for t in range(index.tables):
                     places = np.repeat(np.arange(len(part)), probes.shape[2])
-                    columns = [part.column(name).take(pa.array(places)) for name in ("query_id", "query_hash", "vector")]
+                    columns = [part.column(name).take(pa.array(places)) for name in ASKED]
                     columns = [pa.array(np.full(len(places), t, np.int32)), pa.array(probes[t].ravel()), *columns]
-                    yield pa.RecordBatch.from_arrays(columns, ["part", "bucket", "query_id", "query_hash", "vector"])
+                    yield pa.RecordBatch.from_arrays(columns, ["part", "bucket", *ASKED])
 
     return visit
 
@@ -296,29 +296,29 @@ def _placed(index: Index, kind: str):
     return place
 
 
-def _visited(members: DataFrame, queries: DataFrame, index: Index, kind: str, k: int, count: int, cell_rows: int) -> DataFrame:
-    """Each query's k best ids of the buckets it visits.
+def _visited(members: DataFrame, probes: DataFrame, dim: int, kind: str, k: int, cell_rows: int) -> DataFrame:
+    """Each query's k best ids of each bucket it visits: query_id, query_hash, vec_id, score.
 
     A bucket's members are dealt into blocks and its queries into chunks of about cell_rows rows; each
     block meets each chunk in a group of its own, so no task holds more than one of both.
     """
     bucket = ["part", "bucket"]
-    probes = staged(queries.mapInArrow(_probed(index, kind, count), "part int, bucket long, query_id long, query_hash long, vector binary"))
     cells = lambda df, name: df.groupBy(*bucket).agg(F.ceil(F.count("*") / cell_rows).cast("int").alias(name))
     layout = staged(cells(members, "blocks").join(cells(probes, "chunks"), bucket))
     upto = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
     block = F.pmod(F.xxhash64(F.lit(3), "vector"), F.col("blocks")).cast("int")
     chunk = F.pmod(F.xxhash64(F.lit(3), "query_id", "query_hash"), F.col("chunks")).cast("int")
     left = members.join(layout, bucket).select(*bucket, block.alias("block"), upto("chunks").alias("chunk"), "vector", "ids")
-    right = probes.join(layout, bucket).select(*bucket, chunk.alias("chunk"), upto("blocks").alias("block"), "query_id", "query_hash", "vector")
+    right = probes.join(layout, bucket).select(*bucket, chunk.alias("chunk"), upto("blocks").alias("block"), *ASKED)
     cell = [*bucket, "block", "chunk"]
-    compared = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(_compare(index.dim, kind, k), RESULT)
+    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(_compare(dim, kind, k), RESULT)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """The k best of what several buckets and tables found, each id once."""
     best = Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
-    merged = compared.dropDuplicates(["query_id", "query_hash", "vec_id", "score"])
-    found = staged(merged.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k))
-    drop_staged(probes)
-    drop_staged(layout)
-    return found
+    once = found.dropDuplicates(["query_id", "query_hash", "vec_id", "score"])
+    return staged(once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k))
 
 
 def nearest(
@@ -372,22 +372,27 @@ def nearest(
         count = most  # so few rows are all compared
     members = staged(points.select("vector", "ids").mapInArrow(_placed(index, kind), "part int, bucket long, vector binary, ids array<long>"))
     others = rows.agg(F.count_distinct("vec_id") + F.max(F.col("vec_id").isNull().cast("int"))).first()[0] - 1
-    results, asked = [], queries
+    unbound = F.lit(float("-inf"))
+    asked, best, start, stop = queries.withColumn("bound", unbound), None, 0, min(max(1, count // 5), most)
+    visits = "part int, bucket long, query_id long, query_hash long, vector binary, bound double"
     while True:
-        found = _visited(members, asked, index, kind, k, count, cell_rows)
-        results.append(found)
-        if count >= most:
-            break
-        full = found.where(F.col("rank") == min(k, others)).select("query_id", "query_hash")
-        asked = staged(asked.join(full, ["query_id", "query_hash"], "left_anti"))
-        if asked.isEmpty():
+        # The first visits give each query a bound, so that later ones send only what can be among its best.
+        probes = staged(asked.mapInArrow(_probed(index, kind, start, stop), visits))
+        found = _visited(members, probes, dim, kind, k, cell_rows)
+        best = _best(found if best is None else best.drop("rank").unionByName(found), k)
+        drop_staged(probes)
+        if stop >= most:
             break
-        # The next round finds the whole answer of the queries that it repeats.
-        results[-1] = found.join(asked.select("query_id", "query_hash"), ["query_id", "query_hash"], "left_anti")
-        count = min(8 * count, most)
-    whole = results[0]
-    for more in results[1:]:
-        whole = whole.unionByName(more)
+        name = ["query_id", "query_hash"]
+        full = best.where(F.col("rank") == min(k, others)).select(*name, F.col("score").alias("least"))
+        if stop < count:
+            asked = queries.join(full, name, "left").withColumn("bound", F.coalesce("least", unbound)).select(*ASKED)
+            start, stop = stop, count
+        else:
+            asked = staged(queries.join(full, name, "left_anti").withColumn("bound", unbound).select(*ASKED))
+            if asked.isEmpty():
+                break
+            start, stop = stop, min(8 * stop, most)
     for df in (packed, rows, members):
         drop_staged(df)
-    return whole.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
