@@ -227,6 +227,8 @@ def near_pairs(words: DataFrame, *, filter_bytes: int = 16 << 20) -> DataFrame:
     sizes = {row["length"]: row["n"] for row in lengths.collect()}  # MOST_LENGTHS rows at most
     codes = words.select(F.explode(F.array_distinct(F.split("word", ""))).alias("letter")).where("letter <> ''").distinct()
     letters = np.array(sorted(ord(row["letter"]) for row in codes.collect()), np.uint64)  # the letters of RUN at most
+    # The probing is all work and little data, so it is dealt to more tasks than the words' files make.
+    dealt = words.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     parts = max(1, ceil(sum(sizes.values()) * BITS_A_WORD / 8 / filter_bytes))
     found = None
     for part in range(parts):
@@ -239,7 +241,7 @@ def near_pairs(words: DataFrame, *, filter_bytes: int = 16 << 20) -> DataFrame:
             bits[np.asarray(table["block"]), i] = np.asarray(table[lane]).view(np.uint64)
         filters.bits = bits.ravel()
         sent = spark.sparkContext.broadcast(filters)
-        candidates = words.mapInArrow(_edits(lambda sent=sent: sent.value, part, letters), "word string, n long, other string")
+        candidates = dealt.mapInArrow(_edits(lambda sent=sent: sent.value, part, letters), "word string, n long, other string")
         candidates = staged(candidates)
         sent.unpersist()
         found = candidates if found is None else found.unionByName(candidates)
