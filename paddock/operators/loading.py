@@ -37,8 +37,7 @@ def load_once(
     value of the batch wins over the stored one.
 
     `prune_by` names a key column whose range in the batch is used to skip the
-    rest of the target; a daily load then reads only the stored files that can
-    hold its keys. It costs one pass over the batch.
+    rest of the target. It costs one pass over the batch.
     """
     keys = list(keys)
     if mode == "update":
@@ -51,13 +50,10 @@ def load_once(
 
 
 def _within(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """Target rows in the batch's range of a column, as literals that reach folders and file statistics."""
+    """Target rows in the batch's range of a column, as literals that reach file statistics."""
     low, high = batch.agg(F.min(column), F.max(column)).first()
     if low is None:
         return target.where(F.lit(False))
-    for layout in LAYOUTS.values():
-        if layout.column == column:
-            target = layout.between(target, F.lit(low), F.lit(high))
     return target.where(F.col(column).between(low, high))
 
 
@@ -81,13 +77,14 @@ def refreshed(target: DataFrame, latest: DataFrame, keys: Sequence[str], fixed:
     return joined.select(*[F.coalesce(f"_new_{c}", c).alias(c) if c in values else F.col(c) for c in target.columns])
 
 
-def updated(target: DataFrame, latest: DataFrame, name: str, prune_by: str | None = None) -> DataFrame | None:
+def updated(target: DataFrame, latest: DataFrame, name: str, near: DataFrame | None = None) -> DataFrame | None:
     """The stored rows to write again so that a table holds the values of `latest`; None where it does already.
 
     These are all rows of the folders with a value that changes, or the whole of a table without folders.
+    `near` are the rows of the table that can share a key with `latest` (default: all).
     """
     table, layout = TABLES[name], LAYOUTS.get(name)
-    keys, near = list(table.key), target if prune_by is None else _within(target, latest, prune_by)
+    keys, near = list(table.key), target if near is None else near
     known = latest.where(_has_key(keys))
     values = [c for c in target.columns if c in latest.columns and c not in keys and c != table.id]
     news = known.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in values])
@@ -171,7 +168,6 @@ def split_rejects(df: DataFrame, valid: Column) -> tuple[DataFrame, DataFrame]:
 
 
 def load_audit(outcomes: DataFrame) -> DataFrame:
-    """Documents and records per feed and status."""
-    return outcomes.groupBy("feed", "status").agg(
-        F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("records"), F.lit(0)).alias("records")
-    )
+    """Documents, records they bring to their table and texts cut to fit it, by feed and status."""
+    totals = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("attempted", "overflowed")]
+    return outcomes.groupBy("feed", "status").agg(F.count(F.lit(1)).alias("documents"), *totals)

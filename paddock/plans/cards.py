@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paddock.operators.aggregates import DEFAULT_SPEED, lifetime_stats, serving_stats
-from paddock.operators.filters import filter_race, is_winner, labelled
+from paddock.operators.filters import filter_meeting, filter_race, is_winner, labelled
 from paddock.operators.joins import (
     SERVING_DEFAULTS,
     TRAINING_DEFAULTS,
@@ -24,6 +24,8 @@ from paddock.operators.joins import (
     with_actors,
     with_history,
 )
+from paddock.operators.ranking import number_all
+from paddock.operators.scope import scoped
 from paddock.operators.skew import HOT_ROWS, hot_groups
 from paddock.sources.warehouse import Tables
 
@@ -47,7 +49,7 @@ TRAINING_COLUMNS = [
 
 def races_by_date(tables: Tables, dates: Sequence[str] | None = None) -> DataFrame:
     """The card of each day: its races with meeting, distance and track."""
-    card = race_context(tables, dates).select(
+    card = race_context(scoped(tables, dates), dates).select(
         "program_date",
         "race_id",
         "meeting_number",
@@ -61,8 +63,22 @@ def races_by_date(tables: Tables, dates: Sequence[str] | None = None) -> DataFra
     return card if dates is None else card.orderBy("program_date", "meeting_number", "race_number")
 
 
+def card_of_meeting(tables: Tables, date: str, meeting: int) -> DataFrame:
+    """The races of one meeting of a day, in order; an invalid day or unknown meeting has none."""
+    return filter_meeting(races_by_date(tables, [date]), meeting).orderBy("race_number")
+
+
+def with_positions(df: DataFrame, *order: str) -> DataFrame:
+    """Add the place of each row from 1 in the order of columns that tell all rows apart, without a one-task sort.
+
+    Sorting a stored result by `position` in ranges gives ordered files; a reader of part of it asks for a range.
+    """
+    return number_all(df.withColumn("_order", F.struct(*order)), "_order", "position").drop("_order")
+
+
 def participants_by_race(tables: Tables, races: Sequence[int] | None = None) -> DataFrame:
     """Runners with horse, driver, trainer and current odds."""
+    tables = scoped(tables, races=races)
     runners = filter_race(tables["race_participant"], races)
     named = with_actors(runners.join(tables["horse"].select("horse_id", "horse_name"), "horse_id"), tables)
     listed = named.select(
@@ -139,6 +155,7 @@ def race_features(
     `sizes` is any narrow table in which each horse is at least as frequent as
     among the runners (default: the runners).
     """
+    tables = scoped(tables, races=races)
     runners = filter_race(tables["race_participant"], races)
     context = filter_race(race_context(tables), races)
     inputs = _model_inputs(tables, context, runners, races is not None, as_of, sizes, hot_rows).drop("race_number")
@@ -153,6 +170,7 @@ def daily_features(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Raw model inputs of every runner of the given days, in one plan."""
+    tables = scoped(tables, dates)
     runners, context = tables["race_participant"], race_context(tables, dates)
     if dates is not None:
         runners = runners.join(context.select("race_id"), "race_id", "left_semi")

@@ -8,6 +8,7 @@ executor is lost before they are written.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -29,10 +30,14 @@ from paddock.schemas import TABLES
 from paddock.session import staged
 from paddock.sources.feeds import parse_feed
 from paddock.sources.landing import write_dead_letters
-from paddock.sources.warehouse import Tables, append, create_warehouse, open_warehouse, replace
+from paddock.sources.warehouse import Manifest, StoredTables, Tables, create_warehouse, latest, near, open_warehouse, publish
 
-POSITION = ["seq", "i"]
+# Documents in the order they came, those of one moment by name, then places inside them.
+POSITION = ["seq", "name", "i"]
 STAGES = ("programme", "participants", "performances", "reports")
+# The table whose new rows count as a stage's inserted records.
+FACTS = {"programme": "race", "participants": "race_participant", "performances": "horse_race_history", "reports": "race_bet"}
+AUDIT = "feed string, status string, documents long, attempted long, overflowed long, inserted long"
 
 
 @dataclass
@@ -78,10 +83,18 @@ def _entries(
     """
     if updates is not None:
         batch = staged(latest_known(batch, TABLES[name].key, order_by))
-        again = updated(tables[name], batch, name, prune_by)
+    stored = tables[name] if prune_by is None else near(tables, name, prune_by, batch)
+    if updates is not None:
+        again = updated(tables[name], batch, name, stored)
         if again is not None:
             updates[name] = again
-    return load_once(batch, tables[name], TABLES[name].key, order_by, nullable_keys=nullable_keys, prune_by=prune_by)
+    return load_once(batch, stored, TABLES[name].key, order_by, nullable_keys=nullable_keys)
+
+
+def _top(tables: Tables, name: str) -> int:
+    """The largest id of a table in use; a stored one knows it."""
+    known = TABLES[name].id
+    return tables.top(name, known) if isinstance(tables, StoredTables) else top_id(tables[name], known)
 
 
 def _members(
@@ -93,10 +106,9 @@ def _members(
     updates: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """New members of a dimension, numbered by name; the first candidate of a name wins unless updating."""
-    known = TABLES[name]
     named = candidates.where(F.coalesce(label, F.lit("")) != "")
     new = _entries(tables, name, named, order_by, updates)
-    return _shaped(number_new(new, [label], known.id, top_id(tables[name], known.id)), name)
+    return _shaped(number_new(new, [label], TABLES[name].id, _top(tables, name)), name)
 
 
 def _updates(mode: str) -> dict[str, DataFrame] | None:
@@ -111,14 +123,14 @@ def load_program(landing: DataFrame, tables: Tables, mode: str = "ignore") -> Lo
     parsed = parse_feed(landing, "programme", keep=staged)
     rows: dict[str, DataFrame] = {}
 
-    days = load_once(parsed["days"], tables["daily_program"], ["program_date"], ["seq"], prune_by="program_date")
-    start = top_id(tables["daily_program"], "program_id")
+    days = _entries(tables, "daily_program", parsed["days"], ["seq"], None, prune_by="program_date")
+    start = _top(tables, "daily_program")
     rows["daily_program"] = _shaped(number_new(days, ["program_date"], "program_id", start), "daily_program")
     programs = _after(tables, rows, "daily_program")
 
     meetings = parsed["meetings"].join(programs, "program_date")
     new = _entries(tables, "race_meeting", meetings, POSITION, updates, prune_by="program_id")
-    start = top_id(tables["race_meeting"], "meeting_id")
+    start = _top(tables, "race_meeting")
     numbered = number_new(new, ["program_id", "meeting_number"], "meeting_id", start)
     rows["race_meeting"] = _shaped(numbered, "race_meeting")
     parents = _after(tables, rows, "race_meeting").join(programs, "program_id")
@@ -126,7 +138,7 @@ def load_program(landing: DataFrame, tables: Tables, mode: str = "ignore") -> Lo
     keys = ["program_date", "meeting_number"]
     races = parsed["races"].join(parents.select("meeting_id", *keys), keys)
     new = _entries(tables, "race", races, [*POSITION, "j"], updates, prune_by="meeting_id")
-    start = top_id(tables["race"], "race_id")
+    start = _top(tables, "race")
     rows["race"] = _shaped(number_new(new, ["meeting_id", "race_number"], "race_id", start), "race")
     return Load(rows, parsed["rejects"], load_audit(parsed["documents"]), updates or {})
 
@@ -179,7 +191,7 @@ def load_participants(
     facts = resolve_keys(facts, _after(tables, rows, "lookup_shoeing"), "shoeing_code", "shoeing_id", "code")
     facts = resolve_keys(facts, _after(tables, rows, "lookup_incident"), "incident_code", "incident_id", "code")
     new = _entries(tables, "race_participant", facts, POSITION, updates, prune_by="race_id")
-    start = top_id(tables["race_participant"], "participant_id")
+    start = _top(tables, "race_participant")
     rows["race_participant"] = _shaped(number_stored(new, "participant_id", start), "race_participant")
     return Load(rows, parsed["rejects"], load_audit(parsed["documents"]), updates or {})
 
@@ -194,8 +206,8 @@ def load_performances(
     rows = {"horse": _members(tables, "horse", "horse_name", parsed["horses"], POSITION)}
     past = resolve_keys(parsed["history"], _after(tables, rows, "horse"), "horse_name", "horse_id")
     order = [*POSITION, "j"]
-    new = _entries(tables, "horse_race_history", past, order, updates, nullable_keys=True, prune_by="race_date")
-    start = top_id(tables["horse_race_history"], "history_id")
+    new = _entries(tables, "horse_race_history", past, order, updates, nullable_keys=True, prune_by="horse_id")
+    start = _top(tables, "horse_race_history")
     rows["horse_race_history"] = _shaped(number_stored(new, "history_id", start), "horse_race_history")
     return Load(rows, parsed["rejects"], load_audit(parsed["documents"]), updates or {})
 
@@ -211,33 +223,33 @@ def load_reports(
     rows: dict[str, DataFrame] = {}
     bets = _with_race_id(parsed["bets"], races)
     new = _entries(tables, "race_bet", bets, POSITION, updates, nullable_keys=True, prune_by="race_id")
-    numbered = number_stored(new, "bet_id", top_id(tables["race_bet"], "bet_id"))
+    numbered = number_stored(new, "bet_id", _top(tables, "race_bet"))
     rows["race_bet"] = _shaped(numbered, "race_bet")
 
     payouts = _with_race_id(parsed["payouts"], races)
     stored = _after(tables, rows, "race_bet").where("bet_type is not null").select("race_id", "bet_type", "bet_id")
     typed = payouts.where("bet_type is not null").join(stored, ["race_id", "bet_type"])
     # A bet without a type is always inserted anew, so its pay-outs belong to that very row.
-    fresh = numbered.where("bet_type is null").select("race_id", "seq", "i", "bet_id")
-    untyped = payouts.where("bet_type is null").join(fresh, ["race_id", "seq", "i"])
-    reports = typed.unionByName(untyped)
+    document = F.coalesce("name", F.lit("")).alias("_document")
+    fresh = numbered.where("bet_type is null").select("race_id", "seq", document, "i", "bet_id")
+    untyped = payouts.where("bet_type is null").select("*", document).join(fresh, ["race_id", "seq", "_document", "i"])
+    reports = typed.unionByName(untyped.drop("_document"))
     new = _entries(tables, "bet_report", reports, [*POSITION, "j"], updates, nullable_keys=True, prune_by="bet_id")
-    start = top_id(tables["bet_report"], "report_id")
+    start = _top(tables, "bet_report")
     rows["bet_report"] = _shaped(number_stored(new, "report_id", start), "bet_report")
     return Load(rows, parsed["rejects"], load_audit(parsed["documents"]), updates or {})
 
 
-def commit(load: Load, root: str, dead_letters: str) -> None:
-    """Write updated rows again, append the new ones, parents first, and keep the rejected documents.
+def commit(load: Load, root: str, dead_letters: str, note: dict | None = None, base: Manifest | None = None) -> dict[str, int]:
+    """Keep the rejected documents, then make updated and new rows of all tables visible at once; the new rows by table.
 
-    Updates come first: they replace whole folders, which do not hold the new rows yet.
+    A run that dies before the end leaves the tables as they were. `note` names the run and stage; a stage
+    that is run again writes its rejected documents over those of the attempt before.
     """
-    for name in TABLES:
-        if name in load.updates:
-            replace(load.updates[name], root, name)
-        if name in load.rows:
-            append(load.rows[name], root, name)
-    write_dead_letters(load.rejects, dead_letters)
+    spark = load.rejects.sparkSession
+    name = uuid.uuid4().hex if note is None else f"{note['run']}-{note['stage']}"
+    write_dead_letters(load.rejects, f"{dead_letters}/load={name}")
+    return publish(spark, root, load.rows, load.updates, note, base)
 
 
 def run_stages(
@@ -249,10 +261,12 @@ def run_stages(
     dates: Sequence[str] | None = None,
     stages: Sequence[str] = STAGES,
     mode: str = "ignore",
+    run: str | None = None,
 ) -> dict[str, DataFrame | Exception]:
     """Run the chosen stages in order over all days in scope; a failed stage does not stop the next.
 
     `mode="update"` also brings late values, such as results and final odds, into rows stored earlier.
+    `run` names the run: a stage that a run of that name has committed is not run again.
     Returns the audit of each stage, or the error it failed with.
     """
     create_warehouse(spark, root)
@@ -268,9 +282,49 @@ def run_stages(
         if stage not in stages:
             continue
         try:
-            load = jobs[stage](open_warehouse(spark, root))
-            commit(load, root, dead_letters)
-            outcome[stage] = load.audit
+            tables = open_warehouse(spark, root)
+            done = None if run is None else tables.manifest.done(run, stage)
+            if done is None:
+                load = jobs[stage](tables)
+                audit = [row.asDict() for row in load.audit.collect()]  # a line for each outcome
+                note = {"run": run or uuid.uuid4().hex, "stage": stage, "audit": audit}
+                counts = commit(load, root, dead_letters, note, tables.manifest)
+                done = {**note, "rows": counts}
+            new = done["rows"][FACTS[stage]]
+            lines = [{**line, "inserted": new if line["status"] == "SUCCESS" else 0} for line in done["audit"]]
+            outcome[stage] = spark.createDataFrame(lines, AUDIT)
         except Exception as error:  # noqa: BLE001 - reported to the caller per stage
             outcome[stage] = error
     return outcome
+
+
+def backfill(
+    spark: SparkSession,
+    landing: DataFrame,
+    root: str,
+    dead_letters: str,
+    as_of_year: int,
+    days: Sequence[str],
+    run: str,
+    days_a_load: int = 30,
+    stages: Sequence[str] = STAGES,
+    mode: str = "ignore",
+) -> dict[tuple[str, str], DataFrame | Exception]:
+    """Load many days, some of them at a time, each stage of each batch as one commit.
+
+    Started again under the same name with the same days, it goes on with the first stage that lacks. Returns
+    what run_stages returns, by first day of the batch and stage.
+    """
+    outcome: dict[tuple[str, str], DataFrame | Exception] = {}
+    for at in range(0, len(days), days_a_load):
+        batch = list(days[at : at + days_a_load])
+        done = run_stages(spark, landing, root, dead_letters, as_of_year, batch, stages, mode, f"{run}-{batch[0]}-{len(batch)}")
+        outcome |= {(batch[0], stage): result for stage, result in done.items()}
+    return outcome
+
+
+def pending(spark: SparkSession, root: str, days: Sequence[str], run: str, days_a_load: int = 30, stages: Sequence[str] = STAGES) -> list[tuple[str, str]]:
+    """The batches, by first day, and stages of a backfill that are not committed yet."""
+    manifest = latest(spark, root)
+    batches = [days[at : at + days_a_load] for at in range(0, len(days), days_a_load)]
+    return [(b[0], s) for b in batches for s in STAGES if s in stages and manifest.done(f"{run}-{b[0]}-{len(b)}", s) is None]

@@ -57,7 +57,7 @@ SCHEMAS = {
 }
 
 SUCCESS, SKIPPED, FAILED = "SUCCESS", "SKIPPED", "FAILED"
-DOCUMENT = ["feed", "date_code", "day", "meeting", "race", "seq"]
+DOCUMENT = ["feed", "date_code", "day", "meeting", "race", "seq", "name"]
 
 
 def http_outcome(status: Column) -> Column:
@@ -83,6 +83,8 @@ def _opened(landing: DataFrame, feed: str) -> DataFrame:
         payload = F.when(F.ltrim(payload).startswith("["), wrapped).otherwise(payload)
     doc = F.from_json(payload, SCHEMAS[feed], {"columnNameOfCorruptRecord": _BAD})
     landed = landed_day(landing.where(F.col("feed") == feed))
+    if "name" not in landed.columns:
+        landed = landed.withColumn("name", F.lit(None).cast("string"))
     # Filters on the parsed document are not pushed below a generator, which
     # keeps the optimizer from parsing the payload once more per filter.
     return landed.select("*", F.explode(F.array(doc)).alias("doc"))
@@ -190,6 +192,44 @@ _FAILS = {
 }
 
 
+def _total(items: Column, count) -> Column:
+    """The sum of a number over the elements of an array."""
+    return F.aggregate(F.coalesce(items, F.array()), F.lit(0), lambda sum_, x: sum_ + F.coalesce(count(x), F.lit(0)))
+
+
+def _cut(text: Column, most: int) -> Column:
+    return F.coalesce(p.overflows(text, most), F.lit(False)).cast("int")
+
+
+def _trot_races(m: Column) -> Column:
+    return _total(m["courses"], lambda c: codes.is_trot(c["discipline"]).cast("int"))
+
+
+def _past_trot_races(r: Column) -> Column:
+    named = F.coalesce(p.first_text(r["nomCheval"], r["nom"]), F.lit("")) != ""
+    return F.when(named, _total(r["coursesCourues"], lambda h: codes.is_trot(h["discipline"]).cast("int"))).otherwise(0)
+
+
+# How many records an element of a document's rows brings to its table, and how many of its texts are cut.
+_RECORDS = {
+    "programme": _trot_races,
+    "participants": lambda r: F.lit(1),
+    "performances": _past_trot_races,
+    "reports": lambda b: F.lit(1),
+}
+_CUTS = {
+    "programme": lambda m: _cut(m["nature"], 50)
+    + _cut(m["hippodrome"]["code"], 10)
+    + _total(
+        m["courses"],
+        lambda c: F.when(codes.is_trot(c["discipline"]), _cut(c["discipline"], 20) + _cut(c["categorieStatut"], 50)).otherwise(0),
+    ),
+    "participants": lambda r: F.when(F.coalesce(r["nom"], F.lit("")) != "", _cut(r["entraineur"], 100) + _cut(r["driver"], 100)).otherwise(0),
+    "performances": lambda r: F.lit(0),
+    "reports": lambda b: codes.bet_type_cut(b["typePari"]).cast("int"),
+}
+
+
 def judged(landing: DataFrame, feed: str) -> DataFrame:
     """Documents of one feed: their load status, their rows if accepted, their payload if rejected."""
     docs = _opened(landing, feed)
@@ -216,7 +256,8 @@ def judged(landing: DataFrame, feed: str) -> DataFrame:
         *DOCUMENT,
         "http_status",
         "status",
-        F.when(loaded, F.size(F.coalesce("rows", F.array()))).otherwise(0).alias("records"),
+        F.when(loaded, _total(F.col("rows"), _RECORDS[feed])).otherwise(0).alias("attempted"),
+        F.when(loaded, _total(F.col("rows"), _CUTS[feed])).otherwise(0).alias("overflowed"),
         F.when(loaded, F.col("rows")).alias("rows"),
         F.when(failed & by_http.isNull(), F.col("payload")).alias("payload"),
     )
@@ -244,6 +285,7 @@ def parse_programme(docs: DataFrame) -> dict[str, DataFrame]:
             p.number(F.col("m.meteo.temperature")).alias("weather_temperature"),
             F.col("m.meteo.directionVent").alias("weather_wind"),
             "seq",
+            "name",
             "i",
         ),
         "races": races.where(codes.is_trot(F.col("c.discipline"))).select(
@@ -262,6 +304,7 @@ def parse_programme(docs: DataFrame) -> dict[str, DataFrame]:
             p.seconds(F.col("c.dureeCourse")).alias("race_duration_s"),
             p.cut(F.col("c.categorieStatut"), 50).alias("race_status_category"),
             "seq",
+            "name",
             "i",
             "j",
         ),

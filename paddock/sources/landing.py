@@ -42,6 +42,8 @@ def read_documents(spark: SparkSession, path: str, feed: str) -> DataFrame:
         F.lit(200).alias("http_status"),
         F.col("value").alias("payload"),
         F.unix_millis(F.col("_metadata.file_modification_time")).alias("seq"),
+        # Tells apart the documents of one moment, so that "first" has one meaning.
+        F.col("_metadata.file_path").alias("name"),
     )
 
 

@@ -382,13 +382,13 @@ def code_maps(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def parse_programme(spark: SparkSession, folder: str) -> DataFrame:
     landing = feeds.programme_documents(source(spark, folder, "orders"))
-    return parse_feed(landing, "programme")["races"].drop("i", "j", "race_category", "conditions_text", "race_status_category")
+    return parse_feed(landing, "programme")["races"].drop("name", "i", "j", "race_category", "conditions_text", "race_status_category")
 
 
 @query
 def parse_meetings(spark: SparkSession, folder: str) -> DataFrame:
     landing = feeds.programme_documents(source(spark, folder, "orders"))
-    return parse_feed(landing, "programme")["meetings"].drop("i")
+    return parse_feed(landing, "programme")["meetings"].drop("name", "i")
 
 
 @query
@@ -396,7 +396,7 @@ def parse_participants(spark: SparkSession, folder: str) -> DataFrame:
     lines = feeds.unlocated(runner_lines(source(spark, folder, "lineitem")))
     landing = feeds.participants_documents(lines)
     return parse_feed(landing, "participants", AS_OF_YEAR)["runners"].drop(
-        "feed", "date_code", "i", "meeting", "race", "raw_performance_string", "trainer_advice"
+        "feed", "date_code", "name", "i", "meeting", "race", "raw_performance_string", "trainer_advice"
     )
 
 
@@ -404,7 +404,7 @@ def parse_participants(spark: SparkSession, folder: str) -> DataFrame:
 def parse_performances(spark: SparkSession, folder: str) -> DataFrame:
     lines = feeds.unlocated(runner_lines(source(spark, folder, "lineitem")))
     landing = feeds.performances_documents(lines)
-    return parse_feed(landing, "performances")["history"].drop("feed", "date_code", "day", "i", "j", "meeting", "race", "jockey_weight")
+    return parse_feed(landing, "performances")["history"].drop("feed", "date_code", "day", "name", "i", "j", "meeting", "race", "jockey_weight")
 
 
 def _reports(spark: SparkSession, folder: str) -> DataFrame:
@@ -496,10 +496,10 @@ def _all_landed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 @query
 def load_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents and records of all four feeds by outcome."""
+    """Documents of all four feeds by outcome, the records they bring to their table and the texts cut to fit it."""
     outcomes = None
     for feed, landing in _all_landed(spark, folder).items():
-        documents = parse_feed(landing, feed)["documents"].select("feed", "status", "records")
+        documents = parse_feed(landing, feed)["documents"].select("feed", "status", "attempted", "overflowed")
         outcomes = documents if outcomes is None else outcomes.unionByName(documents)
     return loading.load_audit(outcomes)
 
