@@ -118,3 +118,18 @@ def number_all(
     one = df.withColumn("_all", F.lit(0)).withColumn("_one", F.lit(1))
     numbered = totals_before(one, ["_all"], order, {"_one": "_before"}, whole_rows)
     return numbered.withColumn(out, F.col("_before") + start + 1).drop("_all", "_one", "_before")
+
+
+def with_positions(df: DataFrame, *order: str) -> DataFrame:
+    """Add the place of each row from 1 in the order of columns that tell all rows apart, without a one-task sort."""
+    placed = number_all(df.withColumn("_order", F.struct(*order)), "_order", "position")
+    return placed.drop("_order")
+
+
+def write_ordered(df: DataFrame, path: str, *order: str) -> None:
+    """Store rows in order: files hold one range of positions each, sorted, in the order of their names.
+
+    A reader that wants some rows of the order filters by `position`, which the files' statistics prune by.
+    """
+    placed = with_positions(df, *order)
+    placed.repartitionByRange("position").sortWithinPartitions("position").write.parquet(path)

@@ -24,7 +24,6 @@ from paddock.operators.joins import (
     with_actors,
     with_history,
 )
-from paddock.operators.ranking import number_all
 from paddock.operators.scope import scoped
 from paddock.operators.skew import HOT_ROWS, hot_groups
 from paddock.sources.warehouse import Tables
@@ -68,14 +67,6 @@ def card_of_meeting(tables: Tables, date: str, meeting: int) -> DataFrame:
     return filter_meeting(races_by_date(tables, [date]), meeting).orderBy("race_number")
 
 
-def with_positions(df: DataFrame, *order: str) -> DataFrame:
-    """Add the place of each row from 1 in the order of columns that tell all rows apart, without a one-task sort.
-
-    Sorting a stored result by `position` in ranges gives ordered files; a reader of part of it asks for a range.
-    """
-    return number_all(df.withColumn("_order", F.struct(*order)), "_order", "position").drop("_order")
-
-
 def participants_by_race(tables: Tables, races: Sequence[int] | None = None) -> DataFrame:
     """Runners with horse, driver, trainer and current odds."""
     tables = scoped(tables, races=races)

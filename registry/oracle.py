@@ -537,13 +537,41 @@ ORACLE: dict[str, str] = {
 }
 
 
+_TOTALS = {
+    "daily_program": "program_id", "race_meeting": "meeting_id", "race": "race_id", "horse": "horse_id", "racing_actor": "actor_id",
+    "lookup_shoeing": "shoeing_id", "lookup_incident": "incident_id", "race_participant": "participant_id", "race_bet": "bet_id",
+    "bet_report": "report_id",
+}
+_LINE = "SELECT '{0}' AS name, count(*) AS rows, coalesce(max({1}), 0) AS top FROM {0}"
+ORACLE["stored_totals"] = _sql(
+    "SELECT *, rows AS known_rows, top AS known_top FROM ("
+    + " UNION ALL ".join(_LINE.format(name, key) for name, key in _TOTALS.items())
+    + " UNION ALL SELECT 'horse_race_history', count(*), max(l_orderkey * 100 + l_linenumber) FROM lineitem"
+    + " UNION ALL SELECT 'prediction', 0, 0)",
+    *_TOTALS,
+)
+ORACLE["card_positions"] = _sql(
+    """SELECT program_date, meeting_number, race_number, race_id,
+       row_number() OVER (ORDER BY program_date, meeting_number, race_number) AS position FROM context""",
+    "context",
+)
+ORACLE["runner_positions"] = _sql(
+    """SELECT race_id, program_number, horse_name, row_number() OVER (ORDER BY race_id, program_number) AS position FROM features""",
+    "features",
+)
+ORACLE["training_positions"] = _sql(
+    """SELECT participant_id, race_id, program_date, row_number() OVER (ORDER BY program_date, participant_id) AS position
+       FROM features WHERE finish_rank IS NOT NULL""",
+    "features",
+)
+
 # Dates as ISO text on both sides, by the column each query shows them in.
 _DATES = {"day": ["parse_participants"], "last_day": ["latest_day"]}
 _DATES["race_date"] = ["semi_join_history", "parse_performances", "load_performances"]
 _DATES["program_date"] = [
     "races_by_date", "race_features", "daily_features", "training_set", "meeting_list", "race_card",
     "engineered_features", "parse_programme", "parse_meetings", "date_scope", "rolling_scope", "program_days",
-    "stage_work_list", "load_participants", "load_reports",
+    "stage_work_list", "load_participants", "load_reports", "card_positions", "training_positions",
 ]
 for _column, _names in _DATES.items():
     for _name in _names:
@@ -553,3 +581,14 @@ for _column, _names in _DATES.items():
 _LAST_DAY = "(SELECT CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) FROM orders)"
 for _scoped, _whole in (("card_of_last_day", "races_by_date"), ("features_of_last_day", "daily_features")):
     ORACLE[_scoped] = f"SELECT * FROM ({ORACLE[_whole]}) WHERE program_date = {_LAST_DAY}"
+# The same from a stored warehouse, with the places of the rows in their order.
+_RACES_OF_DAY = f"SELECT race_id FROM ({ORACLE['card_of_last_day']})"
+_IN_RACES = "SELECT *, row_number() OVER (ORDER BY race_id, program_number) AS position FROM ({0}) WHERE race_id IN ({1})"
+ORACLE["stored_card"] = f"""
+    SELECT *, row_number() OVER (ORDER BY meeting_number, race_number) AS position FROM ({ORACLE['card_of_last_day']})"""
+ORACLE["stored_card_of_meeting"] = f"""
+    SELECT *, row_number() OVER (ORDER BY race_number) AS position FROM ({ORACLE['card_of_last_day']})
+    WHERE meeting_number = (SELECT min(meeting_number) FROM ({ORACLE['card_of_last_day']}))"""
+ORACLE["stored_features_of_day"] = _IN_RACES.format(ORACLE["daily_features"], _RACES_OF_DAY)
+ORACLE["stored_features_of_races"] = _IN_RACES.format(ORACLE["race_features"], _RACES_OF_DAY)
+ORACLE["stored_runners_of_races"] = _IN_RACES.format(ORACLE["participants_by_race"], _RACES_OF_DAY)

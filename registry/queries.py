@@ -6,6 +6,7 @@ rounded to six places, since the order of addition is not fixed.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -19,12 +20,14 @@ from paddock.ml.encoding import OrdinalEncoder
 from paddock.ml.features import FeatureEngineer
 from paddock.operators import aggregates, checks, filters, joins, loading, scope, windows
 from paddock.operators.filters import is_winner
+from paddock.operators.ranking import with_positions
 from paddock.plans import cards, decisions, loads
-from paddock.session import staged, tune
+from paddock.session import shared_folder, staged, tune
 from paddock.sources import derived_feeds as feeds
 from paddock.sources.derived import derived_tables, runner_lines, source, stand_in_probability
 from paddock.sources.feeds import parse_feed
-from paddock.sources.warehouse import Tables, empty_warehouse
+from paddock.schemas import TABLES
+from paddock.sources.warehouse import StoredTables, Tables, create_warehouse, empty_warehouse, open_warehouse, publish
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -178,6 +181,105 @@ def race_analysis_top3(spark: SparkSession, folder: str) -> DataFrame:
     return decisions.podium(decisions.race_analysis(given_scores(tables), tables, sizes=race_sizes(spark, folder)))
 
 
+# Stored warehouse ------------------------------------------------------------
+
+
+def _new_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/warehouse-{uuid.uuid4().hex}"
+
+
+def _stored(spark: SparkSession, folder: str) -> StoredTables:
+    """All derived tables written as a warehouse and opened again."""
+    root, tables = _new_root(spark), derived_tables(spark, folder)
+    create_warehouse(spark, root)
+    publish(spark, root, {name: tables[name] for name in TABLES})
+    return open_warehouse(spark, root)
+
+
+def _races_of(tables: StoredTables, day: str) -> list[int]:
+    return [row["race_id"] for row in cards.races_by_date(tables, [day]).select("race_id").collect()]
+
+
+@query
+def stored_card(spark: SparkSession, folder: str) -> DataFrame:
+    """The card of the last day from a stored warehouse, in its order."""
+    tables = _stored(spark, folder)
+    return with_positions(cards.races_by_date(tables, [_last_day(tables)]), "program_date", "meeting_number", "race_number")
+
+
+@query
+def stored_card_of_meeting(spark: SparkSession, folder: str) -> DataFrame:
+    """The races of the first meeting of the last day."""
+    tables = _stored(spark, folder)
+    day = _last_day(tables)
+    first = cards.races_by_date(tables, [day]).agg(F.min("meeting_number")).first()[0]
+    return with_positions(cards.card_of_meeting(tables, day, first), "race_number")
+
+
+@query
+def stored_features_of_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Model inputs of the last day, read from the folders of its races and horses."""
+    tables = _stored(spark, folder)
+    rows = with_positions(cards.daily_features(tables, [_last_day(tables)]), "race_id", "program_number")
+    return rounded(rows, "hist_avg_speed", "hist_earnings")
+
+
+@query
+def stored_features_of_races(spark: SparkSession, folder: str) -> DataFrame:
+    """Model inputs of the races of the last day, asked for by their ids."""
+    tables = _stored(spark, folder)
+    rows = cards.race_features(tables, _races_of(tables, _last_day(tables)))
+    return rounded(with_positions(rows, "race_id", "program_number"), "hist_avg_speed", "hist_earnings")
+
+
+@query
+def stored_runners_of_races(spark: SparkSession, folder: str) -> DataFrame:
+    """The runners of the races of the last day, in their order."""
+    tables = _stored(spark, folder)
+    runners = cards.participants_by_race(tables, _races_of(tables, _last_day(tables)))
+    return with_positions(runners, "race_id", "program_number")
+
+
+@query
+def stored_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and largest id of each stored table: what the manifest says and what the tables hold."""
+    tables = _stored(spark, folder)
+    found = None
+    for name, df in tables.items():
+        known = sum(part.rows for part in tables.parts(name))
+        held = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.max(TABLES[name].id), F.lit(0)).alias("top"))
+        line = held.select(
+            F.lit(name).alias("name"), "rows", "top", F.lit(known).cast("long").alias("known_rows"),
+            F.lit(tables.top(name, TABLES[name].id)).cast("long").alias("known_top"),
+        )
+        found = line if found is None else found.unionByName(line)
+    return found
+
+
+# Orders over the whole history, as positions.
+
+
+@query
+def card_positions(spark: SparkSession, folder: str) -> DataFrame:
+    rows = cards.races_by_date(derived_tables(spark, folder)).select("program_date", "meeting_number", "race_number", "race_id")
+    return with_positions(rows, "program_date", "meeting_number", "race_number")
+
+
+@query
+def runner_positions(spark: SparkSession, folder: str) -> DataFrame:
+    rows = cards.participants_by_race(derived_tables(spark, folder)).select("race_id", "program_number", "horse_name")
+    return with_positions(rows, "race_id", "program_number")
+
+
+@query
+def training_positions(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled runners in the order of their days, as the temporal split needs them."""
+    tables = derived_tables(spark, folder)
+    dated = filters.labelled(tables["race_participant"]).select("participant_id", "race_id")
+    dated = dated.join(joins.race_context(tables).select("race_id", "program_date"), "race_id")
+    return with_positions(dated, "program_date", "participant_id")
+
+
 # Joins, aggregates, windows --------------------------------------------------
 
 
