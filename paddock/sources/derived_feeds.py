@@ -19,6 +19,9 @@ RACE_NUMBERS = 30_000
 MEETING_TURNS = 6_553
 DAYS_PER_TURN = 2_500
 
+# Where a line stands in its race's document; lines with all of these equal are equal there.
+SLOT_ORDER_IN_DOCUMENT = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_tax", "l_returnflag"]
+
 
 def _quoted(text: Column) -> Column:
     return F.coalesce(F.concat(F.lit('"'), text, F.lit('"')), F.lit("null"))
@@ -80,12 +83,8 @@ def day_of(date: str, order: str) -> Column:
     return F.when(late, beyond).otherwise(F.date_add(day, shift.cast("int")))
 
 
-def programme_documents(orders: DataFrame) -> DataFrame:
-    """A programme per order, with its one meeting and race."""
-    o = F.col("o_orderkey")
-    day = day_of("o_orderdate", "o_orderkey")
-    number = meeting_of("o_custkey", "o_orderkey")
-    race = _object(
+def _race_object(o: Column) -> Column:
+    return _object(
         numOrdre=_bare(o % RACE_NUMBERS),
         discipline=_quoted(_one_of(o % 5, "ATTELE", "attele", "MONTE", "PLAT", None)),
         distance=_bare(F.when(o % 29 == 0, 40_000).otherwise(o % 20 * 100 + 1600)),
@@ -95,15 +94,25 @@ def programme_documents(orders: DataFrame) -> DataFrame:
         nombreDeclaresPartants=_quoted(_bare(o % 12 + 4)),
         dureeCourse=_bare(F.when(o % 2 == 0, o % 1000 * 333).otherwise(F.lit(0))),
     )
-    meeting = _object(
+
+
+def _meeting_object(number: Column, o: Column, races: Column) -> Column:
+    return _object(
         numOfficiel=_bare(number),
         nature=_quoted(F.lit("TROT")),
         hippodrome=_object(code=_quoted(F.concat(F.lit("TRACK_"), number.cast("string"), F.lit("_LONG")))),
         meteo=F.when(o % 2 == 0, _object(temperature=_bare(number + 0.5), directionVent=_quoted(F.lit("N")))).otherwise(
             F.lit("null")
         ),
-        courses=_array(race),
+        courses=races,
     )
+
+
+def programme_documents(orders: DataFrame) -> DataFrame:
+    """A programme per order, with its one meeting and race."""
+    o = F.col("o_orderkey")
+    day = day_of("o_orderdate", "o_orderkey")
+    meeting = _meeting_object(meeting_of("o_custkey", "o_orderkey"), o, _array(_race_object(o)))
     payload = _object(
         programme=_object(date=_bare(F.unix_date(day).cast("bigint") * 86_400_000), reunions=_array(meeting))
     )
@@ -113,6 +122,46 @@ def programme_documents(orders: DataFrame) -> DataFrame:
     return _landing(rows, "programme", o, payload)
 
 
+def _in_order(*position: str, item: str) -> Column:
+    """The items of a group as one JSON array, in the order of their positions."""
+    sorted_items = F.array_sort(F.collect_list(F.struct(*position, item)))
+    return F.concat(F.lit("["), F.array_join(F.transform(sorted_items, lambda x: x[item]), ","), F.lit("]"))
+
+
+def programmes_of_days(orders: DataFrame) -> DataFrame:
+    """A programme per day with all its meetings and their races, in order.
+
+    Order keys above RACE_NUMBERS have a document of their own for each turn of the numbers, so a document holds
+    a day's share of that many orders. Some races stand twice, the second time over another distance, and some do
+    not fit the table, which rejects the whole document.
+    """
+    o, again = F.col("o_orderkey"), F.explode(F.when(F.col("o_orderkey") % 10 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    races = orders.select(
+        o,
+        day_of("o_orderdate", "o_orderkey").alias("day"),
+        _turn("o_orderkey").alias("turn"),
+        meeting_of("o_custkey", "o_orderkey").alias("number"),
+        again.alias("again"),
+    )
+    longer = F.when(F.col("again") == 1, F.regexp_replace(_race_object(o), '"distance":[0-9]+', '"distance":1234')).otherwise(_race_object(o))
+    races = races.withColumn("item", longer)
+    meetings = races.groupBy("day", "turn", "number").agg(
+        _in_order("o_orderkey", "again", item="item").alias("races"), F.min("o_orderkey").alias("first")
+    )
+    item = _meeting_object(F.col("number"), F.col("first"), F.col("races"))
+    days = meetings.select("day", "turn", "number", "first", item.alias("item")).groupBy("day", "turn")
+    days = days.agg(_in_order("number", item="item").alias("meetings"), F.min("first").alias("seq"))
+    payload = _object(
+        programme=_object(date=_bare(F.unix_date("day").cast("bigint") * 86_400_000), reunions=F.col("meetings"))
+    )
+    rows = days.withColumns({"date_code": code_of_day(F.col("day")), "meeting": F.lit(None), "race": F.lit(None)})
+    return _landing(rows, "programme", day_key(F.col("day"), F.col("turn")), payload)
+
+
+def day_key(day: Column, turn: Column) -> Column:
+    return F.unix_date(day).cast("bigint") + turn * 7
+
+
 def _child(lines: DataFrame, feed: str, payload: Column, rows_name: str, item: Column) -> DataFrame:
     key = F.col("l_orderkey")
     wrapped = F.when(key % 2 == 0, _object(**{rows_name: _array(item)})).otherwise(_array(item))
@@ -138,10 +187,32 @@ def unlocated(lines: DataFrame) -> DataFrame:
     )
 
 
-def participants_documents(lines: DataFrame) -> DataFrame:
+def _children(lines: DataFrame, feed: str, rows_name: str, item: Column) -> DataFrame:
+    """A document per race with all its lines in order, repeated ones too; lines are located()."""
+    place = ["date_code", "meeting", "race", "l_orderkey"]
+    items = lines.select(*place, *SLOT_ORDER_IN_DOCUMENT, item.alias("item"))
+    docs = items.groupBy(*place).agg(_in_order(*SLOT_ORDER_IN_DOCUMENT, item="item").alias("items"))
+    key = F.col("l_orderkey")
+    payload = F.when(key % 2 == 0, _object(**{rows_name: F.col("items")})).otherwise(F.col("items"))
+    return _landing(docs.withColumn("seq", key), feed, key, payload)
+
+
+def participants_of_races(lines: DataFrame) -> DataFrame:
+    return _children(lines, "participants", "participants", _runner_object())
+
+
+def performances_of_races(lines: DataFrame) -> DataFrame:
+    return _children(lines, "performances", "participants", _performer_object())
+
+
+def reports_of_races(lines: DataFrame) -> DataFrame:
+    return _children(lines, "reports", "rapportsDefinitifs", _bet_object())
+
+
+def _runner_object() -> Column:
     part, number, q = F.col("l_partkey"), F.col("l_linenumber"), F.col("l_quantity").cast("int")
     supplier = F.col("l_suppkey").cast("string")
-    runner = _object(
+    return _object(
         numPmu=_bare(F.when(part % 29 == 0, 70_000).otherwise(number)),
         nom=_quoted(F.when(part % 20 == 0, "").otherwise(F.concat(F.lit("Horse "), part.cast("string")))),
         age=_bare(q % 8),
@@ -160,10 +231,13 @@ def participants_documents(lines: DataFrame) -> DataFrame:
             F.lit("null")
         ),
     )
-    return _child(lines, "participants", F.lit(None).cast("string"), "participants", runner)
 
 
-def performances_documents(lines: DataFrame) -> DataFrame:
+def participants_documents(lines: DataFrame) -> DataFrame:
+    return _child(lines, "participants", F.lit(None).cast("string"), "participants", _runner_object())
+
+
+def _performer_object() -> Column:
     part, number = F.col("l_partkey"), F.col("l_linenumber")
     place = F.when(number % 3 == 0, _bare(number)).otherwise(
         _object(place=_bare(number), statusArrivee=_quoted(F.lit("ARRIVE")))
@@ -186,16 +260,19 @@ def performances_documents(lines: DataFrame) -> DataFrame:
         participants=_array(other, him),
     )
     name = F.concat(F.lit("Horse "), part.cast("string"))
-    performer = _object(
+    return _object(
         nomCheval=_quoted(F.when(part % 2 == 0, "").otherwise(name)),
         nom=_quoted(F.when(part % 20 == 0, "").otherwise(name)),
         coursesCourues=_array(past),
     )
-    empty = F.when(part % 37 == 0, "[]")
-    return _child(lines, "performances", empty, "participants", performer)
 
 
-def reports_documents(lines: DataFrame) -> DataFrame:
+def performances_documents(lines: DataFrame) -> DataFrame:
+    empty = F.when(F.col("l_partkey") % 37 == 0, "[]")
+    return _child(lines, "performances", empty, "participants", _performer_object())
+
+
+def _bet_object() -> Column:
     part, number = F.col("l_partkey"), F.col("l_linenumber")
     payout = _object(
         combinaison=_quoted(F.when(part % 10 != 0, number.cast("string"))),
@@ -203,11 +280,14 @@ def reports_documents(lines: DataFrame) -> DataFrame:
         dividendePourUnEuro=_bare(part * 5),
         nombreGagnants=_bare(F.col("l_quantity") * 0.5),
     )
-    bet = _object(
+    return _object(
         typePari=_quoted(_one_of(part % 5, "SIMPLE_GAGNANT", "TRIO", "A_NEW_KIND_OF_BET", "", None)),
         famillePari=_quoted(F.when(part % 33 == 0, "A_FAMILY_NAME_THAT_IS_TOO_LONG").otherwise("MUTUEL")),
         miseBase=_bare(part % 7 * 50),
         rembourse=_bare(F.col("l_returnflag") == "R"),
         rapports=_array(payout),
     )
-    return _child(lines, "reports", F.lit(None).cast("string"), "rapportsDefinitifs", bet)
+
+
+def reports_documents(lines: DataFrame) -> DataFrame:
+    return _child(lines, "reports", F.lit(None).cast("string"), "rapportsDefinitifs", _bet_object())

@@ -7,9 +7,11 @@ from registry.tables_sql import VIEWS, with_views
 _ROUNDED = "* REPLACE (round(hist_avg_speed, 6) AS hist_avg_speed, round(hist_earnings, 6) AS hist_earnings)"
 _INPUTS = "* EXCLUDE (horse_id, participant_id, finish_rank, trainer_advice, win_probability)"
 
-# Landed documents and what becomes of them.
-VIEWS["programmes"] = """
-    SELECT o_orderkey AS o, CAST(o_orderdate AS DATE) AS d, CAST(o_custkey % 5 + 1 + 5 * (o_orderkey // 30000) AS INTEGER) AS n,
+# Landed documents and what becomes of them. Race numbers turn over into the meeting, and meetings into the day.
+_MEETING = "CAST(o_custkey % 5 + 1 + 5 * (o_orderkey // 30000 % 6553) AS INTEGER)"
+_DAY = "CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey // 30000 // 6553 * 2500 AS INTEGER) AS DATE)"
+VIEWS["programmes"] = f"""
+    SELECT o_orderkey AS o, {_DAY} AS d, {_MEETING} AS n,
       CASE WHEN o % 17 = 0 THEN 'SKIPPED' WHEN o % 19 = 0 THEN 'FAILED' WHEN o % 23 = 0 THEN 'FAILED'
         WHEN o % 29 = 0 AND o % 5 < 3 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
       o % 17 <> 0 AND o % 19 <> 0 AS sent
@@ -35,8 +37,8 @@ VIEWS["new_races"] = """
         SELECT *, o % 30000 AS race_number,
           dense_rank() OVER (ORDER BY d, n) AS meeting_id
         FROM programmes WHERE status = 'SUCCESS') WHERE o % 5 < 3) WHERE nth = 1"""
-VIEWS["located"] = """
-    SELECT o_orderkey AS l_orderkey, CAST(o_orderdate AS DATE) AS d, CAST(o_custkey % 5 + 1 + 5 * (o_orderkey // 30000) AS INTEGER) AS n,
+VIEWS["located"] = f"""
+    SELECT o_orderkey AS l_orderkey, {_DAY} AS d, {_MEETING} AS n,
       o_orderkey % 30000 AS race_number FROM orders"""
 VIEWS["scored"] = """
     SELECT p, CAST(sum(y) AS DOUBLE) AS won, CAST(count(*) AS DOUBLE) AS n FROM (
@@ -537,6 +539,106 @@ ORACLE: dict[str, str] = {
 }
 
 
+# Documents of many rows. A programme holds a day's races of one turn of the race numbers, a few of them twice.
+VIEWS["day_races"] = f"""
+    SELECT o, d, n, o // 30000 AS turn, again FROM (
+      SELECT o_orderkey AS o, {_DAY} AS d, {_MEETING} AS n FROM orders),
+      (SELECT unnest([0, 1]) AS again) WHERE again = 0 OR o % 10 = 3"""
+VIEWS["day_docs"] = """
+    SELECT d, turn, min(o) AS seq, date_diff('day', DATE '1970-01-01', d) + turn * 7 AS k,
+      CASE WHEN k % 17 = 0 THEN 'SKIPPED' WHEN k % 19 = 0 OR k % 23 = 0 THEN 'FAILED'
+        WHEN bool_or(again = 0 AND o % 29 = 0 AND o % 5 < 3) THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+      count(*) FILTER (o % 5 < 3) AS attempted, count(DISTINCT n) AS overflowed
+    FROM day_races GROUP BY d, turn"""
+VIEWS["placed_races"] = """
+    SELECT r.*, seq, dense_rank() OVER (PARTITION BY d, turn ORDER BY n) - 1 AS i,
+      row_number() OVER (PARTITION BY d, turn, n ORDER BY o, again) - 1 AS j
+    FROM day_races r JOIN day_docs USING (d, turn) WHERE status = 'SUCCESS'"""
+VIEWS["day_new_races"] = """
+    SELECT DISTINCT d, n, o % 30000 AS race_number, o FROM placed_races WHERE o % 5 < 3"""
+# A child document holds all lines of an order.
+VIEWS["race_lines"] = f"""
+    SELECT l.*, l_partkey AS part, l_linenumber AS number, CAST(l_quantity AS INTEGER) AS q, d, n, o_orderkey % 30000 AS race_number,
+      o_orderkey AS k, o_orderkey AS seq, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+        l_extendedprice, l_shipdate, l_quantity, l_tax, l_returnflag) - 1 AS i
+    FROM lineitem l JOIN (SELECT *, {_DAY} AS d, {_MEETING} AS n FROM orders)
+      ON o_orderkey = l_orderkey"""
+_RACE_DOC = """
+    SELECT *, CASE WHEN k % 17 = 0 THEN 'SKIPPED' WHEN k % 19 = 0 OR k % 23 = 0 THEN 'FAILED'
+      WHEN bool_or({bad}) OVER (PARTITION BY k) THEN 'FAILED' ELSE 'SUCCESS' END AS status FROM race_lines"""
+VIEWS["race_runner_docs"] = _RACE_DOC.format(bad="part % 29 = 0 AND part % 20 <> 0")
+VIEWS["race_past_docs"] = _RACE_DOC.format(bad="part % 31 = 0 AND part % 5 < 3 AND part % 20 <> 0")
+VIEWS["race_bet_docs"] = _RACE_DOC.format(bad="part % 33 = 0")
+_NEEDED |= {
+    "day_docs": ["day_races"],
+    "placed_races": ["day_races", "day_docs"],
+    "day_new_races": ["day_races", "day_docs", "placed_races"],
+    "race_runner_docs": ["race_lines"],
+    "race_past_docs": ["race_lines"],
+    "race_bet_docs": ["race_lines"],
+}
+_PLACE = "CAST(d AS VARCHAR) AS day, CAST(n AS INTEGER) AS meeting, CAST(race_number AS INTEGER) AS race, i"
+ORACLE["parse_day_programmes"] = _sql(
+    f"""SELECT CAST(d AS VARCHAR) AS program_date, n AS meeting_number, seq, i, j, * EXCLUDE (o, d, n, turn, again, seq, i, j)
+        REPLACE (CASE WHEN again = 1 THEN 1234 ELSE distance_m END AS distance_m) FROM (
+          SELECT o, d, n, turn, again, seq, i, j, {_RACE_FIELDS} FROM placed_races WHERE o % 5 < 3)""",
+    "placed_races",
+)
+ORACLE["parse_race_runners"] = _sql(
+    f"""SELECT * EXCLUDE (shoeing_code) FROM (SELECT {_PLACE}, {_RUNNER_FIELDS}
+        FROM race_runner_docs WHERE status = 'SUCCESS' AND part % 20 <> 0)""",
+    "race_runner_docs",
+)
+ORACLE["parse_race_history"] = _sql(
+    f"""SELECT * EXCLUDE (finish_status) REPLACE (CAST(race_date AS VARCHAR) AS race_date) FROM (
+        SELECT {_PLACE}, 0 AS j, {_PAST_FIELDS} FROM race_past_docs WHERE status = 'SUCCESS' AND part % 20 <> 0 AND part % 5 < 3)""",
+    "race_past_docs",
+)
+ORACLE["parse_race_payouts"] = _sql(
+    f"SELECT * EXCLUDE (base_stake) FROM (SELECT {_PLACE}, 0 AS j, {_PAYOUT_FIELDS} FROM race_bet_docs WHERE status = 'SUCCESS')",
+    "race_bet_docs",
+)
+# What a whole load leaves: children count where their race is known, history for any discipline on the card.
+_TROT_RACES = "(SELECT d, n, race_number FROM day_new_races WHERE o % 5 IN (0, 2))"
+_CARD_RACES = "(SELECT d, n, race_number FROM day_new_races)"
+_CHILD_LINE = """
+    SELECT '{feed}' AS feed, status, count(DISTINCT k) AS documents, {attempted} AS attempted, {overflowed} AS overflowed
+    FROM {docs} SEMI JOIN {races} USING (d, n, race_number) GROUP BY status"""
+ORACLE["backfill_audit"] = _sql(
+    """, audit AS (SELECT 'programme' AS feed, status, count(*) AS documents, sum(attempted) AS attempted, sum(overflowed) AS overflowed
+         FROM day_docs GROUP BY status UNION ALL """
+    + " UNION ALL ".join(
+        _CHILD_LINE.format(feed=feed, docs=docs, races=races, attempted=attempted, overflowed=overflowed)
+        for feed, docs, races, attempted, overflowed in (
+            ("participants", "race_runner_docs", _TROT_RACES, "count(*)", "0"),
+            ("performances", "race_past_docs", _CARD_RACES, "count(*) FILTER (part % 5 < 3 AND part % 20 <> 0)", "0"),
+            ("reports", "race_bet_docs", _TROT_RACES, "count(*)", "count(*) FILTER (part % 5 = 2)"),
+        )
+    )
+    + f"""), inserted AS (
+        SELECT 'programme' AS feed, count(*) AS new FROM day_new_races
+        UNION ALL SELECT 'participants', count(DISTINCT (k, number)) FROM race_runner_docs SEMI JOIN {_TROT_RACES} USING (d, n, race_number)
+          WHERE status = 'SUCCESS' AND part % 20 <> 0
+        UNION ALL SELECT 'performances', count(DISTINCT (horse_name, race_date, discipline, distance_m)) FILTER (race_date IS NOT NULL)
+            + count(*) FILTER (race_date IS NULL) FROM (SELECT {_PAST_FIELDS} FROM race_past_docs
+            SEMI JOIN {_CARD_RACES} USING (d, n, race_number) WHERE status = 'SUCCESS' AND part % 20 <> 0 AND part % 5 < 3)
+        UNION ALL SELECT 'reports', count(DISTINCT (k, bet_type)) FILTER (bet_type IS NOT NULL) + count(*) FILTER (bet_type IS NULL)
+          FROM (SELECT k, {_CODES['bet']} AS bet_type FROM race_bet_docs SEMI JOIN {_TROT_RACES} USING (d, n, race_number)
+            WHERE status = 'SUCCESS'))
+      SELECT feed, status, documents, CASE WHEN status = 'SUCCESS' THEN attempted ELSE 0 END AS attempted,
+        CASE WHEN status = 'SUCCESS' THEN overflowed ELSE 0 END AS overflowed, CASE WHEN status = 'SUCCESS' THEN new ELSE 0 END AS inserted
+      FROM audit JOIN inserted USING (feed)""",
+    "race_runner_docs", "race_past_docs", "race_bet_docs", "day_new_races",
+).replace("\n, audit AS", ", audit AS", 1)
+ORACLE["backfill_runners"] = _sql(
+    f"""SELECT program_date, meeting_number, race_number, pmu_number, horse_name, career_winnings, reference_odds,
+          row_number() OVER (ORDER BY program_date, meeting_number, race_number, pmu_number) AS position FROM (
+        SELECT CAST(d AS VARCHAR) AS program_date, n AS meeting_number, race_number, {_RUNNER_FIELDS},
+          row_number() OVER (PARTITION BY k, number ORDER BY i) AS nth FROM race_runner_docs
+        SEMI JOIN {_TROT_RACES} USING (d, n, race_number) WHERE status = 'SUCCESS' AND part % 20 <> 0) WHERE nth = 1""",
+    "race_runner_docs", "day_new_races",
+)
+
 _TOTALS = {
     "daily_program": "program_id", "race_meeting": "meeting_id", "race": "race_id", "horse": "horse_id", "racing_actor": "actor_id",
     "lookup_shoeing": "shoeing_id", "lookup_incident": "incident_id", "race_participant": "participant_id", "race_bet": "bet_id",

@@ -693,6 +693,86 @@ def load_reports(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Documents of many rows: a programme per day, the other feeds per race ---------
+
+
+def _days(spark: SparkSession, folder: str) -> DataFrame:
+    return feeds.programmes_of_days(source(spark, folder, "orders"))
+
+
+def _all_located(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line item, repeated ones too, with the place of its race."""
+    return feeds.located(source(spark, folder, "lineitem"), source(spark, folder, "orders"))
+
+
+@query
+def parse_day_programmes(spark: SparkSession, folder: str) -> DataFrame:
+    """The races of each day's programme, with the places of meeting and race in the document."""
+    return parse_feed(_days(spark, folder), "programme")["races"].drop(
+        "name", "race_category", "terrain_label", "conditions_text", "race_status_category"
+    )
+
+
+@query
+def parse_race_runners(spark: SparkSession, folder: str) -> DataFrame:
+    landing = feeds.participants_of_races(_all_located(spark, folder))
+    return parse_feed(landing, "participants", AS_OF_YEAR)["runners"].select(
+        "day", "meeting", "race", "seq", "i", "horse_name", "pmu_number", "trainer_name", "driver_name", "incident_code",
+        "career_winnings", "reference_odds",
+    )
+
+
+@query
+def parse_race_history(spark: SparkSession, folder: str) -> DataFrame:
+    landing = feeds.performances_of_races(_all_located(spark, folder))
+    return parse_feed(landing, "performances")["history"].select(
+        "day", "meeting", "race", "seq", "i", "j", "horse_name", "race_date", "discipline", "distance_m", "prize_money", "finish_place"
+    )
+
+
+@query
+def parse_race_payouts(spark: SparkSession, folder: str) -> DataFrame:
+    landing = feeds.reports_of_races(_all_located(spark, folder))
+    return parse_feed(landing, "reports")["payouts"].select(
+        "day", "meeting", "race", "seq", "i", "j", "bet_type", "combination", "dividend", "winners_count"
+    )
+
+
+def _backfilled(spark: SparkSession, folder: str) -> tuple[dict, StoredTables]:
+    """All four feeds of many-row documents loaded into a stored warehouse."""
+    lines = staged(_all_located(spark, folder))
+    landing = _days(spark, folder)
+    for more in (feeds.participants_of_races, feeds.performances_of_races, feeds.reports_of_races):
+        landing = landing.unionByName(more(lines))
+    root = _new_root(spark)
+    outcome = loads.run_stages(spark, staged(landing), root, f"{root}-rejected", AS_OF_YEAR, run="backfill")
+    for result in outcome.values():
+        if isinstance(result, Exception):
+            raise result
+    return outcome, open_warehouse(spark, root)
+
+
+@query
+def backfill_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents, records attempted and cut, and rows inserted, by feed and outcome, of a whole stored load."""
+    outcome, _ = _backfilled(spark, folder)
+    lines = list(outcome.values())
+    found = lines[0]
+    for line in lines[1:]:
+        found = found.unionByName(line)
+    return found
+
+
+@query
+def backfill_runners(spark: SparkSession, folder: str) -> DataFrame:
+    """The runners a whole stored load leaves, in the order of their cards."""
+    _, tables = _backfilled(spark, folder)
+    races = scope.work_list(tables).select("race_id", "program_date", "meeting_number", "race_number")
+    runners = tables["race_participant"].join(races, "race_id").join(tables["horse"].select("horse_id", "horse_name"), "horse_id")
+    shown = runners.select("program_date", "meeting_number", "race_number", "pmu_number", "horse_name", "career_winnings", "reference_odds")
+    return with_positions(shown, "program_date", "meeting_number", "race_number", "pmu_number")
+
+
 # Checks ----------------------------------------------------------------------
 
 
