@@ -50,12 +50,17 @@ def split_sizes(df: DataFrame) -> DataFrame:
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _judged(df: DataFrame, p: str, y: str) -> DataFrame:
+    """The rows that have a score and a label; both metrics are taken over these."""
+    return df.where(F.nanvl(F.col(p).cast("double"), F.lit(None)).isNotNull() & F.col(y).isNotNull())
+
+
 def log_loss(df: DataFrame, p: str, y: str) -> DataFrame:
     """Mean negative log likelihood of binary labels, as one row.
 
     Rows whose probability is null or NaN, or whose label is null, are left out.
     """
-    df = df.where(F.nanvl(F.col(p).cast("double"), F.lit(None)).isNotNull() & F.col(y).isNotNull())
+    df = _judged(df, p, y)
     safe = F.least(F.greatest(F.col(p), F.lit(EPSILON)), F.lit(1.0 - EPSILON))
     loss = F.when(F.col(y) == 1, -F.log(safe)).otherwise(-F.log(F.lit(1.0) - safe))
     return df.agg(F.avg(loss).alias("log_loss"))
@@ -64,12 +69,12 @@ def log_loss(df: DataFrame, p: str, y: str) -> DataFrame:
 def roc_auc(df: DataFrame, p: str, y: str, whole_rows: int = HOT_ROWS) -> DataFrame:
     """Exact area under the ROC curve, as one row; a single class gives 0.5.
 
-    Scores are collapsed to distinct values, whose running count of negatives is
+    Rows whose score is null or NaN, or whose label is null, are left out. Scores are collapsed to distinct values, whose running count of negatives is
     built in parallel ranges, so there is no global one-task sort.
     """
     positive = F.when(F.col(y) == 1, 1).otherwise(0)
     scores = (
-        df.groupBy(F.col(p).alias("score"))
+        _judged(df, p, y).groupBy(F.col(p).alias("score"))
         .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
         .withColumn("everything", F.lit(0))
     )

@@ -55,30 +55,62 @@ def _row_rules(df: DataFrame, table: Table) -> dict[tuple[str, str], Column]:
     return rules
 
 
+def _joined(columns: Sequence[str]) -> Column:
+    """One text for the values of several columns that tells all combinations apart."""
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts])
+
+
 def violations(tables: Tables) -> DataFrame:
     """Number of violations of every declared rule that has any: table, rule, columns, rows.
 
-    All rules on single rows of a table are counted in one scan of it.
+    Each table is scanned once. A row is turned into marks (domain, key, slot): its key in the domain of its
+    table's unique keys, the parents it names in the domains of their ids, its own id as a known one there (slot
+    -1), and each rule of its own that it breaks. One aggregate over domain and key, combined in the map tasks,
+    then tells repeated keys, keys without a parent and broken rules.
     """
-    found: list[DataFrame] = []
+    spark = tables["daily_program"].sparkSession
+    rules: list[tuple[str, int, str, str, str]] = []  # domain, slot, table, rule, columns
+    parents = {target for table in TABLES.values() for target in table.foreign.values()}
+    used: dict[str, int] = {}
+
+    def mark(domain: str, key: Column, slot: int, where: Column) -> Column:
+        fields = (F.lit(domain).alias("domain"), key.alias("key"), F.lit(slot).alias("slot"))
+        return F.when(where, F.struct(*fields))
 
-    def labelled(counts: DataFrame, table: str, rule: Column, columns: Column) -> None:
-        found.append(counts.select(F.lit(table).alias("table"), rule.alias("rule"), columns.alias("columns"), "rows"))
+    def declared(domain: str, table: str, rule: str, columns: str) -> int:
+        slot = used[domain] = used.get(domain, -1) + 1
+        rules.append((domain, slot, table, rule, columns))
+        return slot
 
+    marked: list[DataFrame] = []
     for name, table in TABLES.items():
-        df = tables[name]
-        total = F.count(F.lit(1)).alias("rows")
+        df, marks = tables[name], []
         if table.key:
-            repeated = check_unique(df, table.key).agg(total)
-            labelled(repeated, name, F.lit("unique"), F.lit(",".join(table.key)))
+            slot = declared(f"unique {name}", name, "unique", ",".join(table.key))
+            whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in table.key])
+            marks.append(mark(f"unique {name}", _joined(table.key), slot, whole))
         for fk, (parent, pk) in table.foreign.items():
-            labelled(check_fk(df, fk, tables[parent], pk).agg(total), name, F.lit("foreign"), F.lit(fk))
-        rules = _row_rules(df, table)
-        if rules:
-            counts = [
-                F.struct(F.lit(rule).alias("rule"), F.lit(columns).alias("columns"), F.count_if(bad).alias("rows"))
-                for (rule, columns), bad in rules.items()
-            ]
-            per_rule = df.agg(F.array(*counts).alias("rules")).select(F.inline("rules"))
-            labelled(per_rule, name, F.col("rule"), F.col("columns"))
-    return reduce(DataFrame.unionByName, found).where("rows > 0")
+            slot = declared(f"id {parent}.{pk}", name, "foreign", fk)
+            marks.append(mark(f"id {parent}.{pk}", F.col(fk).cast("string"), slot, F.col(fk).isNotNull()))
+        if (name, table.id) in parents:
+            marks.append(mark(f"id {name}.{table.id}", F.col(table.id).cast("string"), -1, F.col(table.id).isNotNull()))
+        for (rule, columns), bad in _row_rules(df, table).items():
+            domain = f"row {name} {rule} {columns}"
+            marks.append(mark(domain, F.lit(""), declared(domain, name, rule, columns), bad))
+        if marks:
+            marked.append(df.select(F.explode(F.array_compact(F.array(*marks))).alias("mark")).select("mark.*"))
+    slots = range(max(slot for _, slot, *_ in rules) + 1)
+    counts = [F.count_if(F.col("slot") == slot).alias(f"n{slot}") for slot in slots]
+    keys = reduce(DataFrame.unionByName, marked).groupBy("domain", "key").agg(F.max(F.col("slot") == -1).alias("known"), *counts)
+
+    def broken(n: str) -> Column:
+        repeated = F.sum(F.when(F.col(n) > 1, 1).otherwise(0))
+        orphans = F.sum(F.when(~F.col("known"), F.col(n)).otherwise(0))
+        kind = F.substring_index("domain", " ", 1)
+        return F.when(kind == "unique", repeated).when(kind == "id", orphans).otherwise(F.sum(n)).cast("long")
+
+    totals = keys.groupBy("domain").agg(F.array(*[broken(f"n{slot}") for slot in slots]).alias("rows"))
+    listed = totals.select("domain", F.posexplode("rows").alias("slot", "rows")).where("rows > 0")
+    names = spark.createDataFrame(rules, "domain string, slot int, table string, rule string, columns string")
+    return listed.join(F.broadcast(names), ["domain", "slot"]).select("table", "rule", "columns", "rows")

@@ -639,6 +639,27 @@ ORACLE["backfill_runners"] = _sql(
     "race_runner_docs", "day_new_races",
 )
 
+_SOME_SCORED = """(SELECT (horse_id * 7 + pmu_number * 13) % 100 / 200.0::DOUBLE AS p, CASE WHEN finish_rank = 1 THEN 1 ELSE 0 END AS y
+    FROM race_participant WHERE finish_rank IS NOT NULL AND pmu_number % 3 <> 0 AND horse_id % 4 <> 0)"""
+ORACLE["metrics_of_missing_scores"] = _sql(
+    f"""SELECT (SELECT round(avg(-CASE WHEN y = 1 THEN ln(q) ELSE ln(1 - q) END), 6) FROM (
+          SELECT y, least(greatest(p, 2.220446049250313e-16), 1 - 2.220446049250313e-16) AS q FROM {_SOME_SCORED})) AS log_loss,
+        (SELECT round((sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2.0::DOUBLE) / (sum(y)::DOUBLE * sum(1 - y)), 6)
+          FROM (SELECT y, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0::DOUBLE AS r FROM {_SOME_SCORED})) AS roc_auc""",
+    "race_participant",
+)
+ORACLE["trained_facts"] = _sql(
+    """SELECT race_id, count(*) AS runners, true AS probabilities, true AS same_after_loading, true AS ranks_in_turn, true AS in_order
+       FROM features GROUP BY race_id""",
+    "features",
+)
+ORACLE["trained_splits"] = f"SELECT *, true AS rounds_within_limit, true AS cut_at_least_loss FROM ({ORACLE['temporal_split_counts']})"
+ORACLE["assembled_vectors"] = _sql(
+    """SELECT race_id, program_number, dense_rank() OVER (ORDER BY coalesce(racetrack_code, 'MISSING')) - 1.0::DOUBLE AS v0,
+         coalesce(distance_m, -1)::DOUBLE AS v1, coalesce(career_winnings, -1.0) AS v2, coalesce(reference_odds, 10.0) AS v3 FROM features""",
+    "features",
+)
+
 _TOTALS = {
     "daily_program": "program_id", "race_meeting": "meeting_id", "race": "race_id", "horse": "horse_id", "racing_actor": "actor_id",
     "lookup_shoeing": "shoeing_id", "lookup_incident": "incident_id", "race_participant": "participant_id", "race_bet": "bet_id",

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from paddock.functions import codes, parsing
 from paddock.functions.features import filled
 from paddock.ml import training
-from paddock.ml.encoding import OrdinalEncoder
+from paddock.ml.encoding import MissingFiller, OrdinalEncoder
 from paddock.ml.features import FeatureEngineer
 from paddock.operators import aggregates, checks, filters, joins, loading, scope, windows
 from paddock.operators.filters import is_winner
@@ -395,6 +396,21 @@ def roc_auc(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(aggregates.roc_auc(_scored_labels(derived_tables(spark, folder)), "p", "y"), "roc_auc")
 
 
+def _partly_scored(tables: Tables) -> DataFrame:
+    """Scores and labels of which some are missing: null or NaN scores, null labels."""
+    rows = tables["race_participant"].withColumn("program_number", F.col("pmu_number"))
+    score = F.when(F.col("pmu_number") % 3 != 0, F.when(F.col("horse_id") % 4 == 0, float("nan")).otherwise(stand_in_probability()))
+    return rows.select(score.alias("p"), F.when(F.col("finish_rank").isNotNull(), is_winner()).alias("y"))
+
+
+@query
+def metrics_of_missing_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Both metrics leave out the same rows, those without a score or a label."""
+    rows = _partly_scored(derived_tables(spark, folder))
+    loss, auc = aggregates.log_loss(rows, "p", "y"), aggregates.roc_auc(rows, "p", "y")
+    return rounded(loss.crossJoin(auc), "log_loss", "roc_auc")  # one row each
+
+
 # Loads -----------------------------------------------------------------------
 
 SLOT = ["l_orderkey", "l_linenumber"]
@@ -862,6 +878,66 @@ def prediction_store(spark: SparkSession, folder: str) -> DataFrame:
     return training.predictions(scored, tables, "quick").drop("created_at")
 
 
+@query
+def trained_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds for any model, by race: its runners, whether ranks run from 1 without a gap in the order of
+    probability, whether all are probabilities, and whether the stored model gives the same scores."""
+    tables = derived_tables(spark, folder)
+    trained = training.train(tables, QUICK)
+    path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    training.save_model(trained.model, path)
+    rows = staged(cards.daily_features(tables, sizes=horse_sizes(spark, folder)))
+    sizes, key = race_sizes(spark, folder), ["race_id", "program_number"]
+    scored = staged(training.score(rows, trained.model, sizes))
+    again = training.score(rows, training.load_model(spark, path), sizes).select(*key, F.col("win_probability").alias("again"))
+    ranked = decisions.predict_race(scored, sizes).join(again, key)
+    p, rank = F.col("win_probability"), F.col("predicted_rank")
+    by_rank = F.array_sort(F.collect_list(F.struct(rank.alias("rank"), p.alias("p"))))  # the runners of a race
+    in_order = F.forall(F.sequence(F.lit(1), F.size("ranked") - 1), lambda i: F.element_at("ranked", i)["p"] >= F.element_at("ranked", i + 1)["p"])
+    return (
+        ranked.groupBy("race_id")
+        .agg(
+            F.count(F.lit(1)).alias("runners"),
+            F.bool_and(p.between(0, 1)).alias("probabilities"),
+            F.bool_and(F.abs(p - F.col("again")) < 1e-12).alias("same_after_loading"),
+            by_rank.alias("ranked"),
+        )
+        .select(
+            "race_id",
+            "runners",
+            "probabilities",
+            "same_after_loading",
+            (F.transform("ranked", lambda x: x["rank"]) == F.sequence(F.lit(1), F.size("ranked"))).alias("ranks_in_turn"),
+            F.when(F.size("ranked") < 2, True).otherwise(in_order).alias("in_order"),
+        )
+    )
+
+
+@query
+def trained_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each split that training used, and facts of the boosting: rounds kept and the loss there."""
+    trained = training.train(derived_tables(spark, folder), QUICK)
+    kept, _ = training.best_round(trained.curve, QUICK.patience)
+    trees = trained.model.stages[-2].getNumTrees
+    facts = trees == kept and trained.curve[kept - 1] == min(trained.curve[: kept + QUICK.patience])
+    rows = [(name, size, len(trained.curve) <= QUICK.rounds, facts) for name, size in trained.sizes.items()]
+    return spark.createDataFrame(rows, "split string, rows long, rounds_within_limit boolean, cut_at_least_loss boolean")
+
+
+@query
+def assembled_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The model's input vectors: codes learned from all rows, then numbers with missing ones filled."""
+    tables = derived_tables(spark, folder)
+    wide = joins.star(tables, joins.race_context(tables), tables["race_participant"])
+    numbers = ["distance_m", "career_winnings", "reference_odds"]
+    rows = staged(wide.select("race_id", F.col("pmu_number").alias("program_number"), filled(F.col("racetrack_code")).alias("racetrack_code"), *numbers))
+    coded = OrdinalEncoder(inputCols=["racetrack_code"]).fit(rows).transform(rows)
+    whole = MissingFiller(inputCols=numbers, values={"reference_odds": 10.0}).transform(coded)
+    vectors = VectorAssembler(inputCols=["racetrack_code_code", *numbers], outputCol="features").transform(whole)
+    values = vector_to_array("features")
+    return vectors.select("race_id", "program_number", *[values[i].alias(f"v{i}") for i in range(4)])
+
+
 @query
 def prediction_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The stand-in probabilities as rows of the prediction table, without the ids given to them."""
