@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paddock.operators.aggregates import DEFAULT_SPEED
 from paddock.operators.filters import filter_date
-from paddock.operators.skew import HOT_ROWS, lookup_join
+from paddock.operators.skew import HOT_ROWS, Heat, lookup_join
 from paddock.sources.warehouse import Tables
 
 
@@ -113,16 +113,19 @@ def stats_as_of(history: DataFrame, starts: DataFrame, counted: str = "*") -> Da
     )
 
 
-def join_predictions(predictions: DataFrame, runners: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+def join_predictions(
+    predictions: DataFrame, runners: DataFrame, listed: DataFrame | None = None, heat: Heat | None = None
+) -> DataFrame:
     """Add driver and odds to predictions; a race with no runners listed shows driver N/A.
 
-    `listed` is any narrow table with the races that have runners (default: `runners`).
+    `listed` is any narrow table with the races that have runners (default: `runners`), `heat` its hot races.
     """
     extra = [name for name in ("driver_name", "odds") if name in runners.columns]
     joined = predictions.join(runners.select("race_id", "program_number", *extra), ["race_id", "program_number"], "left")
     if "driver_name" not in extra:
         return joined
     races = (runners if listed is None else listed).select("race_id").distinct().withColumn("_listed", F.lit(True))
-    flagged = lookup_join(joined, races, ["race_id"], sizes=predictions.select("race_id") if listed is None else listed)
+    counted = predictions.select("race_id") if listed is None else listed
+    flagged = lookup_join(joined, races, ["race_id"], sizes=counted if heat is None else heat)
     missing = F.when(F.col("_listed").isNull(), F.lit("N/A"))
     return flagged.withColumn("driver_name", F.coalesce("driver_name", missing)).drop("_listed")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -19,6 +20,9 @@ HOT_ROWS = 1_000_000
 # larger one is joined by shuffle, with the same result.
 BROADCAST_ROWS = 10_000
 
+# Hot groups that get a plan of their own, and counters of the sketch that finds them.
+MOST_HOT, TRACKED = 1_000, 65_536
+
 
 def keyed_join(left: DataFrame, stored: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join to a stored table in which null keys match null keys, broadcast if it is small."""
@@ -29,13 +33,28 @@ def keyed_join(left: DataFrame, stored: DataFrame, keys: Sequence[str], how: str
     return joined.drop(*[f"_right_{k}" for k in keys])
 
 
-def hot_groups(source: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys of all groups above hot_rows, a null key among them, None if no group is huge.
+@dataclass(frozen=True)
+class Heat:
+    """The hot groups of a key, measured before; pass it as `sizes` where one measurement serves several steps."""
+
+    groups: DataFrame | None
+
 
-    Counts rows per group, which combines map-side; only the largest count
-    comes back to the driver. The keys are stored so that every branch of a
-    plan splits along the same ones.
+def hot_groups(source: DataFrame | Heat, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys of the groups above hot_rows, a null key among them, None if no group is huge.
+
+    One key is measured by a frequent-items sketch: each task keeps TRACKED counters at most and nothing is
+    shuffled by key. Counts may be off by about two in TRACKED of all rows, and only the MOST_HOT largest groups
+    are told; a group that is missed, or taken for hot, only gets another plan for the same result. Several
+    keys together are counted exactly. The keys are few, or stored, so that every branch of a plan splits
+    along the same ones.
     """
+    if isinstance(source, Heat):
+        return source.groups
+    if len(keys) == 1:
+        counted = source.agg(F.expr(f"approx_top_k(`{keys[0]}`, {MOST_HOT}, {TRACKED})").alias("top")).first()["top"]
+        hot = [(item["item"],) for item in counted if item["count"] > hot_rows]
+        return source.sparkSession.createDataFrame(hot, source.select(keys[0]).schema) if hot else None
     counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     largest = counts.agg(F.max("_rows")).first()[0]
     if largest is None or largest <= hot_rows:
@@ -48,7 +67,7 @@ def by_heat(
     keys: Sequence[str],
     cold: Callable[[DataFrame], DataFrame],
     hot: Callable[[DataFrame, DataFrame], DataFrame],
-    sizes: DataFrame | None = None,
+    sizes: DataFrame | Heat | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Run `cold` on ordinary groups and `hot` on the few huge ones, then union.
