@@ -2,7 +2,8 @@
 
 Features are the words a text holds. Words are counted over all labelled training texts (each
 distinct text once); those whose association with the label is strong enough, and all identity
-terms, have a weight. Training minimises the logistic loss, an L2 penalty, and the squared
+terms, have a weight. Texts never leave the task that reads them: what is joined with the labels is each
+text's distinct words as 40-bit hashes, and the strings of the words chosen are read back in a second pass. Training minimises the logistic loss, an L2 penalty, and the squared
 difference between a labelled sentence's logit and those of its copies in which identity terms
 are swapped for others of the same language.
 """
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +30,15 @@ IDENTITY_TERMS = (
     ("femmes", "hommes", "musulmans", "chrétiens", "juifs", "immigrés", "réfugiés", "homosexuels", "noirs", "blancs"),
     ("frauen", "männer", "muslime", "christen", "juden", "einwanderer", "flüchtlinge", "schwule", "schwarze", "weiße"),
     ("mujeres", "hombres", "musulmanes", "cristianos", "judíos", "inmigrantes", "refugiados", "negros", "blancos"),
+    ("woman", "man", "muslim", "christian", "jew", "immigrant", "refugee", "gay", "lesbian", "black", "white"),
+    ("femme", "homme", "musulman", "chrétien", "juif", "immigré", "réfugié", "homosexuel", "noir", "blanc"),
+    ("frau", "mann", "muslim", "christ", "jude", "einwanderer", "flüchtling", "schwuler", "schwarzer", "weißer"),
+    ("mujer", "hombre", "musulmán", "cristiano", "judío", "inmigrante", "refugiado", "negro", "blanco"),
 )
 
+# Bytes of a word's hash.
+HASH = 5
+
 
 @dataclass(frozen=True)
 class ToxicityModel:
@@ -49,7 +58,8 @@ def _places(text: str, words: dict[str, int]) -> list[int]:
 
 def _counterfactuals(text: str, groups: tuple[tuple[str, ...], ...]) -> list[str]:
     """Copies in which each identity term is replaced by each other one of its list, in turn."""
-    follows = {term: (group, i) for group in groups for i, term in enumerate(group)}
+    # A term of several lists belongs to the first.
+    follows = {term: (group, i) for group in reversed(groups) for i, term in enumerate(group)}
     low = text.lower()
     longest = max((len(follows[w][0]) for w in WORD.findall(low) if w in follows), default=0)
 
@@ -98,10 +108,61 @@ def _train(texts, labels, shares, words, groups, *, l2, swap_penalty, rounds) ->
     return ToxicityModel(words, w, float(b))
 
 
-def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word) & ((1 << 8 * HASH) - 1)
+
+
+class Hashes(dict):
+    """Words and their hashes, each computed once; emptied when it holds very many."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        self[word] = _hash(word)
+        return self[word]
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's distinct words as sorted hashes of HASH bytes."""
+    hashes = Hashes()
+    for batch in batches:
+        packed = []
+        for text in batch.column("text").to_pylist():
+            codes = np.unique(np.array([hashes[w] for w in set(WORD.findall(text.lower()))], np.uint64))
+            packed.append(codes.view(np.uint8).reshape(-1, 8)[:, :HASH].tobytes())
+        columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(packed, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "words"])
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    wide = np.zeros((len(packed) // HASH, 8), np.uint8)
+    wide[:, :HASH] = np.frombuffer(packed, np.uint8).reshape(-1, HASH)
+    return wide.view(np.int64).ravel()
+
+
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many toxic (a) and other (b) texts of a batch each word stands."""
     for batch in batches:
-        found = [sorted(set(WORD.findall(t.lower()))) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), batch.column("toxic")], ["words", "toxic"])
+        toxic = np.asarray(batch.column("toxic")) == 1
+        lists = [_unpacked(packed) for packed in batch.column("words").to_pylist()]
+        words, place = np.unique(np.concatenate([*lists, np.empty(0, np.int64)]), return_inverse=True)
+        marked = np.repeat(toxic, [len(codes) for codes in lists])
+        a = np.bincount(place[marked], minlength=len(words))
+        b = np.bincount(place[~marked], minlength=len(words))
+        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(a), pa.array(b)], ["word", "a", "b"])
+
+
+def _named(chosen: frozenset[int]):
+    """The strings of the words whose hashes are chosen."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, told = Hashes(), set()
+        for batch in batches:
+            found = {w for text in batch.column("text").to_pylist() for w in set(WORD.findall(text.lower())) if hashes[w] in chosen}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found - told), pa.string())], ["word"])
+            told |= found
+
+    return name
 
 
 def fit(
@@ -122,32 +183,41 @@ def fit(
 
     Words are counted over all of them; the weights are fitted on training_rows rows at most of
     each label, those with the least hash, which is what reaches the driver. A word needs
-    least_texts texts and a chi-square of least_strength; all such words have a weight. Texts with contradicting labels count as both. Null labels and ids that match no
-    document are passed over. With no row of one label, the score is 0 (no toxic row) or 1.
+    least_texts texts and a chi-square of least_strength; all such words have a weight. Texts with contradicting
+    labels count as both. Null labels and ids that match no document are passed over. With no row of one label, the score is 0 (no toxic row) or 1.
     """
-    marked = labels.select(labels["doc_id"].cast("long").alias("_id"), labels["toxic"].cast("int").alias("toxic"))
-    marked = marked.where("toxic IN (0, 1) AND _id IS NOT NULL").distinct()
+    marked = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
+    marked = marked.where("toxic IN (0, 1) AND doc_id IS NOT NULL").distinct()
     keyed = document_keys(docs, id_col, text_col)
-    train = staged(keyed.join(marked, keyed.doc_id == marked._id).select("text", "text_hash", "toxic").dropDuplicates(["text_hash", "toxic"]))
+    # One document stands for all with its text and label. The joins are by shuffle at every size, and what
+    # they move are ids and hashes.
+    stands = keyed.select("doc_id", "text_hash").join(marked.hint("merge"), "doc_id")
+    stands = staged(stands.groupBy("text_hash", "toxic").agg(F.min("doc_id").alias("doc_id")))
+    lists = keyed.mapInArrow(_packed, "doc_id long, text_hash long, words binary")
+    name = ["doc_id", "text_hash"]
+    train = lists.join(stands.hint("merge"), name).groupBy(*name, "toxic").agg(F.first("words").alias("words"))
+    train = staged(train.select("text_hash", "toxic", "words"))
     totals = {row["toxic"]: row["n"] for row in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
+    drop_staged(stands)
     if not n1 or not n0:
         drop_staged(train)
         return ToxicityModel({}, np.zeros(0), -30.0 if not n1 else 30.0)
     counted = (
-        train.select("text", "toxic")
-        .mapInArrow(_words_of, "words array<string>, toxic int")
-        .select(F.explode("words").alias("word"), "toxic")
+        train.select("toxic", "words")
+        .mapInArrow(_tallied, "word long, a long, b long")
         .groupBy("word")
-        .agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
+        .agg(F.sum("a").cast("double").alias("a"), F.sum("b").cast("double").alias("b"))
         .where(F.col("a") + F.col("b") >= least_texts)
     )
     c, d, n = n1 - F.col("a"), n0 - F.col("b"), float(n1 + n0)
     chi = n * F.pow(F.col("a") * d - F.col("b") * c, 2) / ((F.col("a") + F.col("b")) * F.greatest(c + d, F.lit(1.0)) * n1 * n0)
-    strong = counted.select("word", chi.alias("chi")).where(F.col("chi") >= least_strength)
-    chosen = [r["word"] for r in strong.orderBy(F.desc("chi"), "word").collect()]
-    chosen += [t for group in groups for t in group]
-    words = {w: i for i, w in enumerate(dict.fromkeys(chosen))}
+    strong = frozenset(r["word"] for r in counted.where(chi >= least_strength).select("word").collect())
+    chosen = {r["word"] for r in keyed.select("text").mapInArrow(_named(strong), "word string").distinct().collect()}
+    chosen |= {t for group in groups for t in group}
+    words = {w: i for i, w in enumerate(sorted(chosen))}
+    by_hash = {_hash(w): w for w in words}
+    codes = np.array(sorted(by_hash), np.int64)
     sample = []
     for label in (1, 0):
         part = train.where(F.col("toxic") == label).orderBy(F.xxhash64(F.lit(7), "text_hash"), "text_hash").limit(training_rows)
@@ -155,10 +225,11 @@ def fit(
         def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # Only words with a weight travel to the driver.
             for batch in batches:
-                kept = [" ".join(sorted(words.keys() & WORD.findall(t.lower()))) for t in batch.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string())], ["text"])
+                kept = [np.intersect1d(_unpacked(packed), codes) for packed in batch.column("words").to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array([x.tolist() for x in kept], pa.list_(pa.int64()))], ["words"])
 
-        sample += [(r["text"], label) for r in part.select("text").mapInArrow(reduce, "text string").collect()]
+        rows = part.select("words").mapInArrow(reduce, "words array<long>").collect()
+        sample += [(" ".join(sorted(by_hash[w] for w in r["words"])), label) for r in rows]
     drop_staged(train)
     sample.sort()
     texts, marks = zip(*sample, strict=True)
@@ -167,7 +238,10 @@ def fit(
 
 
 def score(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, text_hash, score. Null and empty texts score as no words do."""
+    """One row for each row of docs: doc_id, text_hash, score. Null and empty texts score as no words do.
+
+    Repeated rows and null ids are scored like any other; further columns are left out.
+    """
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,12 +255,16 @@ def score(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text
 
 
 def held_out(doc_id):
-    """The rows whose label is never learnt from."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    """The rows whose label is never learnt from; a null id is none of them."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all columns, that score under the threshold."""
+    """The rows of docs, with all columns, that score under the threshold.
+
+    Each row is judged by its whole text alone, so repeated rows stay or go together and ids may be null; a null
+    text counts as empty. An empty table gives no rows.
+    """
 
     def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
