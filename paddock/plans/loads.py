@@ -11,10 +11,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paddock.functions.parsing import day_of_code
 from paddock.operators.loading import (
     latest_known,
     load_audit,
@@ -26,7 +28,7 @@ from paddock.operators.loading import (
     updated,
 )
 from paddock.operators.scope import work_list
-from paddock.schemas import TABLES
+from paddock.schemas import LEDGER, TABLES
 from paddock.session import staged
 from paddock.sources.feeds import parse_feed
 from paddock.sources.landing import write_dead_letters
@@ -37,18 +39,23 @@ POSITION = ["seq", "name", "i"]
 STAGES = ("programme", "participants", "performances", "reports")
 # The table whose new rows count as a stage's inserted records.
 FACTS = {"programme": "race", "participants": "race_participant", "performances": "horse_race_history", "reports": "race_bet"}
+DOCUMENT_KEY = ("feed", "date_code", "meeting", "race", "digest")
 AUDIT = "feed string, status string, documents long, attempted long, overflowed long, inserted long"
 
 
 @dataclass
 class Load:
-    """New rows per table, rejected documents, the audit by feed and status, and stored rows to write again."""
+    """New rows per table, rejected documents, the documents' outcomes, and stored rows to write again."""
 
     rows: dict[str, DataFrame]
     rejects: DataFrame
-    audit: DataFrame
+    documents: DataFrame
     updates: dict[str, DataFrame] = field(default_factory=dict)
 
+    @property
+    def audit(self) -> DataFrame:
+        return load_audit(self.documents)
+
 
 def _after(tables: Tables, rows: dict[str, DataFrame], name: str) -> DataFrame:
     """A table as it will be once its new rows are appended."""
@@ -140,7 +147,7 @@ def load_program(landing: DataFrame, tables: Tables, mode: str = "ignore") -> Lo
     new = _entries(tables, "race", races, [*POSITION, "j"], updates, prune_by="meeting_id")
     start = _top(tables, "race")
     rows["race"] = _shaped(number_new(new, ["meeting_id", "race_number"], "race_id", start), "race")
-    return Load(rows, parsed["rejects"], load_audit(parsed["documents"]), updates or {})
+    return Load(rows, parsed["rejects"], parsed["documents"], updates or {})
 
 
 def _documents_of(landing: DataFrame, feed: str, races: DataFrame) -> DataFrame:
@@ -193,7 +200,7 @@ def load_participants(
     new = _entries(tables, "race_participant", facts, POSITION, updates, prune_by="race_id")
     start = _top(tables, "race_participant")
     rows["race_participant"] = _shaped(number_stored(new, "participant_id", start), "race_participant")
-    return Load(rows, parsed["rejects"], load_audit(parsed["documents"]), updates or {})
+    return Load(rows, parsed["rejects"], parsed["documents"], updates or {})
 
 
 def load_performances(
@@ -209,7 +216,7 @@ def load_performances(
     new = _entries(tables, "horse_race_history", past, order, updates, nullable_keys=True, prune_by="horse_id")
     start = _top(tables, "horse_race_history")
     rows["horse_race_history"] = _shaped(number_stored(new, "history_id", start), "horse_race_history")
-    return Load(rows, parsed["rejects"], load_audit(parsed["documents"]), updates or {})
+    return Load(rows, parsed["rejects"], parsed["documents"], updates or {})
 
 
 def load_reports(
@@ -237,7 +244,22 @@ def load_reports(
     new = _entries(tables, "bet_report", reports, [*POSITION, "j"], updates, nullable_keys=True, prune_by="bet_id")
     start = _top(tables, "bet_report")
     rows["bet_report"] = _shaped(number_stored(new, "report_id", start), "bet_report")
-    return Load(rows, parsed["rejects"], load_audit(parsed["documents"]), updates or {})
+    return Load(rows, parsed["rejects"], parsed["documents"], updates or {})
+
+
+def with_digest(landing: DataFrame) -> DataFrame:
+    """Documents with a digest of their outcome and payload."""
+    held = F.concat_ws(":", F.col("http_status").cast("string"), F.coalesce("payload", F.lit("")))
+    return landing.withColumn("digest", F.sha2(F.concat(F.col("payload").isNull().cast("string"), held), 256))
+
+
+def _by_ledger(docs: DataFrame, tables: StoredTables, mode: str, how: str) -> DataFrame:
+    """Documents that a load in this mode has handled as they are (left_semi) or has not (left_anti)."""
+    low, high = docs.agg(*[f(F.unix_date(day_of_code(F.col("date_code")))) for f in (F.min, F.max)]).first()
+    known = tables.ledger(0, -1) if low is None else tables.ledger(low, high)
+    known = known.where(F.col("mode") == mode).select(*[F.col(c).alias(f"_{c}") for c in DOCUMENT_KEY]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in DOCUMENT_KEY])
+    return docs.join(known, same, how)
 
 
 def commit(load: Load, root: str, dead_letters: str, note: dict | None = None, base: Manifest | None = None) -> dict[str, int]:
@@ -249,7 +271,27 @@ def commit(load: Load, root: str, dead_letters: str, note: dict | None = None, b
     spark = load.rejects.sparkSession
     name = uuid.uuid4().hex if note is None else f"{note['run']}-{note['stage']}"
     write_dead_letters(load.rejects, f"{dead_letters}/load={name}")
-    return publish(spark, root, load.rows, load.updates, note, base)
+    rows = dict(load.rows)
+    if "digest" in load.documents.columns:
+        handled = load.documents.withColumns({"landed": day_of_code(F.col("date_code")), "mode": F.lit((note or {}).get("mode", "ignore"))})
+        rows[LEDGER] = handled
+    return publish(spark, root, rows, load.updates, note, base)
+
+
+def _unhandled(
+    landing: DataFrame, tables: StoredTables, stage: str, dates: Sequence[str] | None, mode: str
+) -> tuple[DataFrame | None, list[dict]]:
+    """The documents of a stage that are new or changed, None where there are none, and the audit of the others."""
+    if stage == "programme":
+        docs = landing.where(F.col("feed") == stage)
+    else:
+        races = work_list(tables, dates, disciplines=None) if stage == "performances" else work_list(tables, dates)
+        docs = _documents_of(landing, stage, races)
+    docs = staged(with_digest(docs))
+    same = _by_ledger(docs, tables, mode, "left_semi").count()
+    audit = [{"feed": stage, "status": "UNCHANGED", "documents": same, "attempted": 0, "overflowed": 0}] if same else []
+    changed = _by_ledger(docs, tables, mode, "left_anti")
+    return (None if changed.isEmpty() else changed), audit
 
 
 def run_stages(
@@ -262,20 +304,24 @@ def run_stages(
     stages: Sequence[str] = STAGES,
     mode: str = "ignore",
     run: str | None = None,
+    skip_unchanged: bool = False,
 ) -> dict[str, DataFrame | Exception]:
     """Run the chosen stages in order over all days in scope; a failed stage does not stop the next.
 
     `mode="update"` also brings late values, such as results and final odds, into rows stored earlier.
     `run` names the run: a stage that a run of that name has committed is not run again.
+    `skip_unchanged` keeps a ledger of the documents handled, by their digests: a document that comes again as it
+    was, in the same mode, is not parsed, and the audit counts it as UNCHANGED. With it, the last days are loaded
+    again at the price of reading them.
     Returns the audit of each stage, or the error it failed with.
     """
     create_warehouse(spark, root)
     scoped = landing if dates is None else landing.where(F.col("date_code").isin(*dates))
-    jobs: dict[str, Callable[[Tables], Load]] = {
-        "programme": lambda tables: load_program(scoped, tables, mode),
-        "participants": lambda tables: load_participants(scoped, tables, as_of_year, dates, mode),
-        "performances": lambda tables: load_performances(scoped, tables, dates, mode),
-        "reports": lambda tables: load_reports(scoped, tables, dates, mode),
+    jobs: dict[str, Callable[[DataFrame, Tables], Load]] = {
+        "programme": lambda docs, tables: load_program(docs, tables, mode),
+        "participants": lambda docs, tables: load_participants(docs, tables, as_of_year, dates, mode),
+        "performances": lambda docs, tables: load_performances(docs, tables, dates, mode),
+        "reports": lambda docs, tables: load_reports(docs, tables, dates, mode),
     }
     outcome: dict[str, DataFrame | Exception] = {}
     for stage in STAGES:
@@ -285,11 +331,15 @@ def run_stages(
             tables = open_warehouse(spark, root)
             done = None if run is None else tables.manifest.done(run, stage)
             if done is None:
-                load = jobs[stage](tables)
-                audit = [row.asDict() for row in load.audit.collect()]  # a line for each outcome
-                note = {"run": run or uuid.uuid4().hex, "stage": stage, "audit": audit}
-                counts = commit(load, root, dead_letters, note, tables.manifest)
-                done = {**note, "rows": counts}
+                docs, audit = scoped, []
+                if skip_unchanged:
+                    docs, audit = _unhandled(scoped, tables, stage, dates, mode)
+                done = {"audit": audit, "rows": {FACTS[stage]: 0}}
+                if docs is not None:
+                    load = jobs[stage](docs, tables)
+                    audit += [row.asDict() for row in load.audit.collect()]  # a line for each outcome
+                    note = {"run": run or uuid.uuid4().hex, "stage": stage, "mode": mode, "audit": audit}
+                    done = {**note, "rows": commit(load, root, dead_letters, note, tables.manifest)}
             new = done["rows"][FACTS[stage]]
             lines = [{**line, "inserted": new if line["status"] == "SUCCESS" else 0} for line in done["audit"]]
             outcome[stage] = spark.createDataFrame(lines, AUDIT)
@@ -309,6 +359,7 @@ def backfill(
     days_a_load: int = 30,
     stages: Sequence[str] = STAGES,
     mode: str = "ignore",
+    skip_unchanged: bool = False,
 ) -> dict[tuple[str, str], DataFrame | Exception]:
     """Load many days, some of them at a time, each stage of each batch as one commit.
 
@@ -318,7 +369,7 @@ def backfill(
     outcome: dict[tuple[str, str], DataFrame | Exception] = {}
     for at in range(0, len(days), days_a_load):
         batch = list(days[at : at + days_a_load])
-        done = run_stages(spark, landing, root, dead_letters, as_of_year, batch, stages, mode, f"{run}-{batch[0]}-{len(batch)}")
+        done = run_stages(spark, landing, root, dead_letters, as_of_year, batch, stages, mode, f"{run}-{batch[0]}-{len(batch)}", skip_unchanged)
         outcome |= {(batch[0], stage): result for stage, result in done.items()}
     return outcome
 

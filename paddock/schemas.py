@@ -151,3 +151,11 @@ TABLES: dict[str, Table] = {
         widths={"model_version": 20},
     ),
 }
+
+# Documents that loads have handled, by what they held; kept beside the tables.
+LEDGER = "document_ledger"
+DOCUMENT_LEDGER = Table(
+    ddl="landed date, feed string, date_code string, meeting int, race int, mode string, digest string",
+    id="digest",
+    key=("landed",),
+)

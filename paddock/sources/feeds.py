@@ -254,6 +254,7 @@ def judged(landing: DataFrame, feed: str) -> DataFrame:
     loaded, failed = F.col("status") == SUCCESS, F.col("status") == FAILED
     return known.select(
         *DOCUMENT,
+        *[c for c in ("digest",) if c in known.columns],
         "http_status",
         "status",
         F.when(loaded, _total(F.col("rows"), _RECORDS[feed])).otherwise(0).alias("attempted"),

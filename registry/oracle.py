@@ -630,6 +630,14 @@ ORACLE["backfill_audit"] = _sql(
       FROM audit JOIN inserted USING (feed)""",
     "race_runner_docs", "race_past_docs", "race_bet_docs", "day_new_races",
 ).replace("\n, audit AS", ", audit AS", 1)
+ORACLE["reload_unchanged"] = _sql(
+    f"""SELECT feed, 'UNCHANGED' AS status, documents, 0 AS attempted, 0 AS overflowed, 0 AS inserted FROM (
+          SELECT 'programme' AS feed, count(*) AS documents FROM day_docs
+          UNION ALL SELECT 'participants', count(DISTINCT k) FROM race_lines SEMI JOIN {_TROT_RACES} USING (d, n, race_number)
+          UNION ALL SELECT 'performances', count(DISTINCT k) FROM race_lines SEMI JOIN {_CARD_RACES} USING (d, n, race_number)
+          UNION ALL SELECT 'reports', count(DISTINCT k) FROM race_lines SEMI JOIN {_TROT_RACES} USING (d, n, race_number))""",
+    "race_lines", "day_new_races",
+)
 ORACLE["backfill_runners"] = _sql(
     f"""SELECT program_date, meeting_number, race_number, pmu_number, horse_name, career_winnings, reference_odds,
           row_number() OVER (ORDER BY program_date, meeting_number, race_number, pmu_number) AS position FROM (

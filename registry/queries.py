@@ -754,14 +754,17 @@ def parse_race_payouts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _backfilled(spark: SparkSession, folder: str) -> tuple[dict, StoredTables]:
-    """All four feeds of many-row documents loaded into a stored warehouse."""
+def _backfilled(spark: SparkSession, folder: str, again: bool = False) -> tuple[dict, StoredTables]:
+    """All four feeds of many-row documents loaded into a stored warehouse; `again`: twice, with a ledger."""
     lines = staged(_all_located(spark, folder))
     landing = _days(spark, folder)
     for more in (feeds.participants_of_races, feeds.performances_of_races, feeds.reports_of_races):
         landing = landing.unionByName(more(lines))
     root = _new_root(spark)
-    outcome = loads.run_stages(spark, staged(landing), root, f"{root}-rejected", AS_OF_YEAR, run="backfill")
+    landing, dead = staged(landing), f"{root}-rejected"
+    outcome = loads.run_stages(spark, landing, root, dead, AS_OF_YEAR, run="backfill", skip_unchanged=again)
+    if again:
+        outcome = loads.run_stages(spark, landing, root, dead, AS_OF_YEAR, run="repeated", skip_unchanged=True)
     for result in outcome.values():
         if isinstance(result, Exception):
             raise result
@@ -771,12 +774,20 @@ def _backfilled(spark: SparkSession, folder: str) -> tuple[dict, StoredTables]:
 @query
 def backfill_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Documents, records attempted and cut, and rows inserted, by feed and outcome, of a whole stored load."""
-    outcome, _ = _backfilled(spark, folder)
-    lines = list(outcome.values())
-    found = lines[0]
-    for line in lines[1:]:
-        found = found.unionByName(line)
-    return found
+    return _lines_of(_backfilled(spark, folder)[0])
+
+
+def _lines_of(outcome: dict[str, DataFrame]) -> DataFrame:
+    first, *others = outcome.values()
+    for line in others:
+        first = first.unionByName(line)
+    return first
+
+
+@query
+def reload_unchanged(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit of the same documents landed again: none is parsed, all are counted as unchanged."""
+    return _lines_of(_backfilled(spark, folder, again=True)[0])
 
 
 @query

@@ -11,17 +11,17 @@ from paddock.sources.feeds import parse_feed
 from paddock.sources.landing import LANDING, read_documents, read_landing, write_landing
 from paddock.sources.warehouse import append, create_warehouse, empty_warehouse, near, open_warehouse, replace
 
-DAY = "01012024"
+DAY = "17032019"
 PROGRAMME = {
     "programme": {
-        "date": 1704067200000,
+        "date": 1552780800000,
         "reunions": [
             {
                 "numOfficiel": 1,
                 "nature": "TROT",
-                "hippodrome": {"code": "VINC"},
+                "hippodrome": {"code": "CABO"},
                 "courses": [
-                    {"numOrdre": 1, "discipline": "ATTELE", "distance": 2700, "penetrometre": {"valeurMesure": "3,5"}},
+                    {"numOrdre": 1, "discipline": "ATTELE", "distance": 2850, "penetrometre": {"valeurMesure": "3,5"}},
                     {"numOrdre": 2, "discipline": "PLAT"},
                     {"numOrdre": 3},
                     {"numOrdre": 4, "discipline": "monte", "dureeCourse": 151999},
@@ -41,9 +41,9 @@ RUNNERS = {
 }
 PAST = [
     {"nomCheval": "", "nom": "A", "coursesCourues": [
-        {"date": 1704067200000, "discipline": "ATTELE", "distance": 2100, "participants": [
+        {"date": 1552780800000, "discipline": "ATTELE", "distance": 2100, "participants": [
             {"itsHim": False, "place": 3}, {"itsHim": True, "place": {"place": 2, "statusArrivee": "OK"}}]},
-        {"date": 1704067200000, "discipline": "ATTELE", "distance": 2100, "allocation": 5},
+        {"date": 1552780800000, "discipline": "ATTELE", "distance": 2100, "allocation": 5},
         {"date": 0, "discipline": "MONTE", "distance": 1, "participants": [{"itsHim": True, "place": 7}]},
         {"discipline": None}]},
     {"nom": "", "coursesCourues": [{"discipline": "ATTELE"}]},
@@ -103,9 +103,9 @@ def test_stages_succeed(warehouse):
 
 def test_card(warehouse):
     tables = warehouse[0]
-    assert rows(tables["daily_program"]) == [(1, dt.date(2024, 1, 1))]
+    assert rows(tables["daily_program"]) == [(1, dt.date(2019, 3, 17))]
     assert rows(tables["race"], "race_id", "race_number", "discipline", "distance_m", "penetrometer", "race_duration_s") == [
-        (1, 1, "ATTELE", 2700, 3.5, None), (2, 4, "monte", None, None, 151)]
+        (1, 1, "ATTELE", 2850, 3.5, None), (2, 4, "monte", None, None, 151)]
 
 
 def test_runners(warehouse):
@@ -123,7 +123,7 @@ def test_history_and_bets(warehouse):
     past = rows(tables["horse_race_history"], "race_date", "discipline", "finish_place", "finish_status", "prize_money")
     # The first of two equal keys wins; the row without a date never conflicts, so a second load adds it again.
     assert past == sorted(
-        [(None, "MONTE", None, None, None)] * 2 + [(dt.date(2024, 1, 1), "ATTELE", 2, "OK", None)], key=repr)
+        [(None, "MONTE", None, None, None)] * 2 + [(dt.date(2019, 3, 17), "ATTELE", 2, "OK", None)], key=repr)
     bets = tables["race_bet"].join(tables["bet_report"], "bet_id")
     assert rows(bets.where("bet_type = 'SG'"), "combination", "dividend") == [("1", 5.0), ("2", None), (None, None), (None, None)]
     assert tables["race_bet"].where("bet_type is null").count() == 2
@@ -139,7 +139,7 @@ def test_ids_and_rules(warehouse):
 
 def test_dead_letters(spark, warehouse):
     kept = spark.read.json(warehouse[2])
-    assert {(r["feed"], r["document"]) for r in kept.collect()} == {("performances", "01012024_R1_C4")}
+    assert {(r["feed"], r["document"]) for r in kept.collect()} == {("performances", "17032019_R1_C4")}
     assert "99999" in kept.first()["payload"]
 
 
@@ -174,7 +174,7 @@ def test_landing_and_documents(spark, tmp_path):
     write_landing(landing, str(tmp_path / "landing"))
     back = read_landing(spark, str(tmp_path / "landing"), [DAY])
     assert rows(back.select(landing.columns)) == rows(landing)
-    assert read_landing(spark, str(tmp_path / "landing"), ["02012024"]).count() == 0
+    assert read_landing(spark, str(tmp_path / "landing"), ["18032019"]).count() == 0
     docs = tmp_path / "docs"
     docs.mkdir()
     (docs / f"{DAY}_R1_C4.json").write_text(json.dumps(RUNNERS, indent=2))

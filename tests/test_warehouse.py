@@ -234,3 +234,38 @@ def test_loads_read_only_the_folders_of_their_batch(spark, root):
     assert files_of(near)["horse_race_history"] == ["200"] and scans(near)
     races = tables["race"].where("race_id > 9000000").drop("race_band")
     assert files_of(warehouse.near(tables, "race", "meeting_id", races))["race"] == ["9"]
+
+
+def test_documents_that_did_not_change_are_not_parsed_again(spark, tmp_path, monkeypatch):
+    root, dead = str(tmp_path / "w"), str(tmp_path / "d")
+
+    def landed(odds):
+        docs = [("programme", CODES[0], None, None, 200, json.dumps(programme(CODES[0], 1)), 1)]
+        runners = [{"numPmu": 1, "nom": "A", "dernierRapportDirect": {"rapport": odds}}]
+        docs.append(("participants", CODES[0], 1, 1, 200, json.dumps(runners), 2))
+        docs.append(("performances", CODES[0], 1, 1, 200, json.dumps([{"nom": "A", "coursesCourues": [{"discipline": "MONTE"}]}]), 3))
+        docs.append(("reports", CODES[0], 1, 1, 200, "{broken", 4))
+        return spark.createDataFrame(docs, LANDING)
+
+    def run(odds, mode="ignore"):
+        out = loads.run_stages(spark, landed(odds), root, dead, 2024, CODES[:1], mode=mode, skip_unchanged=True)
+        assert not [e for e in out.values() if isinstance(e, Exception)]
+        return {(r["feed"], r["status"]): (r["documents"], r["inserted"]) for a in out.values() for r in a.collect()}
+
+    first = run(2.0)
+    assert first == {
+        ("programme", "SUCCESS"): (1, 1), ("participants", "SUCCESS"): (1, 1), ("performances", "SUCCESS"): (1, 1), ("reports", "FAILED"): (1, 0),
+    }
+    number = latest(spark, root).number
+    with monkeypatch.context() as patched:
+        patched.setattr(loads, "parse_feed", lambda *args, **kwargs: pytest.fail("parsed again"))
+        assert run(2.0) == {(feed, "UNCHANGED"): (1, 0) for feed in loads.STAGES}
+    # Nothing was written: neither rows, nor rejected documents, nor a commit.
+    assert latest(spark, root).number == number
+    assert open_warehouse(spark, root)["horse_race_history"].count() == 1 and spark.read.json(dead).count() == 1
+    # A changed document alone is loaded; in another mode all are.
+    assert run(3.0)[("participants", "SUCCESS")] == (1, 0) and open_warehouse(spark, root)["race_participant"].first()["live_odds"] == 2.0
+    late = run(3.0, mode="update")
+    assert ("participants", "SUCCESS") in late and ("participants", "UNCHANGED") not in late
+    assert open_warehouse(spark, root)["race_participant"].first()["live_odds"] == 3.0
+    assert run(3.0, mode="update") == {(feed, "UNCHANGED"): (1, 0) for feed in loads.STAGES}
