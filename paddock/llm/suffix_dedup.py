@@ -288,33 +288,39 @@ def _compare(length: int):
     return run
 
 
-def _split_large(rows: DataFrame, length: int, gram: int, largest: int) -> tuple[DataFrame, list[DataFrame]]:
+def _split_large(rows: DataFrame, length: int, gram: int, largest: int) -> tuple[DataFrame, list[DataFrame], list[DataFrame]]:
     """Split groups of more than `largest` rows by the bytes their strings have in common.
 
+    Gives the rows of bounded groups, the answers found on the way, and the stored tables that both are read from.
+
     A row stands for the strings that start `low` to `high` bytes left of its anchor; `core` is a
     hash of the bytes all of these share. Halving the range lengthens the core, so that rows
     without a common string fall apart; rows whose range is one string are equal in it and
-    need no more comparison. Rows that agree on all their range's bytes are answered, and one of
-    them stands for the others from then on.
+    need no more comparison. Rows that agree on all their range's bytes, compared as bytes, are answered, and
+    one of them stands for the others from then on. Only the rows of large groups are stored again.
     """
     answers: list[DataFrame] = []
+    stored: list[DataFrame] = []
     done: DataFrame | None = None
     group = ["gram", "low", "high", "core"]
     right = F.octet_length("context") - F.col("left")
     while True:
         sizes = staged(rows.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > largest))
+        stored.append(sizes)
         if sizes.isEmpty():
-            return (rows if done is None else done.unionByName(rows)), answers
-        sized = staged(rows.join(sizes, group, "left"))
-        small = sized.where("_n IS NULL").drop("_n")
+            return (rows if done is None else done.unionByName(rows)), answers, stored
+        small = rows.join(sizes.drop("_n"), group, "left_anti").select(*rows.columns)
         done = small if done is None else done.unionByName(small)
-        large = sized.where("_n IS NOT NULL").drop("_n")
+        large = rows.join(sizes.drop("_n"), group)
         span_from, span_to = F.least("left", "high"), F.least(right, length - F.col("low"))
-        span = F.xxhash64(span_from, span_to, _cut(F.lit(0) - span_from, span_to))
+        span = _cut(F.lit(0) - span_from, span_to)
         whole = (span_from == F.col("high")) & (span_to == length - F.col("low"))
         large = staged(large.withColumns({"_span": F.when(whole, span), "_id": F.xxhash64("left", "c1", "c2")}))
         same = large.where("_span IS NOT NULL").groupBy(*group, "_span").agg(F.count("*").alias("_same"), F.min("_id").alias("_keep"))
-        marked = staged(large.join(staged(same), [*group, "_span"], "left"))
+        same = staged(same)
+        marked = staged(large.join(same, [*group, "_span"], "left"))
+        drop_staged(large)
+        drop_staged(same)
         alike = marked.where("_same > 1")
         answers.append(alike.where("asks").select("gram", "left", "c1", "c2", (-F.col("high")).alias("from"), (length - F.col("low")).alias("to")))
         kept = marked.where("_same IS NULL OR _same = 1 OR _id = _keep").where("low < high")
@@ -326,6 +332,7 @@ def _split_large(rows: DataFrame, length: int, gram: int, largest: int) -> tuple
         parts = kept.withColumn("_half", F.explode(halves)).withColumns({"low": F.col("_half.low"), "high": F.col("_half.high")})
         parts = parts.where((F.col("left") >= F.col("low")) & (right >= length - F.col("high")))
         rows = staged(parts.withColumn("core", F.xxhash64(_cut(-F.col("low"), length - F.col("high")))).drop("_half"))
+        stored += [marked, rows]
 
 
 def _cut(start: Column, stop: Column) -> Column:
@@ -440,13 +447,16 @@ def remove_repeats(
     ).select(*one, (F.col("n") == 1).alias("asks"), "context")
     rows = rows.withColumns({"low": F.lit(0), "high": F.lit(reach), "core": F.lit(0).cast("long")})
     rows = staged(rows)
-    bounded, answers = _split_large(rows, length, gram, largest_group)
+    drop_staged(mixed)
+    bounded, answers, stored = _split_large(rows, length, gram, largest_group)
     sorted_rows = bounded.repartition("gram", "low", "high", "core").sortWithinPartitions("gram", "low", "high", "core", "left", "c1", "c2")
     compared = sorted_rows.mapInArrow(_compare(length), "gram long, left int, c1 long, c2 long, from int, to int")
     intervals = equal.unionByName(compared)
     for part in answers:
         intervals = intervals.unionByName(part)
     per_class = staged(intervals.groupBy(*one).agg(F.collect_set(F.struct("from", "to")).alias("around")))
+    for df in (rows, classes, *stored):
+        drop_staged(df)
 
     around = members.join(per_class, one).select("doc_id", "text_hash", "place", F.explode("around").alias("a"))
     spans = around.groupBy("doc_id", "text_hash").agg(
