@@ -69,3 +69,9 @@ def staged(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of a few large splits dealt over all cores, for costly work on each row; one of many splits as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -23,7 +23,7 @@ from paddock.operators import aggregates, checks, filters, joins, loading, scope
 from paddock.operators.filters import is_winner
 from paddock.operators.ranking import with_positions
 from paddock.plans import cards, decisions, loads
-from paddock.session import shared_folder, staged, tune
+from paddock.session import shared_folder, spread, staged, tune
 from paddock.sources import derived_feeds as feeds
 from paddock.sources.derived import derived_tables, runner_lines, source, stand_in_probability
 from paddock.sources.feeds import parse_feed
@@ -64,6 +64,11 @@ def given_scores(tables: Tables) -> DataFrame:
     return scored.withColumn("win_probability", stand_in_probability())
 
 
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders that documents are built from, their few columns dealt out before the work."""
+    return spread(source(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+
+
 def race_sizes(spark: SparkSession, folder: str) -> DataFrame:
     """Line items per order bound the runners per race from above."""
     return source(spark, folder, "lineitem").select(F.col("l_orderkey").alias("race_id"))
@@ -499,13 +504,13 @@ def code_maps(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def parse_programme(spark: SparkSession, folder: str) -> DataFrame:
-    landing = feeds.programme_documents(source(spark, folder, "orders"))
+    landing = feeds.programme_documents(_orders(spark, folder))
     return parse_feed(landing, "programme")["races"].drop("name", "i", "j", "race_category", "conditions_text", "race_status_category")
 
 
 @query
 def parse_meetings(spark: SparkSession, folder: str) -> DataFrame:
-    landing = feeds.programme_documents(source(spark, folder, "orders"))
+    landing = feeds.programme_documents(_orders(spark, folder))
     return parse_feed(landing, "programme")["meetings"].drop("name", "i")
 
 
@@ -593,7 +598,7 @@ def rolling_scope(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def program_days(spark: SparkSession, folder: str) -> DataFrame:
     """The date code decides, else the payload's epoch."""
-    landing = feeds.programme_documents(source(spark, folder, "orders"))
+    landing = feeds.programme_documents(_orders(spark, folder))
     return parse_feed(landing, "programme")["days"].select("seq", "program_date")
 
 
@@ -605,7 +610,7 @@ def stage_work_list(spark: SparkSession, folder: str) -> DataFrame:
 def _all_landed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     lines = feeds.unlocated(runner_lines(source(spark, folder, "lineitem")))
     return {
-        "programme": feeds.programme_documents(source(spark, folder, "orders")),
+        "programme": feeds.programme_documents(_orders(spark, folder)),
         "participants": feeds.participants_documents(lines),
         "performances": feeds.performances_documents(lines),
         "reports": feeds.reports_documents(lines),
@@ -633,7 +638,7 @@ def dead_letter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _loaded_program(spark: SparkSession, folder: str) -> tuple[DataFrame, loads.Load, Tables]:
-    landing = feeds.programme_documents(source(spark, folder, "orders"))
+    landing = feeds.programme_documents(_orders(spark, folder))
     tables = empty_warehouse(spark)
     return landing, loads.load_program(landing, tables), tables
 
