@@ -266,3 +266,15 @@ def test_buckets_come_in_order_of_cost():
 def test_counterparts(spark, name):
     duck = connect(TESTDATA)
     assert difference(QUERIES[name](spark, TESTDATA).toPandas(), duck.sql(ORACLE[name]).df()) is None
+
+
+def test_recall_on_the_given_vectors(spark):
+    got = defaultdict(set)
+    for r in QUERIES["op13_nearest_neighbours"](spark, TESTDATA).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    rows = {r["vec_id"]: np.array(r["embedding"], float) for r in spark.read.parquet(f"{TESTDATA}/embeddings.parquet").collect()}
+    hits = 0
+    for q in (i for i in rows if i % 20 == 0):
+        best = sorted((-float(rows[q] @ v), i) for i, v in rows.items() if i != q)[:20]
+        hits += len(got[q] & {i for _, i in best})
+    assert set(got) == {i for i in rows if i % 20 == 0} and hits >= 0.9 * 20 * len(got)
