@@ -91,7 +91,7 @@ class _Parser:
 
     def flush(self) -> None:
         if self.parts:
-            text = " ".join(html.unescape("".join(self.parts)).split())
+            text = " ".join("".join(self.parts).split())
             if text:
                 self.blocks.append(Block(text, tuple(f for _, fs in self.stack for f in fs), self.linked))
             self.parts.clear()
@@ -99,7 +99,8 @@ class _Parser:
 
     def text(self, text: str) -> None:
         if not self.unseen and text:
-            self.parts.append(text)
+            # A reference ends where its piece of text does; tags inside one do not join it.
+            self.parts.append(html.unescape(text))
             if self.links:
                 self.linked += len(text)
 

@@ -35,3 +35,8 @@ def test_tables_without_a_short_page_or_a_main_block_have_texts(spark):
         table = _table(spark, pages)
         model = html_extract.fit(table)
         assert model.weights and all(r["n_chars"] > 0 for r in html_extract.extract(table, model).collect())
+
+
+def test_references_are_decoded_piece_by_piece():
+    blocks = html_extract.blocks_of("<p>a &amp;lt; b &<b>lt;</b> c &lt; d &#233;</p>")
+    assert [b.text for b in blocks] == ["a &lt; b &lt; c < d é"]
