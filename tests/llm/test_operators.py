@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 import random
 import zlib
@@ -12,6 +13,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from paddock.llm import (
     chunk_dedup,
@@ -277,11 +279,38 @@ def test_exact_duplicates(docs, rows, empty):
     index = exact_dedup.build_index(docs, bucket_entries=4)
     assert index.depth >= 3 and max(r.entries for r in index.directory.collect()) <= 4
     assert index.entries.select("key").distinct().count() == len(ids)
+    # Rows find their entries through the directory alone: none without pages, none where a page names other buckets.
+    keyed = exact_dedup.keyed_rows(docs)
+    assert exact_dedup.look_up(keyed, index).count() == len(rows)
+    torn = [index.pages.limit(0), index.pages.withColumn("cells", F.transform("cells", lambda c: F.concat(c, F.lit("0"))))]
+    for pages in torn:
+        assert exact_dedup.look_up(keyed, dataclasses.replace(index, pages=pages)).isEmpty()
+    assert index.entries.groupBy("bucket").count().where("count > 4").isEmpty()
     kept = exact_dedup.drop_duplicates(docs)
     assert kept.columns == docs.columns and kept.count() == len(ids)
     assert exact_dedup.find_duplicates(empty).count() == exact_dedup.drop_duplicates(empty).count() == 0
 
 
+def test_exact_duplicates_of_hot_texts_and_pages_of_many_cells(spark, monkeypatch):
+    """Hot texts are combined before they reach their owners, pages have many cells: same result, chains and all."""
+    rows = [(i, "hot" if i % 3 == 0 else f"text {i % 400}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t].append(i)
+    expected = {(i, groups[t][0], len(groups[t])) for i, t in rows}
+    read = lambda **options: {
+        (r.doc_id, r.keep_id, r.group_size) for r in exact_dedup.find_duplicates(docs, **options).collect()
+    }
+    assert read(bucket_entries=8) == expected
+    monkeypatch.setattr(exact_dedup, "HOT_COPIES", 100)
+    monkeypatch.setattr(exact_dedup, "OWNER_BITS", 2)
+    assert read(bucket_entries=8) == expected
+    assert read(bucket_entries=8, hash_bits=5) == expected
+    pages = exact_dedup.build_index(docs, bucket_entries=8).pages
+    assert pages.count() == 4 and pages.where(F.size("cells") < 8).isEmpty()
+
+
 def test_packing(docs, rows, empty):
     for capacity, bins in ((4096, 4096), (64, 2)):
         got = packing.pack(docs, TOKENIZER, capacity=capacity, open_bins=bins, task_pieces=30).collect()
