@@ -4,8 +4,9 @@ Each run samples, from a document's set, every shingle whose hash is under 1 / (
 size); a sampled shingle is a bucket's path. Two sets that are similar enough share one path in
 expectation. Paths whose bucket is too large are extended by the same rule, one more shingle a
 level. Runs are repeated until the target recall, which follows from the branching process.
-Buckets are compared pair by pair on bottom-k sketches; the components that come out are then
-compared on whole sets, which decides every link.
+Buckets are compared on bottom-k sketches, but for what is connected already; the components that
+come out are then compared on whole sets, which decides every link. A large bucket or component is
+cut into blocks of bounded size, and each task compares two blocks, a pair of tiles at a time.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,15 +23,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, document_keys, drop_staged, mix, staged
+from .common import BASE, document_keys, drop_staged, mix, ragged, staged
 from .components import components
 
 LEVELS = 2
 SETS = (
-    "doc_id long, text_hash long, set_id binary, sketch array<int>, "
+    "doc_id long, text_hash long, set_id binary, shingles int, sketch array<int>, "
     "paths array<struct<path: bigint, next: array<bigint>>>"
 )
 COLUMNS = 4096  # distinct shingles that are compared at once
+SPREAD = 8  # blocks of a group, and so times that a row is dealt, while the blocks stay within the bounds below
+BLOCK_TILES, BLOCK_SHINGLES = 32, 4_000_000  # a task holds two blocks of at most so many tiles and shingles
 
 
 def runs_for(recall: float, levels: int = LEVELS) -> int:
@@ -99,11 +103,12 @@ def sketch_sets(docs: DataFrame, *, words: int, similarity: float, runs: int, sk
                     batch.column("doc_id"),
                     batch.column("text_hash"),
                     pa.array(ids, pa.binary()),
+                    pa.array([len(s) for s in found], pa.int32()),
                     # One value more than the sketch's length tells that the set goes on.
                     pa.array([np.unique(s[: sketch + 1] >> np.uint64(33)).astype(np.int32) for s in found], pa.list_(pa.int32())),
                     pa.array([chosen_paths(s, seeds, similarity) if len(s) else [] for s in found], kind),
                 ]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", "set_id", "sketch", "paths"])
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", "set_id", "shingles", "sketch", "paths"])
 
     return document_keys(docs, id_col, text_col).mapInArrow(sets, SETS)
 
@@ -135,77 +140,146 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held)
 
 
-def common_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """How many values each two of the sets have in common."""
-    sizes = [len(s) for s in sets]
-    values, place = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(len(sets)), sizes)
-    seen = np.bincount(place, minlength=len(values))
+@dataclass
+class Rows:
+    """Sets one after the other: the codes of all values, and where each set begins and ends."""
+
+    codes: np.ndarray
+    bounds: np.ndarray
+    values: int
+
+    def tile(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The codes of these sets, and for each code the place of its set in `rows`."""
+        sizes = self.bounds[rows + 1] - self.bounds[rows]
+        return self.codes[ragged(self.bounds[rows], sizes)], np.repeat(np.arange(len(rows)), sizes)
+
+
+def coded(sets: list[np.ndarray]) -> Rows:
+    """Values as numbers from 0; those that only one set holds are left out."""
+    values, codes, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = seen >= 2
-    place, row = (np.cumsum(shared) - 1)[place[shared[place]]], row[shared[place]]
-    order = np.argsort(place, kind="stable")
-    place, row = place[order], row[order]
-    out = np.diag(np.array(sizes, np.float32))
-    np.fill_diagonal(out, 0)
-    total = int(shared.sum())
+    keep = shared[codes]
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    before = np.concatenate([[0], np.cumsum(keep)])
+    return Rows((np.cumsum(shared) - 1)[codes[keep]], before[bounds], int(shared.sum()))
+
+
+def common_counts(rows: Rows, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many values each set of `left` has in common with each of `right`."""
+    (a, a_row), (b, b_row) = rows.tile(left), rows.tile(right)
+    out = np.zeros((len(left), len(right)), np.float32)
+    in_b, both = np.zeros(rows.values, bool), np.zeros(rows.values, bool)
+    in_b[b] = True
+    both[a[in_b[a]]] = True
+    place, total = np.cumsum(both) - 1, int(both.sum())
+    a, a_row, b, b_row = place[a[both[a]]], a_row[both[a]], place[b[both[b]]], b_row[both[b]]
     for at in range(0, total, COLUMNS):
-        a, b = np.searchsorted(place, [at, at + COLUMNS])
-        part = np.zeros((len(sets), min(COLUMNS, total - at)), np.float32)
-        part[row[a:b], place[a:b] - at] = 1
-        out += part @ part.T
+        parts = []
+        for code, row, height in ((a, a_row, len(left)), (b, b_row, len(right))):
+            here = (code >= at) & (code < at + COLUMNS)
+            part = np.zeros((height, min(COLUMNS, total - at)), np.float32)
+            part[row[here], code[here] - at] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
     return out.astype(np.int64)
 
 
-def sketch_similar(sketches: list[np.ndarray], length: int, least: float) -> np.ndarray:
-    """Which pairs have an estimated similarity of at least `least`."""
-    most = np.iinfo(np.int32).max
-    ends = np.array([s[length - 1] if len(s) > length else most for s in sketches])
-    cut = [s[:length] for s in sketches]
-    both = common_counts(cut).astype(float)
-    # Both sketches are complete up to the lower of their last values.
-    upto = np.minimum(ends[:, None], ends[None, :])
-    inside = np.stack([np.searchsorted(s, upto[i], side="right") for i, s in enumerate(cut)])
-    return both >= least * (inside + inside.T - both)
+class Joined:
+    """Rows that links connect, over any number of steps, under the first of them."""
+
+    def __init__(self, rows: int) -> None:
+        self.parent = np.arange(rows)
 
+    def roots(self, rows: np.ndarray) -> np.ndarray:
+        root = self.parent[rows]
+        while (self.parent[root] != root).any():
+            root = self.parent[root]
+        self.parent[rows] = root
+        return root
 
-def _roots(linked: np.ndarray) -> np.ndarray:
-    """The first row that each row is linked with, over any number of steps."""
-    root = np.full(len(linked), -1)
-    for i in range(len(linked)):
-        if root[i] < 0:
-            front = np.zeros(len(linked), bool)
-            front[i] = True
-            while front.any():
-                root[front] = i
-                front = linked[front].any(axis=0) & (root < 0)
-    return root
+    def link(self, left: np.ndarray, right: np.ndarray, linked: np.ndarray) -> None:
+        """Join the rows that this matrix links; each pass joins every row of `left` with one other group."""
+        while True:
+            a, b = self.roots(left), self.roots(right)
+            apart = linked & (a[:, None] != b[None, :])
+            rows = np.flatnonzero(apart.any(axis=1))
+            if not len(rows):
+                return
+            for i, j in zip(left[rows].tolist(), right[apart[rows].argmax(axis=1)].tolist(), strict=True):
+                ends = self.roots(np.array([i, j]))
+                self.parent[ends.max()] = ends.min()
 
 
-def _sizes(df: DataFrame, key: str) -> DataFrame:
-    """Rows per group of two rows or more. Stored, so that Spark can split a hot group where it is joined."""
-    return staged(df.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1"))
+def tiles(low: np.ndarray, high: np.ndarray | None, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Pairs of tiles in which any two rows of one block (high is None), or any of both blocks, meet once.
 
+    The last value tells whether the tiles are the same rows.
+    """
+    cut = lambda rows: [rows[i : i + size] for i in range(0, len(rows), size)]
+    first = cut(low)
+    for i, rows in enumerate(first):
+        for j, others in enumerate(first[i:] if high is None else cut(high)):
+            yield rows, others, high is None and not j
+
+
+def _blocks(df: DataFrame, key: str, tile: int, most_rows: int, weight: str | None = None) -> DataFrame:
+    """The number of blocks of every group of two rows or more. Stored, so that Spark can split a hot group where it is joined.
 
-def _blocked(df: DataFrame, sizes: DataFrame, key: str, block_rows: int) -> DataFrame:
-    """Deal groups of more than block_rows rows to pairs of blocks, so any two rows meet once.
+    A group of more rows than a tile has up to SPREAD blocks, which is how often each of its rows is dealt; it has more only
+    where a block would exceed most_rows rows or, in the sum of `weight`, BLOCK_SHINGLES.
+    """
+    sizes = df.groupBy(key).agg(F.count("*").alias("_n"), F.sum(weight or F.lit(0)).alias("_weight")).where("_n > 1")
+    blocks = F.greatest(
+        F.least(F.ceil(F.col("_n") / tile), F.lit(SPREAD)), F.ceil(F.col("_n") / most_rows), F.ceil(F.col("_weight") / BLOCK_SHINGLES)
+    )
+    return staged(sizes.select(key, blocks.cast("int").alias("_blocks")))
+
+
+def _blocked(df: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a group to pairs of its blocks, so any two rows meet once.
 
     Adds `block` and the pair (`low`, `high`); each row of a group of b blocks stands in b pairs.
     Groups of one row are left out.
     """
-    sized = df.join(sizes, key).withColumn("_blocks", F.ceil(F.col("_n") / block_rows).cast("int"))
     block = F.pmod(F.xxhash64("set_id"), F.col("_blocks")).cast("int")
     others = F.sequence(F.lit(0), F.col("_blocks") - 1)
-    dealt = sized.withColumn("block", block).withColumn("_other", F.explode(others))
+    dealt = df.join(blocks, key).withColumn("block", block).withColumn("_other", F.explode(others))
     pair = {"low": F.least("block", "_other"), "high": F.greatest("block", "_other")}
-    return dealt.withColumns(pair).drop("_n", "_blocks", "_other")
+    return dealt.withColumns(pair).drop("_blocks", "_other")
+
+
+def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray | None]:
+    """The rows of the pair's two blocks; None for the second where the pair is one block with itself."""
+    low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+    block = group.column("block").to_numpy()
+    return np.flatnonzero(block == low), None if low == high else np.flatnonzero(block == high)
+
 
+def _bucket_edges(sketch: int, least: float, tile: int):
+    """Links that connect all rows of a bucket whose sketches have an estimated similarity of at least `least`."""
+    top = np.iinfo(np.int32).max
 
-def _bucket_edges(sketch: int, least: float):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket in groups(batches, ["bucket", "low", "high"]):
             ids = bucket.column("set_id").to_pylist()
-            sketches = [np.array(s) for s in bucket.column("sketch").to_pylist()]
-            root = _roots(sketch_similar(sketches, sketch, least))
+            sketches = [np.array(s, np.int32) for s in bucket.column("sketch").to_pylist()]
+            # Two sketches are complete up to the lower of their last values.
+            ends = np.array([s[sketch - 1] if len(s) > sketch else top for s in sketches])
+            cut = [s[:sketch] for s in sketches]
+            rows, joined = coded(cut), Joined(len(cut))
+            for left, right, _ in tiles(*_sides(bucket), tile):
+                # What is connected already need not be compared.
+                known = joined.roots(left)
+                if (known == known[0]).all():
+                    right = right[joined.roots(right) != known[0]]
+                if not len(right):
+                    continue
+                upto = np.minimum(ends[left][:, None], ends[right][None, :])
+                sizes = np.stack([np.searchsorted(cut[i], upto[k], side="right") for k, i in enumerate(left)])
+                sizes += np.stack([np.searchsorted(cut[j], upto[:, k], side="right") for k, j in enumerate(right)], axis=1)
+                both = common_counts(rows, left, right)
+                joined.link(left, right, both >= least * (sizes - both))
+            root = joined.roots(np.arange(len(ids)))
             own = np.flatnonzero(root != np.arange(len(root)))
             if len(own):
                 yield pa.RecordBatch.from_arrays(
@@ -216,25 +290,28 @@ def _bucket_edges(sketch: int, least: float):
     return compare
 
 
-def _links(words: int, similarity: float):
+def _links(words: int, similarity: float, tile: int):
+    """For each row of a pair of blocks how many rows it links to, copies included, and one row that stands for all it is connected with."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["root", "low", "high"]):
             ids, copies = group.column("set_id").to_pylist(), group.column("copies").to_numpy()
             sets = shingle_sets(pa.concat_arrays(group.column("text").chunks), words)
-            both, sizes = common_counts(sets), np.array([len(s) for s in sets])
-            linked = both >= similarity * (sizes[:, None] + sizes[None, :] - both)
-            np.fill_diagonal(linked, False)
-            # Rows of one block meet in that block's pair with itself.
-            if group.column("low")[0].as_py() != group.column("high")[0].as_py():
-                block = group.column("block").to_numpy()
-                linked &= block[:, None] != block[None, :]
-            root = _roots(linked)
+            sizes, rows, joined = np.array([len(s) for s in sets]), coded(sets), Joined(len(sets))
+            del sets
+            links = np.zeros(len(ids), np.int64)
+            for left, right, same in tiles(*_sides(group), tile):
+                both = common_counts(rows, left, right)
+                linked = both >= similarity * (sizes[left][:, None] + sizes[right][None, :] - both)
+                if same:
+                    np.fill_diagonal(linked, False)
+                links[left] += linked @ copies[right]
+                if not same:
+                    links[right] += copies[left] @ linked
+                joined.link(left, right, linked)
+            root = joined.roots(np.arange(len(ids)))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, pa.binary()),
-                    pa.array([ids[i] for i in root], pa.binary()),
-                    pa.array(linked @ copies, pa.int64()),
-                ],
+                [pa.array(ids, pa.binary()), pa.array([ids[i] for i in root], pa.binary()), pa.array(links, pa.int64())],
                 ["set_id", "peer", "links"],
             )
 
@@ -272,7 +349,12 @@ def near_duplicates(
     classes = staged(
         sets.where("set_id IS NOT NULL")
         .groupBy("set_id")
-        .agg(F.count("*").alias("copies"), F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"))
+        .agg(
+            F.count("*").alias("copies"),
+            F.min("doc_id").alias("least_id"),
+            F.min(F.struct("doc_id", "text_hash")).alias("rep"),
+            F.max("shingles").alias("shingles"),
+        )
     )
 
     # Narrow rows first: a path is of use where two different sets have it, which the least and the
@@ -291,31 +373,37 @@ def near_duplicates(
     wanted_sketches = sets.join(first.select("set_id").distinct(), "set_id", "left_semi")
     sketches = wanted_sketches.groupBy("set_id").agg(F.first("sketch").alias("sketch"))
     in_buckets = small.union(onward)
-    bucket_sizes = _sizes(in_buckets, "bucket")
-    buckets = _blocked(in_buckets, bucket_sizes, "bucket", bucket_rows).join(sketches, "set_id")
+    bucket_blocks = _blocks(in_buckets, "bucket", bucket_rows, BLOCK_TILES * bucket_rows)
+    buckets = _blocked(in_buckets, bucket_blocks, "bucket").join(sketches, "set_id")
     sorted_buckets = buckets.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "set_id")
-    maybe = sorted_buckets.select("bucket", "low", "high", "set_id", "sketch").mapInArrow(
-        _bucket_edges(sketch, similarity - slack), "a binary, b binary"
+    maybe = sorted_buckets.select("bucket", "low", "high", "block", "set_id", "sketch").mapInArrow(
+        _bucket_edges(sketch, similarity - slack, bucket_rows), "a binary, b binary"
     )
     found = staged(components(maybe))
     drop_staged(first)
-    drop_staged(bucket_sizes)
+    drop_staged(bucket_blocks)
 
     # Whole sets decide. Only one text of each set in a component is fetched.
-    wanted = found.join(classes, found.node == classes.set_id).select(
-        "set_id", "root", "copies", F.col("rep.doc_id").alias("_id"), F.col("rep.text_hash").alias("_hash")
+    wanted = staged(
+        found.join(classes, found.node == classes.set_id).select(
+            "set_id", "root", "copies", "shingles", F.col("rep.doc_id").alias("_id"), F.col("rep.text_hash").alias("_hash")
+        )
     )
+    drop_staged(found)
     keyed = document_keys(docs, id_col, text_col)
     fetched = keyed.join(wanted, keyed.doc_id.eqNullSafe(wanted._id) & (keyed.text_hash == wanted._hash))
     members = fetched.select("set_id", "root", "copies", "text").dropDuplicates(["set_id"])
     # Every set found has one member, so the narrow table tells the sizes.
-    dealt = _blocked(members, _sizes(found, "root"), "root", bucket_rows // 2)
+    tile = max(1, bucket_rows // 2)
+    root_blocks = _blocks(wanted, "root", tile, BLOCK_TILES * tile, "shingles")
+    dealt = _blocked(members, root_blocks, "root")
     verified = staged(
         dealt.repartition("root", "low", "high")
         .sortWithinPartitions("root", "low", "high", "set_id")
-        .mapInArrow(_links(words, similarity), "set_id binary, peer binary, links long")
+        .mapInArrow(_links(words, similarity, tile), "set_id binary, peer binary, links long")
     )
-    drop_staged(found)
+    drop_staged(wanted)
+    drop_staged(root_blocks)
     joined = components(verified.select(F.col("set_id").alias("a"), F.col("peer").alias("b")))
     links = verified.groupBy("set_id").agg(F.sum("links").alias("links"))
     named = classes.join(joined, classes.set_id == joined.node, "left").select(

@@ -188,6 +188,31 @@ def test_near_duplicates(docs, rows, empty):
     assert jaccard_join.near_duplicates(empty).count() == 0
 
 
+def test_large_groups_of_near_copies_are_dealt_a_bounded_number_of_times(spark, monkeypatch):
+    """Many blocks and tiles give each link once; a row is dealt SPREAD times, whatever the size of its group."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base[:k] + [f"x{rng.randint(0, 9)}"] + base[k:]) for k in (rng.randint(0, 60) for _ in range(300))]
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    links = [sum(i != j and len(a & b) >= 0.8 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    dealt = []
+    blocked = jaccard_join._blocked
+
+    def watched(df, blocks, key):
+        dealt.append((blocks.agg(F.max("_blocks")).first()[0], key))
+        return blocked(df, blocks, key)
+
+    monkeypatch.setattr(jaccard_join, "_blocked", watched)
+    for most in (32, 2):
+        monkeypatch.setattr(jaccard_join, "BLOCK_TILES", most)
+        dealt.clear()
+        got = jaccard_join.near_duplicates(docs, bucket_rows=16).select("doc_id", "class_id", "n_links").collect()
+        assert sorted(tuple(r) for r in got) == [(i, 0, n) for i, n in enumerate(links)]
+        classes = len({t for t in map(tuple, map(sorted, sets))})
+        assert dealt[-1] == (max(8, -(-classes // (most * 8))), "root")
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(40, 41), (42, 41), (50, 50)] + [(60, k) for k in range(61, 90)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
