@@ -33,6 +33,7 @@ SETS = (
 )
 COLUMNS = 4096  # distinct shingles that are compared at once
 SPREAD = 8  # blocks of a group, and so times that a row is dealt, while the blocks stay within the bounds below
+FILTER_BITS = 1 << 26  # of the filter that keeps texts out of a shuffle which are not asked for: 8 MB, however many rows
 BLOCK_TILES, BLOCK_SHINGLES = 32, 4_000_000  # a task holds two blocks of at most so many tiles and shingles
 
 
@@ -318,6 +319,23 @@ def _links(words: int, similarity: float, tile: int):
     return compare
 
 
+def likely(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of keyed whose text_hash may be a `_hash` of wanted; none that is one is left out.
+
+    The hashes are marked in a bitmap of FILTER_BITS bits in pieces of 4 KB, which are broadcast. The fuller it
+    is, the more other rows pass.
+    """
+    marks = wanted.select(F.pmod("_hash", F.lit(FILTER_BITS)).alias("_mark"))
+    pieces = marks.groupBy(F.bitmap_bucket_number("_mark").alias("_piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_mark")).alias("_bits")
+    )
+    mark = F.pmod("text_hash", F.lit(FILTER_BITS))
+    row = keyed.withColumn("_piece", F.bitmap_bucket_number(mark)).withColumn("_at", F.bitmap_bit_position(mark))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.floor(byte / F.pow(F.lit(2), F.col("_at") % 8)) % 2 == 1
+    return row.join(F.broadcast(pieces), "_piece").where(marked).select(*keyed.columns)
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -390,7 +408,7 @@ def near_duplicates(
         )
     )
     drop_staged(found)
-    keyed = document_keys(docs, id_col, text_col)
+    keyed = likely(document_keys(docs, id_col, text_col), wanted)
     fetched = keyed.join(wanted, keyed.doc_id.eqNullSafe(wanted._id) & (keyed.text_hash == wanted._hash))
     members = fetched.select("set_id", "root", "copies", "text").dropDuplicates(["set_id"])
     # Every set found has one member, so the narrow table tells the sizes.

@@ -213,6 +213,19 @@ def test_large_groups_of_near_copies_are_dealt_a_bounded_number_of_times(spark,
         assert dealt[-1] == (max(8, -(-classes // (most * 8))), "root")
 
 
+def test_filter_of_wanted_texts(spark, monkeypatch):
+    """Every wanted hash passes, negative ones and the ends of pieces too; of the others few, or many where it is full."""
+    rng = random.Random(3)
+    hashes = [0, 1, -1, 32767, 32768, 32769, 2**26, 2**63 - 1, -(2**63)] + [rng.randint(-(2**63), 2**63 - 1) for _ in range(2000)]
+    keyed = spark.createDataFrame([(h, "t") for h in hashes], "text_hash long, text string")
+    wanted = spark.createDataFrame([(h,) for h in hashes[:500]], "_hash long")
+    for bits, most in ((1 << 26, 510), (1 << 10, 2009)):
+        monkeypatch.setattr(jaccard_join, "FILTER_BITS", bits)
+        got = [r.text_hash for r in jaccard_join.likely(keyed, wanted).collect()]
+        assert set(hashes[:500]) <= set(got) and len(got) == len(set(got)) <= most
+    assert jaccard_join.likely(keyed, wanted.limit(0)).isEmpty()
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(40, 41), (42, 41), (50, 50)] + [(60, k) for k in range(61, 90)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
