@@ -8,7 +8,7 @@ from conftest import rows
 from paddock.operators import checks, loading, scope
 from paddock.plans.loads import run_stages
 from paddock.sources.feeds import parse_feed
-from paddock.sources.landing import LANDING, read_documents, read_landing, write_landing
+from paddock.sources.landing import LANDING, read_documents, read_landing, write_dead_letters, write_landing
 from paddock.sources.warehouse import append, create_warehouse, empty_warehouse, near, open_warehouse, replace
 
 DAY = "17032019"
@@ -143,6 +143,21 @@ def test_dead_letters(spark, warehouse):
     assert "99999" in kept.first()["payload"]
 
 
+def test_dead_letters_are_a_few_files_a_day(spark, tmp_path):
+    # Every task holds documents of every day, one day most of them; written as they lie, each task has a file a day.
+    docs = spark.range(4000).repartition(16).selectExpr(
+        "'reports' as feed", "if(id % 2 = 0, '01012020', lpad(cast(id % 20 as string), 8, '0')) as date_code",
+        "if(id % 3 = 0, null, 1) as meeting", "cast(id % 7 as int) as race", "concat('{', id) as payload")
+    path = str(tmp_path / "dead")
+    write_dead_letters(docs, path)
+    files = list((tmp_path / "dead").glob("feed=*/date_code=*/*.json"))
+    assert len({f.parent for f in files}) == 11
+    assert len(files) <= 11 + 4
+    kept = spark.read.schema("document string, payload string, feed string, date_code string").json(path)
+    key = F.concat_ws("", "date_code", F.lit("_R"), F.coalesce(F.col("meeting").cast("string"), F.lit("")), F.lit("_C"), "race")
+    assert rows(kept, "date_code", "document", "payload") == rows(docs.select("date_code", key, "payload"))
+
+
 @pytest.mark.parametrize(
     "feed, status, body, outcome, attempted",
     [
