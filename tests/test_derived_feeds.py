@@ -1,7 +1,9 @@
 import datetime as dt
+import json
 
 import pytest
 
+from conftest import rows
 from paddock.plans import loads
 from paddock.sources import derived_feeds as feeds
 from paddock.sources.feeds import parse_feed
@@ -49,3 +51,22 @@ def test_invalid_date_code_leaves_the_later_day_to_the_payload(spark):
 def test_keys_without_a_day_are_an_error(spark):
     with pytest.raises(Exception, match="no day for order"):
         feeds.programme_documents(_orders(spark, [10**12])).collect()
+
+
+def test_documents_of_all_feeds_group_the_lines_once(spark):
+    line = "o long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz"
+    # A race of even and one of odd key, a repeated line, nulls, a broken document (23), a failed one (17).
+    data = [(o, part, 3, n, 5.0, 10.0, 0.0, "R", dt.datetime(1996, 2, n)) for o in (2, 5, 17, 23) for part, n in ((6, 2), (6, 2), (60, 1))]
+    data += [(5, None, None, 4, None, None, None, None, None)]
+    lines = spark.createDataFrame(data, line).withColumnRenamed("o", "l_orderkey")
+    lines = feeds.located(lines, _orders(spark, [2, 5, 17, 23]))
+    together = feeds.documents_of_races(lines)
+    apart = feeds.participants_of_races(lines).unionByName(feeds.performances_of_races(lines)).unionByName(feeds.reports_of_races(lines))
+    assert together.columns == apart.columns and rows(together) == rows(apart)
+    held = {(r["feed"], r["seq"]): r["payload"] for r in together.collect()}
+    assert len(held) == 12 and held["reports", 17] is None and len(held["participants", 23]) == 20
+    names = ["", "Horse 6", "Horse 6"]
+    assert [x["nom"] for x in json.loads(held["participants", 2])["participants"]] == names
+    assert [x["nom"] for x in json.loads(held["participants", 5])] == [*names, None]
+    assert [x["numPmu"] for x in json.loads(held["participants", 5])] == [1, 2, 2, 4]
+    assert together._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1

@@ -104,3 +104,16 @@ def test_labels(spark):
     assert one(spark, None, lambda c: display.meeting_label(F.lit(1), c)) == "R1 - None"
     assert one(spark, "VINC", lambda c: display.meeting_label(F.lit(2), c)) == "R2 - VINC"
     assert one(spark, "Flash", lambda c: display.runner_tag(F.lit(4), c)) == "#4 Flash"
+
+
+def test_place_parts_of_bare_values_are_not_parsed(spark):
+    places = [('{"place":3,"statusArrivee":"OK"}', "3"), (' {"place":"x{"}', "x{"), ('[{"place":1}]', None), ("7", None), ("{", None), ("", None), (None, None)]
+    df = spark.createDataFrame(places, "text string, expected string")
+    found = df.select("expected", parsing.place_part(F.col("text"), "place").alias("found")).collect()
+    assert all(r["found"] == r["expected"] for r in found)
+    # The check of a past runner reads the place once and its status once.
+    from paddock.sources.feeds import _past_runner_fails
+
+    him = spark.createDataFrame([], "him struct<place:string,poidsJockey:string,corde:string,reductionKilometrique:string,distanceParcourue:string>")
+    plan = him.select(_past_runner_fails(F.col("him")).alias("fails"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("get_json_object") == 2 and plan.count("Contains(") == 2
