@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import document_keys, drop_staged, staged
-from .tokens import encoder
+from .tokens import encoder, short_runs
 
 PIECES = "doc_id long, text_hash long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -61,9 +61,9 @@ def pieces(
     """The pieces of every document: whole, or cut every `capacity` ids where it is longer."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in short_runs(batches):
             ids, counts = encoder(tokenizer).encode_ended(batch.column("text").to_pylist(), end_id)
-            ids, n_pieces = ids.astype("<u4"), -(-counts // capacity)
+            ids, n_pieces = ids.astype("<u4", copy=False), -(-counts // capacity)
             row = np.repeat(np.arange(len(counts)), n_pieces)
             piece = np.arange(len(row)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
             start = piece * capacity

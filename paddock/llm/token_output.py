@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import document_keys, prefix_sums
-from .tokens import encoder
+from .tokens import encoder, short_runs
 
 BLOCK = 128
 HEAD = struct.Struct("<4sIQI")  # mark, documents, ids, blocks
@@ -155,7 +155,7 @@ def segments(
             arrays = [pa.array(v, t) for v, t in zip(values, types, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, ["part", "seq", "n_docs", "n_ids", "payload"])
 
-        for batch in batches:
+        for batch in short_runs(batches):
             ids, counts = encoder(tokenizer).encode_ended(batch.column("text").to_pylist(), end_id)
             ends = np.cumsum(counts)
             for name, count, end in zip(batch.column("doc_id").to_pylist(), counts, ends, strict=True):

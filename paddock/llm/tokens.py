@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from array import array
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -13,6 +14,20 @@ import regex
 
 from .common import ragged
 
+# Encoding holds some thirty times a run of texts at once.
+RUN_BYTES = 1 << 21
+
+
+def short_runs(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in turn, in slices of at most so many bytes of text; a longer text stands alone."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        ends, start = np.cumsum(np.asarray(lengths), dtype=np.int64), 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def _unsafe() -> np.ndarray:
@@ -50,7 +65,7 @@ class WordEncoder(dict):
     batch when it holds more than max_words words, which bounds its memory.
     """
 
-    def __init__(self, path: str, max_words: int = 1_000_000):
+    def __init__(self, path: str, max_words: int = 300_000):
         super().__init__()
         from tokenizers import Tokenizer
 
@@ -108,7 +123,7 @@ class WordEncoder(dict):
         """The same with end_id after each text."""
         ids, counts = self.encode(texts)
         ends = np.cumsum(counts)
-        return np.insert(ids, ends, np.uint32(end_id)).astype(np.uint32), counts + 1
+        return np.insert(ids, ends, np.uint32(end_id)).astype(np.uint32, copy=False), counts + 1
 
 
 @cache

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -28,7 +29,7 @@ from paddock.llm import (
     token_output,
     toxicity,
 )
-from paddock.llm.tokens import WordEncoder
+from paddock.llm.tokens import WordEncoder, short_runs
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, place int, bucket string, start long"
@@ -135,6 +136,16 @@ def test_word_encoder_is_exact():
             assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == expected
 
 
+def test_texts_are_encoded_in_runs_of_bounded_size():
+    texts = ["", "ab", None, "é" * 30, "cde", "", "f" * 9, "g", "h", "i" * 10, ""]
+    batches = [pa.RecordBatch.from_pydict({"n": range(len(some)), "text": pa.array(some, pa.string())}) for some in (texts, [], texts[1:])]
+    runs = list(short_runs(iter(batches), most=10))
+    assert [text for run in runs for text in run.column("text").to_pylist()] == texts + texts[1:]
+    assert [n for run in runs for n in run.column("n").to_pylist()] == [*range(11), *range(10)]
+    assert all(run.num_rows == 1 or sum(len((t or "").encode()) for t in run.column("text").to_pylist()) <= 10 for run in runs)
+    assert len(runs) < len(texts) * 2
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 40), st.integers(0, 2**32 - 1)), max_size=400), st.sampled_from([0.5, 0.9, 1.0]))
 def test_blocks_round_trip(values, percentile):
