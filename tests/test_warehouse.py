@@ -16,7 +16,7 @@ from paddock.schemas import TABLES
 from paddock.sources import warehouse
 from paddock.sources.derived import derived_tables
 from paddock.sources.landing import LANDING
-from paddock.sources.warehouse import LAYOUTS, append, create_warehouse, empty_table, latest, merged, open_warehouse, publish, replace
+from paddock.sources.warehouse import LAYOUTS, append, create_warehouse, empty_table, in_ranges, latest, merged, open_warehouse, publish, replace
 
 DAYS = [dt.date(2024, 3, 1), dt.date(2024, 3, 2), dt.date(2024, 3, 3)]
 CODES = [day.strftime("%d%m%Y") for day in DAYS]
@@ -118,6 +118,34 @@ def broken(df):
     return df.withColumn("meeting_type", F.raise_error(F.lit("executor lost")).cast("string"))
 
 
+def test_many_ranges_are_searched_not_tried_in_turn(spark):
+    spans = [(7 * i, 7 * i + i % 4) for i in range(200)]
+    numbers = [None, -1, 0, 1, 2, *range(0, 1500), 10**12]
+    df = spark.createDataFrame([(n,) for n in numbers], "n long")
+    for some in (spans, spans[::-1], spans[:1], spans[:2], spans[:3], [(5, 9), (0, 6), (20, 30), (8, 12)], []):
+        want = sorted(n for n in numbers if n is not None and any(low <= n <= high for low, high in some))
+        assert sorted(r[0] for r in df.where(in_ranges(F.col("n"), some)).collect()) == want
+    # A row meets one branch of each choice, so the comparisons on its way are the depth of the tree.
+    def depth(e):
+        below = max((depth(e.children().apply(i)) for i in range(e.children().size())), default=0)
+        return below + (e.nodeName() == "CaseWhen")
+
+    kept = df.where(in_ranges(F.col("n"), spans))._jdf.queryExecution().analyzed()
+    assert depth(kept.condition()) in range(6, 9)
+
+
+def test_a_folder_is_written_by_few_tasks(spark, tmp_path):
+    """Rows dealt over many tasks, each with rows of every folder, make a file for each folder, not for each task and folder."""
+    root = str(tmp_path / "few")
+    create_warehouse(spark, root)
+    races = spark.range(0, 400, 1, 16).select(((F.col("id") * 37 % 5) * 1_000_000 + F.col("id")).alias("race_id"), F.col("id").alias("n"))
+    rows_ = races.select(*[(F.col("race_id") if f.name == "race_id" else F.col("n") if f.name == "participant_id" else F.lit(None)).cast(f.dataType).alias(f.name) for f in TABLES["race_participant"].schema.fields])
+    assert publish(spark, root, {"race_participant": rows_}) == {"race_participant": 400}
+    files = glob.glob(f"{root}/race_participant/*/*/*.parquet")
+    assert len({f.rsplit("/", 2)[1] for f in files}) == len(files) == 5
+    assert rows(open_warehouse(spark, root)["race_participant"], "participant_id") == sorted([(n,) for n in range(400)], key=repr)
+
+
 def test_a_run_that_dies_leaves_the_old_state(spark, tmp_path):
     root = str(tmp_path)
     create_warehouse(spark, root)
