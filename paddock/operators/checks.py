@@ -67,15 +67,17 @@ def violations(tables: Tables) -> DataFrame:
     Each table is scanned once. A row is turned into marks (domain, key, slot): its key in the domain of its
     table's unique keys, the parents it names in the domains of their ids, its own id as a known one there (slot
     -1), and each rule of its own that it breaks. One aggregate over domain and key, combined in the map tasks,
-    then tells repeated keys, keys without a parent and broken rules.
+    then tells repeated keys, keys without a parent and broken rules. Domains are numbered, since every mark carries one.
     """
     spark = tables["daily_program"].sparkSession
     rules: list[tuple[str, int, str, str, str]] = []  # domain, slot, table, rule, columns
     parents = {target for table in TABLES.values() for target in table.foreign.values()}
     used: dict[str, int] = {}
+    numbers: dict[str, int] = {}
 
     def mark(domain: str, key: Column, slot: int, where: Column) -> Column:
-        fields = (F.lit(domain).alias("domain"), key.alias("key"), F.lit(slot).alias("slot"))
+        number = numbers.setdefault(domain, len(numbers))
+        fields = (F.lit(number).alias("domain"), key.alias("key"), F.lit(slot).alias("slot"))
         return F.when(where, F.struct(*fields))
 
     def declared(domain: str, table: str, rule: str, columns: str) -> int:
@@ -99,18 +101,23 @@ def violations(tables: Tables) -> DataFrame:
             domain = f"row {name} {rule} {columns}"
             marks.append(mark(domain, F.lit(""), declared(domain, name, rule, columns), bad))
         if marks:
-            marked.append(df.select(F.explode(F.array_compact(F.array(*marks))).alias("mark")).select("mark.*"))
+            # Nulls go after the outer explode: a lambda over the marks is not compiled, and a plain explode adds a size
+            # check below it, which would make all marks a second time.
+            marked.append(df.select(F.explode_outer(F.array(*marks)).alias("mark")).where("mark is not null").select("mark.*"))
     slots = range(max(slot for _, slot, *_ in rules) + 1)
     counts = [F.count_if(F.col("slot") == slot).alias(f"n{slot}") for slot in slots]
     keys = reduce(DataFrame.unionByName, marked).groupBy("domain", "key").agg(F.max(F.col("slot") == -1).alias("known"), *counts)
 
+    def of_kind(kind: str) -> Column:
+        return F.col("domain").isin(*[number for domain, number in numbers.items() if domain.split()[0] == kind])
+
     def broken(n: str) -> Column:
         repeated = F.sum(F.when(F.col(n) > 1, 1).otherwise(0))
         orphans = F.sum(F.when(~F.col("known"), F.col(n)).otherwise(0))
-        kind = F.substring_index("domain", " ", 1)
-        return F.when(kind == "unique", repeated).when(kind == "id", orphans).otherwise(F.sum(n)).cast("long")
+        return F.when(of_kind("unique"), repeated).when(of_kind("id"), orphans).otherwise(F.sum(n)).cast("long")
 
     totals = keys.groupBy("domain").agg(F.array(*[broken(f"n{slot}") for slot in slots]).alias("rows"))
     listed = totals.select("domain", F.posexplode("rows").alias("slot", "rows")).where("rows > 0")
-    names = spark.createDataFrame(rules, "domain string, slot int, table string, rule string, columns string")
+    named = [(numbers[domain], *rest) for domain, *rest in rules]
+    names = spark.createDataFrame(named, "domain int, slot int, table string, rule string, columns string")
     return listed.join(F.broadcast(names), ["domain", "slot"]).select("table", "rule", "columns", "rows")

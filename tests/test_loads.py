@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from paddock.operators import checks, loading, scope
 from paddock.plans.loads import run_stages
+from paddock.schemas import TABLES
 from paddock.sources.feeds import parse_feed
 from paddock.sources.landing import LANDING, read_documents, read_landing, write_dead_letters, write_landing
 from paddock.sources.warehouse import append, create_warehouse, empty_warehouse, near, open_warehouse, replace
@@ -319,3 +320,19 @@ def test_update_replaces_only_folders_with_changes(spark, tmp_path):
     stored = open_warehouse(spark, str(tmp_path))["race_participant"]
     assert rows(stored, "participant_id", "finish_rank") == [(1, 3), (2, 4), (3, None)]
     assert loading.updated(stored, latest, "race_participant") is None
+
+
+def test_marks_are_made_without_lambdas_and_once(spark):
+    tables = empty_warehouse(spark)
+    race = [tuple({"race_id": i, "meeting_id": 7, "race_number": n}.get(c) for c in TABLES["race"].columns) for i, n in ((1, 1), (2, 1), (3, None))]
+    tables["race"] = spark.createDataFrame(race, TABLES["race"].schema).repartition(2)
+    bets = [tuple({"bet_id": i, "race_id": r, "bet_type": "SG", "bet_family": f}.get(c) for c in TABLES["race_bet"].columns) for i, r, f in ((1, 1, "M"), (2, 9, "F" * 99), (3, None, None))]
+    tables["race_bet"] = spark.createDataFrame(bets, TABLES["race_bet"].schema).repartition(2)
+    found = checks.violations(tables)
+    got = {(r["table"], r["rule"], r["columns"].split(",")[0]): r["rows"] for r in found.collect()}
+    assert got["race", "unique", "meeting_id"] == 1
+    assert got["race", "foreign", "meeting_id"] == 3
+    assert got["race_bet", "foreign", "race_id"] == 1
+    assert [n for (table, rule, _), n in got.items() if (table, rule) == ("race_bet", "range")] == [1]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.count("size(") == 1  # of the totals, a row for each domain
