@@ -336,3 +336,12 @@ def test_marks_are_made_without_lambdas_and_once(spark):
     assert [n for (table, rule, _), n in got.items() if (table, rule) == ("race_bet", "range")] == [1]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan and plan.count("size(") == 1  # of the totals, a row for each domain
+
+
+def test_a_table_without_rows_needs_no_range_of_the_batch(spark, tmp_path):
+    """The batch of a first load is a whole chain of joins; here it fails if anyone reads it."""
+    unread = spark.range(3).select(F.raise_error(F.lit("read")).cast("long").alias("race_id"))
+    create_warehouse(spark, str(tmp_path))
+    for tables in (empty_warehouse(spark), open_warehouse(spark, str(tmp_path))):
+        assert near(tables, "race_participant", "race_id", unread).count() == 0
+        assert near(tables, "bet_report", "bet_id", unread.withColumnRenamed("race_id", "bet_id")).count() == 0
