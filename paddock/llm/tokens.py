@@ -15,7 +15,7 @@ import regex
 from .common import ragged
 
 # Encoding holds some thirty times a run of texts at once.
-RUN_BYTES = 1 << 21
+RUN_BYTES = 1 << 22
 
 
 def short_runs(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
@@ -65,7 +65,7 @@ class WordEncoder(dict):
     batch when it holds more than max_words words, which bounds its memory.
     """
 
-    def __init__(self, path: str, max_words: int = 300_000):
+    def __init__(self, path: str, max_words: int = 1_000_000):
         super().__init__()
         from tokenizers import Tokenizer
 
