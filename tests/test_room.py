@@ -79,6 +79,27 @@ def test_a_backfill_leaves_nothing_but_its_tables(spark, tmp_path):
     assert folders(spark) == before
 
 
+def test_unchanged_documents_are_not_stored_again(spark, tmp_path, monkeypatch):
+    """Only keys and digests are looked at, and a first load has no ledger to look into."""
+    root, dead = str(tmp_path / "w"), str(tmp_path / "d")
+    joined = []
+    ledger = loads._ledger
+    monkeypatch.setattr(loads, "_ledger", lambda *args: joined.append(ledger(*args)) or joined[-1])
+
+    def run(odds):
+        out = loads.run_stages(spark, landed(spark, odds), root, dead, 2024, stages=("programme", "participants"), skip_unchanged=True)
+        return sorted((r["feed"], r["status"], r["documents"]) for lines in out.values() for r in lines.collect())
+
+    assert run(2.0) == [("participants", "FAILED", 1), ("participants", "SUCCESS", 1), ("programme", "SUCCESS", 1)]
+    assert joined[0] is None
+    stored, before = [], folders(spark)
+    monkeypatch.setattr(loads, "packed", lambda df: stored.append(df.columns) or packed(df))
+    assert run(2.0) == [("participants", "UNCHANGED", 2), ("programme", "UNCHANGED", 1)]
+    assert not stored and folders(spark) == before
+    # One document differs and is loaded, the two others are not.
+    assert run(3.0) == [("participants", "SUCCESS", 1), ("participants", "UNCHANGED", 1), ("programme", "UNCHANGED", 1)]
+
+
 @pytest.mark.parametrize("whole_rows", [10**6, 0])
 def test_numbering_stores_rows_once(spark, whole_rows):
     before = folders(spark)
